@@ -85,3 +85,13 @@ def watermark(spark: SparkSession, path: str, default) -> Column:
     """The last export time, or ``default`` on the first run, as a one-value subquery."""
     seen = empty_or(spark, path, "last_export timestamp_ntz")
     return seen.agg(F.coalesce(F.max("last_export"), time.ntz(default)).alias("last_export")).scalar()
+
+
+def empty_or_files(spark: SparkSession, path: str, schema: str, *, sep: str = ",", header: bool = True) -> DataFrame:
+    """Delimited files below ``path``, or no rows when nothing was written there."""
+    try:
+        return spark.read.schema(schema).csv(path, sep=sep, header=header, recursiveFileLookup=True)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)

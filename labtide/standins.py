@@ -102,8 +102,8 @@ class Standins:
         )
 
     def _line_id(self) -> Column:
-        line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000
-        return line + F.pmod(F.col("l_partkey") * 7 + F.col("l_suppkey") * 13, F.lit(1_000_000))
+        line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000_000
+        return line + F.pmod(F.col("l_partkey") * 1_000_003 + F.col("l_suppkey"), F.lit(1_000_000_000))
 
     @cached_property
     def samples(self) -> DataFrame:

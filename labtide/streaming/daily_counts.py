@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def read_events(spark: SparkSession, path: str, schema, *, files_per_batch: int = 1000) -> DataFrame:
+    """``path`` may be a folder, or a glob such as ``.../events.parquet*`` for a single file."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
