@@ -197,16 +197,16 @@ def unseen_tracking_numbers(t):
     """
 )
 def json_flatten(t):
+    """Landed JSON lines of CRM line items, parsed with a declared schema and flattened."""
     from labtide.plans import crm
 
-    objects = t.raw("events").select(
-        F.col("event_id").alias("id"),
-        F.col("event_type").alias("name"),
-        F.from_json("props", "k bigint").alias("properties"),
-        F.struct(
-            F.struct(F.array(F.struct(F.col("user_id").alias("id"))).alias("results")).alias("deals")
-        ).alias("associations"),
+    schema = """id bigint, properties struct<k: bigint, name: string>,
+                associations struct<deals: struct<results: array<struct<id: bigint>>>>"""
+    line = F.concat(
+        F.lit('{"id": '), F.col("event_id"), F.lit(', "properties": {"name": "'), F.col("event_type"), F.lit('", '),
+        F.substr("props", F.lit(2)), F.lit(', "associations": {"deals": {"results": [{"id": '), F.col("user_id"), F.lit("}]}}}"),
     )
+    objects = t.raw("events").select(F.from_json(line, schema).alias("object")).select("object.*")
     return crm.flatten_objects(objects, "line_items")
 
 

@@ -336,8 +336,8 @@ def sink_roundtrip_dialects(t):
     from labtide.session import scratch_dir
 
     base = scratch_dir(t.spark, "regions")
-    rows = _finished(t).withColumn("state", F.col("file_state"))
-    written = writers.in_dialects(rows, base, region="file_state")
+    rows = writers.stage(_finished(t).withColumn("state", F.col("file_state")), f"{base}/staged")
+    written = writers.in_dialects(rows, f"{base}/files")
     back = None
     for dialect, path in written.items():
         schema = ", ".join(f"`{c}` string" for c in rows.columns if c != "file_state")

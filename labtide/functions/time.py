@@ -169,11 +169,12 @@ def days_from(spark: SparkSession, start: dt.date, days: int = 7) -> DataFrame:
     return spark.range(days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("day"))
 
 
-def weeks_spanning(df: DataFrame, day: str) -> DataFrame:
-    """Calendar spine of every day in every week between the first and last day of ``df``.
-
-    One row holds the bounds and is expanded, so nothing passes through the driver.
-    """
-    bounds = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).where(F.col("lo").isNotNull())
+def expand_weeks(bounds: DataFrame) -> DataFrame:
+    """Every day of every week from ``lo`` to ``hi``: the one row of bounds is expanded, nothing passes the driver."""
     first, last = week_start("lo"), F.date_add(week_start("hi"), 6)
-    return bounds.select(F.explode(F.sequence(first, last)).alias("day"))
+    return bounds.where(F.col("lo").isNotNull()).select(F.explode(F.sequence(first, last)).alias("day"))
+
+
+def weeks_spanning(df: DataFrame, day: str) -> DataFrame:
+    """Calendar spine of the weeks between the first and last day of ``df``."""
+    return expand_weeks(df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")))

@@ -6,6 +6,7 @@ pivot columns are the seven weekdays, a fixed list, so empty days show without j
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -36,16 +37,28 @@ def user_grid(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
     return reshape.pivot_sum(cells, ["week_start", "fullname"], "cell", wanted, "n")
 
 
-def daily_table(daily: DataFrame, names: Sequence[str]) -> DataFrame:
+def _spanning_whole_rows(wide: DataFrame) -> DataFrame:
+    """Calendar of a daily frame. Bounds are taken over whole rows: both uses of the frame then need the same columns
+    and share its exchanges."""
+    whole = wide.select(F.struct("day", *[c for c in wide.columns if c != "day"]).alias("row"))
+    ends = whole.agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    return time.expand_weeks(ends.select(F.col("first.day").alias("lo"), F.col("last.day").alias("hi")))
+
+
+def daily_table(daily: DataFrame, names: Sequence[str], *, week: dt.date | None = None) -> DataFrame:
     """Metrics by weekday, from the long frame (metric, day, n, mean_seconds).
 
-    Counts are 0 on empty days; mean times are HH:MM:SS, or blank.
+    Counts are 0 on empty days; mean times are HH:MM:SS, or blank. ``week`` fixes the calendar to one week; otherwise it
+    runs from the first to the last week with activity.
     """
-    spine = _weekly(time.weeks_spanning(daily, "day"))
     wide = daily.groupBy("day").pivot("metric", list(names)).agg(
         F.sum("n").alias("n"), F.max("mean_seconds").alias("mean")
     )
-    joined = spine.join(wide, "day", "left").na.fill(0, subset=[f"{m}_n" for m in names])
+    if week is not None:
+        spine = time.days_from(daily.sparkSession, week)
+    else:
+        spine = _spanning_whole_rows(wide)
+    joined = _weekly(spine).join(wide, "day", "left").na.fill(0, subset=[f"{m}_n" for m in names])
     shown = joined.select(
         "week_start",
         "weekday",

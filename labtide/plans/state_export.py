@@ -155,18 +155,20 @@ def export_rows(
         "title",
         "npi",
     )
-    joined = (
-        reports.join(specimens, "kit_id")
-        .join(patients, "patient_user_id")
+    # Everything about a patient is joined before the reports come in: one exchange of the reports per key, and AQE can
+    # split a patient who holds a large share of them.
+    patient = (
+        patients.join(race_lists(t), "patient_user_id", "left")
         .join(addresses, "patient_user_id")
-        .join(race_lists(t), "patient_user_id", "left")
         .join(practitioners, "practitioner_id", "left")
-        .join(
-            t.clinics.select(
-                F.col("id").alias("clinic_id"), F.col("name").alias("clinic_name"), F.col("phone").alias("clinic_phone")
-            ),
-            "clinic_id",
-        )
+    )
+    clinics = t.clinics.select(
+        F.col("id").alias("clinic_id"), F.col("name").alias("clinic_name"), F.col("phone").alias("clinic_phone")
+    )
+    joined = (
+        reports.join(specimens, "kit_id")
+        .join(patient, "patient_user_id")
+        .join(clinics, "clinic_id")
         .join(provider_addresses(t), "provider_clinic_id", "left")
         .join(
             t.distributors.select(F.col("id").alias("cached_distributor_id"), "clia_number"), "cached_distributor_id"

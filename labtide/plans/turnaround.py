@@ -35,16 +35,23 @@ def report_facts(
         F.max_by(F.struct("received_at", "collection_date"), "id").alias("sample")
     )
     events = dedup.ever(event_logs, "report_id", F.col("event_type") == REDRAW_EVENT, "redraw")
+    # Dimensions are joined to each other first, so the reports are exchanged once per key and AQE can split a hot key.
+    kit = last_sample.join(kits.select(F.col("id").alias("kit_id"), "tracking_number"), "kit_id").select(
+        "kit_id",
+        "tracking_number",
+        F.col("sample.received_at").alias("sample_received_at"),
+        F.col("sample.collection_date").alias("collection_date"),
+    )
+    clinic = clinics.select(F.col("id").alias("clinic_id"), F.col("name").alias("clinic"), "distributor_id").join(
+        distributors.select(F.col("id").alias("distributor_id"), F.col("name").alias("distributor")), "distributor_id"
+    )
+    test = report_types.select(F.col("id").alias("report_type_id"), F.col("name").alias("test"))
     joined = (
         base.join(events, base["id"] == events["report_id"])
         .drop("report_id")
-        .join(last_sample, "kit_id")
-        .join(kits.select(F.col("id").alias("kit_id"), "tracking_number"), "kit_id")
-        .join(clinics.select(F.col("id").alias("clinic_id"), F.col("name").alias("clinic"), "distributor_id"), "clinic_id")
-        .join(distributors.select(F.col("id").alias("distributor_id"), F.col("name").alias("distributor")), "distributor_id")
-        .join(report_types.select(F.col("id").alias("report_type_id"), F.col("name").alias("test")), "report_type_id")
-        .withColumns({"sample_received_at": F.col("sample.received_at"), "collection_date": F.col("sample.collection_date")})
-        .drop("sample")
+        .join(kit, "kit_id")
+        .join(clinic, "clinic_id")
+        .join(test, "report_type_id")
     )
     return with_local_parts(time.localize(joined, tz=tz))
 

@@ -25,6 +25,7 @@ def build_session(app: str = "labtide", master: str | None = None, **conf: str)
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.ui.enabled": "false",
@@ -35,6 +36,14 @@ def build_session(app: str = "labtide", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> SparkSession:
+    """Refuse a session time zone with an offset: timestamps are UTC wall times, and clock changes would bend durations."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -36,18 +36,26 @@ def by_region(df: DataFrame, path: str, *, region: str = "file_state", dialect:
     writer.option("sep", dialect.sep).option("header", dialect.header).option("timestampNTZFormat", "MM/dd/yyyy HH:mm").csv(path)
 
 
-def in_dialects(df: DataFrame, path: str, *, region: str = "file_state") -> dict[Dialect, str]:
-    """Region files grouped by output form: one write per form, not one per region."""
+def stage(df: DataFrame, path: str, *, region: str = "file_state") -> DataFrame:
+    """Write rows once, one partition per region, and read them back: later steps prune to the regions they need."""
+    df.hint("rebalance", region).write.mode("overwrite").partitionBy(region).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_dialects(staged: DataFrame, path: str, *, region: str = "file_state") -> dict[Dialect, str]:
+    """Region files grouped by output form: one write per form, not one per region.
+
+    ``staged`` should come from ``stage``, since every form reads it again for its own regions.
+    """
     groups: dict[Dialect, list[str]] = {}
     for code, dialect in DIALECTS.items():
         groups.setdefault(dialect, []).append(code)
     written = {}
     for i, (dialect, regions) in enumerate(groups.items()):
         written[dialect] = f"{path}/form{i}"
-        by_region(df.where(F.col(region).isin(*regions)), written[dialect], region=region, dialect=dialect)
-    rest = f"{path}/standard"
-    by_region(df.where(~F.col(region).isin(*DIALECTS)), rest, region=region)
-    written[Dialect()] = rest
+        by_region(staged.where(F.col(region).isin(*regions)), written[dialect], region=region, dialect=dialect)
+    written[Dialect()] = f"{path}/standard"
+    by_region(staged.where(~F.col(region).isin(*DIALECTS)), written[Dialect()], region=region)
     return written
 
 

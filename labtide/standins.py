@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labtide.config.settings import LabIdentity
 from labtide.plans.state_export import ExportTables
+from labtide.session import require_utc
 from labtide.sources import readers
 
 AS_OF = "2024-02-01 12:00:00"
@@ -46,7 +47,7 @@ class Standins:
     """Lazy domain tables over one folder of test tables."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+        self.spark, self.root = require_utc(spark), root
 
     def raw(self, name: str) -> DataFrame:
         return readers.table(self.spark, self.root, name)
