@@ -176,5 +176,11 @@ def expand_weeks(bounds: DataFrame) -> DataFrame:
 
 
 def weeks_spanning(df: DataFrame, day: str) -> DataFrame:
-    """Calendar spine of the weeks between the first and last day of ``df``."""
-    return expand_weeks(df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")))
+    """Calendar of the weeks between the first and last day of a frame that has one row per day.
+
+    Bounds are taken over whole rows: this use and the later join of the frame then need the same columns and share
+    its exchanges.
+    """
+    row = F.struct(day, *[c for c in df.columns if c != day])
+    ends = df.agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    return expand_weeks(ends.select(F.col(f"first.{day}").alias("lo"), F.col(f"last.{day}").alias("hi")))

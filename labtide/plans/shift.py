@@ -37,14 +37,6 @@ def user_grid(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
     return reshape.pivot_sum(cells, ["week_start", "fullname"], "cell", wanted, "n")
 
 
-def _spanning_whole_rows(wide: DataFrame) -> DataFrame:
-    """Calendar of a daily frame. Bounds are taken over whole rows: both uses of the frame then need the same columns
-    and share its exchanges."""
-    whole = wide.select(F.struct("day", *[c for c in wide.columns if c != "day"]).alias("row"))
-    ends = whole.agg(F.min("row").alias("first"), F.max("row").alias("last"))
-    return time.expand_weeks(ends.select(F.col("first.day").alias("lo"), F.col("last.day").alias("hi")))
-
-
 def daily_table(daily: DataFrame, names: Sequence[str], *, week: dt.date | None = None) -> DataFrame:
     """Metrics by weekday, from the long frame (metric, day, n, mean_seconds).
 
@@ -57,7 +49,7 @@ def daily_table(daily: DataFrame, names: Sequence[str], *, week: dt.date | None
     if week is not None:
         spine = time.days_from(daily.sparkSession, week)
     else:
-        spine = _spanning_whole_rows(wide)
+        spine = time.weeks_spanning(wide, "day")
     joined = _weekly(spine).join(wide, "day", "left").na.fill(0, subset=[f"{m}_n" for m in names])
     shown = joined.select(
         "week_start",

@@ -48,9 +48,12 @@ class Standins:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = require_utc(spark), root
+        self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return readers.table(self.spark, self.root, name)
+        if name not in self._tables:
+            self._tables[name] = readers.table(self.spark, self.root, name)
+        return self._tables[name]
 
     @cached_property
     def reports(self) -> DataFrame:
