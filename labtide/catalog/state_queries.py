@@ -6,7 +6,8 @@ from labtide import standins
 from labtide.catalog.registry import query
 from labtide.functions import time
 from labtide.operators import dedup, matching
-from labtide.plans import ledger, state_export, template
+from labtide.plans import ledger, template
+from labtide.plans import state_export as export_plan
 from labtide.sources import readers, writers
 
 ROOT = 1
@@ -96,17 +97,17 @@ FINISHED_SQL = """
 
 
 def _export(t):
-    rows = state_export.export_rows(t.export_tables, LAB, root=ROOT, as_of=standins.AS_OF)
+    rows = export_plan.export_rows(t.export_tables, LAB, root=ROOT, as_of=standins.AS_OF)
     # only sent reports: the registered export covers the whole time range, so the window does not remove unsent ones
     return rows.where(F.col("`Result Date and Time`").isNotNull())
 
 
 def _finished(t, **kwargs):
-    return state_export.finish(_export(t), **kwargs)
+    return export_plan.finish(_export(t), **kwargs)
 
 
 @query(f"WITH {EXPORT_SQL} {FINISHED_SQL} FROM export", *EXPORT_TABLES)
-def state_export_rows(t):
+def state_export(t):
     return _finished(t)
 
 
@@ -144,7 +145,7 @@ def _regions(t):
     *EXPORT_TABLES,
 )
 def state_manifest_zero_filled(t):
-    return state_export.manifest(_regions(t), _export(t))
+    return export_plan.manifest(_regions(t), _export(t))
 
 
 @query(
@@ -192,7 +193,7 @@ def unreported_anti(t):
 )
 def ledger_mark_window(t):
     tables = t.export_tables
-    exported = state_export.eligible_reports(tables, root=ROOT).where(F.col("sent_date").isNotNull())
+    exported = export_plan.eligible_reports(tables, root=ROOT).where(F.col("sent_date").isNotNull())
     first, last = ledger.window_of(exported, "sent_date")
     marks = ledger.to_mark(tables, t.ledger, root=ROOT, since=None)
     window = exported.where((F.col("sent_date") >= first) & (F.col("sent_date") <= last))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labtide.config.settings import EVENT_CATEGORIES
@@ -17,14 +17,16 @@ def first_events(
 ) -> DataFrame:
     """First local time of every (report, category); events outside the categories are dropped.
 
-    Only the minimum is needed, so this is a plain hash aggregate that shrinks each report before the exchange.
+    Only the minimum is needed, so this is a plain hash aggregate that shrinks each report before the exchange. The
+    uncategorised rest, one group per report, is dropped after it: a filter before it would match every term twice.
     """
     category = text.last_match("event_type", categories)
     return (
         event_logs.select("report_id", category.alias("category"), time.to_local("created_at", tz).alias("event_at"))
-        .where(F.col("category").isNotNull())
         .groupBy("report_id", "category")
-        .agg(F.min("event_at").alias("event_at"))
+        .agg(F.min("event_at").alias("event_at"), F.count("category").alias("categorised"))
+        .where(F.col("categorised") > 0)
+        .drop("categorised")
     )
 
 
@@ -37,9 +39,17 @@ def event_days(events: DataFrame) -> DataFrame:
     return events.withColumn("event_day", time.day_text("event_at"))
 
 
-def received(facts: DataFrame) -> DataFrame:
-    """Reports received per day."""
-    return facts.groupBy("receive_day").agg(F.count(F.lit(1)).alias("Received")).where(F.col("receive_day").isNotNull())
+def first_times(
+    event_logs: DataFrame, categories: Sequence[tuple[str, str]] = EVENT_CATEGORIES, *, tz: str = time.EST
+) -> DataFrame:
+    """One row per report with the first local time of every category, in columns named by the category."""
+    at = time.to_local("created_at", tz)
+    tagged = event_logs.select("report_id", text.last_match("event_type", categories).alias("category"), at.alias("at"))
+    firsts = [F.min(F.when(F.col("category") == label, F.col("at"))).alias(label) for _, label in categories]
+    return tagged.groupBy("report_id").agg(*firsts)
+
+
+RECEIVED = "Received"
 
 
 def funnel(
@@ -51,13 +61,27 @@ def funnel(
     categories: Sequence[tuple[str, str]] = EVENT_CATEGORIES,
     tz: str = time.EST,
 ) -> DataFrame:
-    """Daily categories, by ``event_day`` or the report's ``start_day``, beside the reports received that day."""
-    tested = facts.where(text.contains("test", term))
-    firsts = event_days(first_events(event_logs, categories, tz=tz))
-    rows = firsts.join(tested.select(F.col("id").alias("report_id"), "start_day"), "report_id")
-    wide = by_day(rows, day, categories)
-    counts = received(tested)
-    return wide.join(counts, wide[day] == counts["receive_day"]).drop(day)
+    """Daily categories, by ``event_day`` or the report's ``start_day``, beside the reports received that day.
+
+    A report carries its first times and its receive day in one row, so both counts come from a single pass over the
+    facts. Days without a received report, and days with nothing but received reports, are left out.
+    """
+    labels = [label for _, label in categories]
+    tested = facts.where(text.contains("test", term)).select(F.col("id").alias("report_id"), "start_day", "receive_day")
+    rows = tested.join(first_times(event_logs, categories, tz=tz), "report_id", "left")
+
+    def cell(on: Column, label: str) -> Column:
+        return F.struct(on.alias("day"), F.lit(label).alias("category"))
+
+    cells = [cell(F.col("receive_day"), RECEIVED)]
+    for label in labels:
+        first = F.col(f"`{label}`")
+        on = time.day_text(first) if day == "event_day" else F.when(first.isNotNull(), F.col(day))
+        cells.append(cell(on, label))
+    long = rows.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("day").isNotNull())
+    wide = reshape.pivot_count(long, ["day"], "category", [*labels, RECEIVED])
+    some_event = F.coalesce(*[F.col(f"`{label}`") for label in labels]).isNotNull()
+    return wide.where(F.col(RECEIVED).isNotNull() & some_event).withColumnRenamed("day", "receive_day")
 
 
 def time_in_stage(event_logs: DataFrame, *, hot_rows: int | None = sequence.HOT_ROWS) -> DataFrame:

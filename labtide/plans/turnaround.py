@@ -31,17 +31,14 @@ def report_facts(
     come from the highest sample id of the kit.
     """
     base = reports.where(F.col("start_date").isNotNull() & time.in_window("start_date", start, tz=tz))
+    # Two flat max_by keep this a hash aggregate; one over a struct would sort every sample.
     last_sample = samples.groupBy("kit_id").agg(
-        F.max_by(F.struct("received_at", "collection_date"), "id").alias("sample")
+        F.max_by("received_at", "id").alias("sample_received_at"),
+        F.max_by("collection_date", "id").alias("collection_date"),
     )
     events = dedup.ever(event_logs, "report_id", F.col("event_type") == REDRAW_EVENT, "redraw")
     # Dimensions are joined to each other first, so the reports are exchanged once per key and AQE can split a hot key.
-    kit = last_sample.join(kits.select(F.col("id").alias("kit_id"), "tracking_number"), "kit_id").select(
-        "kit_id",
-        "tracking_number",
-        F.col("sample.received_at").alias("sample_received_at"),
-        F.col("sample.collection_date").alias("collection_date"),
-    )
+    kit = last_sample.join(kits.select(F.col("id").alias("kit_id"), "tracking_number"), "kit_id")
     clinic = clinics.select(F.col("id").alias("clinic_id"), F.col("name").alias("clinic"), "distributor_id").join(
         distributors.select(F.col("id").alias("distributor_id"), F.col("name").alias("distributor")), "distributor_id"
     )
