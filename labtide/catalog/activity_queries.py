@@ -287,3 +287,41 @@ def delivery_weighted_time(t):
         F.col("l_suppkey").cast("double").alias("Samples"),
     )
     return shift.delivery_log(sheet)
+
+
+@query(
+    """
+    WITH ahead AS (
+      SELECT *, lead(user_id) OVER (PARTITION BY report_id ORDER BY created_at, id) AS next_user FROM report_events),
+    linked AS (
+      SELECT a.report_id, a.created_at - INTERVAL 5 HOUR AS moment, s.fullname,
+             row_number() OVER (PARTITION BY a.report_id ORDER BY a.created_at, a.id) AS rn
+      FROM ahead a JOIN staff s ON s.user_id = a.next_user
+      WHERE a.event_type = 'first_sample_data_source_linked_to_report')
+    SELECT CAST(l.moment AS DATE) AS day, l.fullname, count(*) AS n
+    FROM linked l JOIN orders o ON o.o_orderkey = l.report_id WHERE l.rn = 1 GROUP BY 1, 2
+    """,
+    "report_events",
+    "staff",
+)
+def accessions_by_next_user(t):
+    return activity.by_user(activity.accession_metric(t.reports, t.report_events, t.staff))
+
+
+@query(
+    """
+    SELECT DISTINCT fullname FROM (
+      SELECT s.fullname FROM scans c JOIN staff s ON s.user_id = c.user_id WHERE c.file_name IS NOT NULL
+      UNION ALL SELECT s.fullname FROM tickets t JOIN staff s ON s.user_id = t.user_id
+      WHERE t.category IN """
+    + LISTED
+    + ")",
+    "scans",
+    "tickets",
+    "staff",
+)
+def union_user_names(t):
+    from labtide.operators import matching
+
+    frames = [activity.scan_metric(t.scans, t.staff), activity.ticket_metric(t.tickets, t.staff)]
+    return matching.union_names(frames, "fullname")

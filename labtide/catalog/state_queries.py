@@ -1,9 +1,12 @@
 """Public-health export, templates, ledger and delivery."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from labtide import standins
 from labtide.catalog.registry import query
+from labtide.config.settings import FileNames
 from labtide.functions import time
 from labtide.operators import dedup, matching
 from labtide.plans import ledger, template
@@ -328,6 +331,100 @@ def template_select_tx(t):
     return _in_form(t, "TX")
 
 
+OK_SQL = """
+    "Patient ID" AS "Patient_ID", "Sending Application" AS "Patient_ID_assigner", "Patient Last Name" AS "Patient_last_name",
+    "Patient First Name" AS "Patient_first_name", strftime("Patient Date of Birth", '%m/%d/%Y') AS "Patient_DOB",
+    "Patient Age" AS "Patient_age", "Patient Sex" AS "Patient_gender", "Patient Street Address" AS "Patient_street",
+    "Patient City" AS "Patient_city", "Patient State" AS "Patient_state", "Patient Zip" AS "Patient_zip_code",
+    "Provider Last Name" AS "Ordering_provider_last_name", "Provider First Name" AS "Ordering_provider_first_name",
+    "Provider Address" AS "Ordering_provider_street", "Provider City" AS "Ordering_provider_city",
+    "Provider State" AS "Ordering_provider_state", "Provider Zip" AS "Ordering_provider_zip_code",
+    "Ordering Facility" AS "Ordering_facility_name", "Ordering Facility Address" AS "Ordering_facility_street",
+    "Ordering Facility City" AS "Ordering_facility_city", "Ordering Facility State" AS "Ordering_facility_state",
+    "Ordering Facility Zip" AS "Ordering_facility_zip_code", "LOINC Description" AS "Ordered_test_description",
+    substr("Collection Date and Time", 1, 10) AS "Order_test_date",
+    "Collection Date and Time" AS "Specimen_collection_date_time", "Specimen Type" AS "Specimen_type_description",
+    "Specimen Source/Site" AS "Specimen_source_site_descrip", "Specimen ID / Accession Number" AS "Submitter_unique_sample_ID",
+    "Result Date and Time" AS "Specimen_received_date_time", "Specimen ID / Accession Number" AS "Testing_lab_specimen_ID",
+    "Specimen ID / Accession Number" AS "Testing_lab_accession_number", substr("Result Date and Time", 1, 10) AS "Test_date",
+    substr("Result Date and Time", 1, 10) AS "Date_result_released", "LOINC Code" AS "Ordered_test_code",
+    "L" AS "Ordered_test_code_system", "Provider NPI" AS "Ordering_provider_ID", "LOINC Code" AS "Specimen_type_code",
+    "L" AS "Specimen_type_code_system", "LOINC Code" AS "Test_result_coded", "L" AS "Test_result_code_system",
+    "LOINC Code" AS "Test_performed_code", "L" AS "Test_performed_code_system", 'Patient Internal' AS "Patient_ID_type",
+    "Lab Name" AS "Testing_lab_name", "Lab CLIA" AS "Testing_lab_ID", "Lab Address" AS "Testing_lab_street",
+    "Lab City" AS "Testing_lab_city", "Lab State" AS "Testing_lab_state", "Lab Zip" AS "Testing_lab_zip_code",
+    "Lab CLIA" AS "Reporting_facility_ID", "Lab Name" AS "Reporting_facility_name",
+    "Sending Application" AS "Report_facil_data_source_app", '02/01/2024' AS "File_created_date",
+    'V2024-02-01_Results' AS "flatfile_version_no", NULL::VARCHAR AS "Patient_county"
+"""
+OK_EMPTY = """
+Patient_ID_2 Patient_ID_2_assigner Patient_middle_name Patient_suffix Patient_age_units Patient_street2 Pregnant First_test
+Employed_in_healthcare Symptomatic_for_disease Illness_onset_date Hospitalized ICU Ordering_provider_street2
+Ordering_provider_county Ordering_facility_street_2 Ordering_facility_county Specimen_type_free_text Test_performed_number
+Test_performed_description Test_Result_free_text Test_result_description Test_result_comparator Test_result_number
+Test_result_number_separator Test_result_number2 Test_result_units Reference_range Abnormal_flag Test_result_status Comments
+Employed_in_high_risk_setting Patient_occupation Disease_symptoms Patient_location Resident_congregate_setting
+Patient_residency_type Patient_death_date Patient_died Public_health_case_ID Travel_history Test_kit_EUA_ID
+Test_kit_instance_ID Test_kit_model_ID Test_kit_model_name Instrument_instance_ID Instrument_model_ID Instrument_model_name
+Order_result_status Link_test_to_parent_result Link_test_to_parent_accession Specimen_source_site_code
+Specimen_source_site_code_sys Test_method_description Result_format Test_result_sub_ID Submitter_sample_ID_assigner
+Patient_ID_2_type Testing_lab_street2 Testing_lab_county
+""".split()
+
+
+@query(
+    f"""
+    WITH {EXPORT_SQL}, done AS ({FINISHED_SQL} FROM export)
+    SELECT report_id, {OK_SQL}, {", ".join(f'NULL::VARCHAR AS "{c}"' for c in OK_EMPTY)}, {RACE_SQL} AS "Patient_race",
+           CASE WHEN {RACE_SQL} = 'U' THEN 'U' ELSE 'NH' END AS "Patient_ethnicity",
+           {_phone("Patient Phone", PHONE_DASHES)} AS "Patient_phone_number",
+           {_phone("Provider Phone", PHONE_DASHES)} AS "Ordering_provider_phone",
+           {_phone("Ordering Facility Phone", PHONE_DASHES)} AS "Ordering_facility_phone_number"
+    FROM done
+    """,
+    *EXPORT_TABLES,
+)
+def template_select_ok(t):
+    """Every export row in the OK form."""
+    return _in_form(t, "OK")
+
+
+@query(
+    f"""
+    WITH {EXPORT_SQL}
+    SELECT e.report_id, h2.state AS file_state, e."Patient State", e."Specimen ID / Accession Number"
+    FROM export e JOIN (SELECT DISTINCT patient_user_id, state FROM homes) h2 ON h2.patient_user_id = e."Patient ID"
+    """,
+    *EXPORT_TABLES,
+)
+def state_export_all_locations(t):
+    """The variant that sends all addresses of a patient to every region where the patient has one."""
+    rows = export_plan.export_rows(t.export_tables, LAB, root=ROOT, as_of=standins.AS_OF, all_locations=True)
+    sent = rows.where(F.col("`Result Date and Time`").isNotNull())
+    return sent.select("report_id", "file_state", "Patient State", "Specimen ID / Accession Number")
+
+
+@query(
+    """
+    WITH counted AS (SELECT state, count(*) AS n FROM homes GROUP BY 1)
+    SELECT state, CASE state WHEN 'NATION_2' THEN 'Sample Laboratory_20240201.csv' WHEN 'NATION_3' THEN 'SampleLaboratory_20240201_1.csv'
+                             ELSE state || '_2024_02_01.csv' END AS file, n
+    FROM counted WHERE state NOT IN (SELECT n_name FROM nation WHERE n_regionkey = 4)
+    """,
+    "homes",
+)
+def undelivered_files(t):
+    """Files of the day that the delivery log does not hold; two recipients want names of their own."""
+    names = FileNames({"NATION_2": "Sample Laboratory_{day}.csv", "NATION_3": "SampleLaboratory_{day}_1.csv"})
+    day = dt.date(2024, 2, 1)
+    homes = t.locations.where(F.col("patient_user_id").isNotNull()).withColumnRenamed("state", "file_state")
+    manifest = writers.delivery_manifest(homes.groupBy("file_state").agg(F.count(F.lit(1)).alias("n")), names, day)
+    sent = t.raw("nation").where(F.col("n_regionkey") == 4).select(
+        F.col("n_name").alias("state"), F.lit(day).alias("day"), F.concat("n_name", F.lit("_2024_02_01.csv")).alias("file")
+    )
+    return writers.undelivered(manifest, sent).select("state", "file", "n")
+
+
 @query(
     f"WITH {EXPORT_SQL} SELECT file_state AS state, count(*) AS n, count(\"Result\") AS with_result FROM export GROUP BY 1",
     *EXPORT_TABLES,

@@ -169,3 +169,58 @@ def drop_empty_columns(t):
         owes.alias("note"),
     )
     return quality.drop_empty_columns(quality.drop_empty_rows(rows))
+
+
+REGION_CODES = "PA OH KS WV NJ NM AZ NY TX IL AR MO ID MD CA WA OR NV UT CO MT WY ND SD NE".split()
+
+
+@query(
+    f"""
+    WITH base AS (
+      SELECT {REGION_CODES!r}[CAST(c_nationkey AS INTEGER) + 1] AS state,
+             CASE WHEN c_acctbal > -900 THEN 'A' || c_custkey END AS accession_number,
+             CAST(DATE '2020-01-01' + CAST(c_custkey % 700 AS INTEGER) AS TIMESTAMP) AS day,
+             substr(lpad(CAST((c_custkey * 7919 + 12345) % 1000000000000 AS VARCHAR), 13, '13'),
+                    1, CAST(6 + c_custkey % 7 AS INTEGER)) AS phone,
+             CAST(c_custkey AS VARCHAR) AS zip, c_name AS name, c_mktsegment AS note,
+             CASE WHEN c_acctbal > 0 THEN 'x' END AS extra
+      FROM customer),
+    gated AS (
+      SELECT *, CASE WHEN state IN ('PA', 'OH', 'AZ', 'NJ', 'NM') THEN strftime(day, '%Y%m%d') ELSE strftime(day, '%m/%d/%Y')
+                END AS shown FROM base
+      WHERE accession_number IS NOT NULL),
+    fixed AS (
+      SELECT *, CASE WHEN length(phone) = 11 AND phone LIKE '1%' THEN substr(phone, 2) WHEN length(phone) = 11 THEN substr(phone, 1, 10)
+                     WHEN length(phone) = 8 THEN phone || '0' WHEN length(phone) < 8 OR length(phone) > 11 THEN NULL
+                     ELSE phone END AS p,
+             CASE WHEN state IN ('PA', 'OH') THEN '' ELSE '-' END AS mark
+      FROM gated)
+    SELECT state, accession_number, shown AS collected_date,
+           CASE WHEN state = 'WV' THEN strftime(day, '%Y-%m-%d') ELSE shown END AS shipped_dt,
+           shown || strftime(day + INTERVAL 90 MINUTE, ' %H:%M') AS report_date_time,
+           CASE WHEN state = 'KS' OR p IS NULL THEN phone
+                ELSE substr(p, 1, 3) || mark || substr(p, 4, 3) || mark || substr(p, 7, CASE WHEN length(p) = 10 THEN 4 ELSE 3 END)
+           END AS home_phone,
+           CASE WHEN length(zip) < 4 THEN NULL WHEN length(zip) = 4 THEN '0' || zip ELSE zip END AS zip_code, name, note, extra,
+           state <> 'KS' AND p IS NULL AS quarantined
+    FROM fixed
+    """
+)
+def cleanse_region_files(t):
+    """All-text rows of 25 regions through the whole cleansing: rows to quarantine carry a flag."""
+    key = F.col("c_custkey")
+    raw = F.lpad(F.pmod(key * 7919 + 12_345, F.lit(1_000_000_000_000)).cast("string"), 13, "13")
+    day = F.date_add(F.lit("2020-01-01").cast("date"), F.pmod(key, F.lit(700)).cast("int")).cast("timestamp_ntz")
+    rows = t.raw("customer").select(
+        F.element_at(F.array(*[F.lit(c) for c in REGION_CODES]), F.col("c_nationkey") + 1).alias("state"),
+        F.when(F.col("c_acctbal") > -900, F.concat(F.lit("A"), key.cast("string"))).alias("accession_number"),
+        F.date_format(day, "MM/dd/yyyy").alias("collected_date"),
+        F.date_format(day, "yyyy-MM-dd").alias("shipped_dt"),
+        F.date_format(day + F.expr("interval 90 minutes"), "MM/dd/yyyy HH:mm").alias("report_date_time"),
+        F.substr(raw, F.lit(1), (F.pmod(key, F.lit(7)) + 6).cast("int")).alias("home_phone"),
+        key.cast("string").alias("zip_code"),
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("note"),
+        F.when(F.col("c_acctbal") > 0, F.lit("x")).alias("extra"),
+    )
+    return cleanse.flagged(rows).withColumnRenamed(cleanse.BAD_PHONE, "quarantined")

@@ -50,10 +50,14 @@ def fix_zips(df: DataFrame, region: str = "state") -> DataFrame:
     return df.withColumns({z: text.zip_repair(F.col(f"`{z}`"), region) for z in zips}) if zips else df
 
 
+def flagged(df: DataFrame, region: str = "state") -> DataFrame:
+    """Cleansed rows with the ``bad_phone`` flag, in one pass. Write this once when both parts are needed."""
+    return fix_zips(fix_phones(fix_dates(gate(df, region=region), region), region), region)
+
+
 def cleanse(df: DataFrame, region: str = "state") -> tuple[DataFrame, DataFrame]:
     """(clean rows, rows with a phone that cannot be repaired)."""
-    fixed = fix_zips(fix_phones(fix_dates(gate(df, region=region), region), region), region)
-    good, bad = quality.split_bad(fixed, F.col(BAD_PHONE))
+    good, bad = quality.split_bad(flagged(df, region), F.col(BAD_PHONE))
     return good.drop(BAD_PHONE), bad.drop(BAD_PHONE)
 
 
