@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,22 @@ def ntz(value: dt.datetime | dt.date | str) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _fixed_offset(tz: str) -> Column | None:
+    """A zone such as ``-05:00`` as an interval; null for zones with clock changes."""
+    found = re.fullmatch(r"([+-])(\d{2}):(\d{2})", tz)
+    if not found:
+        return None
+    minutes = int(found[2]) * 60 + int(found[3])
+    return F.expr(f"interval '{found[1]}{minutes}' minute")
+
+
 def to_local(c: Column | str, tz: str = EST) -> Column:
-    """UTC wall time to local wall time; the result stays TIMESTAMP_NTZ."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), col(c))
+    """UTC wall time to local wall time; the result stays TIMESTAMP_NTZ.
+
+    A fixed offset is a plain addition, several times cheaper per row than a zone lookup.
+    """
+    offset = _fixed_offset(tz)
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), col(c)) if offset is None else col(c) + offset
 
 
 def local_bound(value: dt.datetime | str, tz: str = EST) -> Column:
@@ -82,12 +96,18 @@ def weekday_key(c: Column | str) -> Column:
     return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.weekday(col(c).cast("date")) + 1)
 
 
+def _micros(c: Column | str) -> Column:
+    """Microseconds since 1970; with the session zone UTC the wall time is the instant."""
+    return F.unix_micros(col(c).cast("timestamp"))
+
+
 def micros_between(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", col(start), col(end))
+    return _micros(end) - _micros(start)
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("SECOND", col(start), col(end))
+    """Whole seconds, cut towards zero."""
+    return F.call_function("div", micros_between(start, end), F.lit(1_000_000))
 
 
 def floor_div(n: Column, divisor: int) -> Column:
@@ -115,7 +135,7 @@ def day_parts(c: Column | str) -> tuple[Column, Column]:
 
     The two parts are summed apart: one BIGINT sum of microseconds overflows beyond 10^8 rows a day.
     """
-    micros = micros_between(F.date_trunc("day", col(c)).cast("timestamp_ntz"), col(c))
+    micros = F.pmod(_micros(c), F.lit(86_400_000_000))
     return floor_div(micros, 1_000_000), F.pmod(micros, F.lit(1_000_000))
 
 

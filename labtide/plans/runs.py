@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labtide.config.settings import DATA_ENTRY_GROUPS, ACCESSIONING_GROUPS, FileNames, LabIdentity
+from labtide.config.settings import ACCESSIONING_GROUPS, DATA_ENTRY_GROUPS, FileNames, LabIdentity
 from labtide.functions import time
 from labtide.operators import matching, reshape
 from labtide.plans import activity, funnel, ledger, shift, state_export, template, turnaround
@@ -85,11 +85,11 @@ def state_reporting(
 ) -> DataFrame:
     """Export everything since the last run, write region files and templates, mark the reports, move the watermark.
 
-    The manifest is returned. A test run keeps six rows per region, marks nothing and leaves the watermark alone. Run
+    ``end``, ``first_start`` and the watermark are local times. The manifest is returned. A test run keeps six rows per region, marks nothing and leaves the watermark alone. Run
     twice over the same window, it marks no report and logs no delivery a second time.
     """
     require_utc(spark)
-    mark = readers.watermark(spark, watermark_path, first_start)
+    mark = F.convert_timezone(F.lit(tz), F.lit("UTC"), readers.watermark(spark, watermark_path, first_start))
     rows = state_export.export_rows(
         t, lab, root=root, as_of=end, end=end, report_type_ids=report_type_ids, tz=tz
     ).where((F.col("`Result Date and Time`") >= mark) & F.col("file_state").isin(*states))

@@ -251,3 +251,15 @@ def test_session_zone_must_be_utc(spark):
             require_utc(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("tz", ["-05:00", "+05:30", "UTC", "America/New_York"])
+def test_local_time_of_fixed_and_moving_zones(spark, tz):
+    moment = ts("2021-07-01 02:15:00.123456")
+    fast, slow = one(spark, time.to_local(moment, tz), F.convert_timezone(F.lit("UTC"), F.lit(tz), moment))
+    assert fast == slow
+
+
+def test_d7_seconds_cut_towards_zero(spark):
+    a, b = ts("2021-01-01 00:00:00"), ts("2021-01-01 00:00:01.9")
+    assert one(spark, time.seconds_between(a, b), time.seconds_between(b, a), time.micros_between(b, a)) == (1, -1, -1_900_000)
