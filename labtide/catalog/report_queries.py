@@ -136,7 +136,7 @@ TRACKER_SQL = """
 @query(
     f"""
     WITH {TRACKER_SQL}
-    SELECT easypost_id, 'FedEx' AS carrier, tracking_status, origin, destination, picked_up_city, picked_up_state,
+    SELECT easypost_id, 'carrier' AS carrier, tracking_status, origin, destination, picked_up_city, picked_up_state,
            strftime(delivery_at, '%m/%d/%Y %H:%M:%S') AS delivery_datetime, tracking_number, weight, public_url,
            CASE WHEN tracking_status = 'delivered' THEN strftime(delivery_at, '%Y-%m-%dT%H:%M:%SZ') END AS delivery_date
     FROM tracker_table

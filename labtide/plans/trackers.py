@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from labtide.functions import nested, time
 
+# Landed tracker JSON.
+SCHEMA = """
+id string, carrier string, status string, status_detail string, created_at string, est_delivery_date string,
+public_url string, signed_by string, tracking_code string, updated_at string, weight double,
+carrier_detail struct<origin_location: string, destination_location: string, initial_delivery_attempt: string>,
+tracking_details array<struct<datetime: string, tracking_location: struct<city: string, state: string>>>
+"""
+
 # Raw tracker columns, in output order, and the names four of them take.
 COLUMNS = """
 id carrier status status_detail created_at est_delivery_date destination origin delivery_datetime delivery_date

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Names of the zone without offset.
+UTC_NAMES = "UTC Etc/UTC UCT Etc/UCT Universal Etc/Universal Zulu Etc/Zulu GMT Etc/GMT Greenwich Z +00:00".split()
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -40,7 +42,7 @@ def build_session(app: str = "labtide", master: str | None = None, **conf: str)
 def require_utc(spark: SparkSession) -> SparkSession:
     """Refuse a session time zone with an offset: timestamps are UTC wall times, and clock changes would bend durations."""
     zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+    if zone not in UTC_NAMES:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
     return spark
 

@@ -29,6 +29,15 @@ def replace_table(df: DataFrame, base: str, version: str) -> str:
     return path
 
 
+def replace_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """Write a catalog table bucketed and sorted by ``key``.
+
+    Tables that meet on one key every day (reports, samples, kits) then join and group without an exchange. A bucket
+    is one task, so this is for keys with few rows each; AQE cannot split a hot key in a bucketed join.
+    """
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def by_region(df: DataFrame, path: str, *, region: str = "file_state", dialect: Dialect = Dialect()) -> None:
     """One folder per region, in one job. The rebalance hint splits a region that holds a large share of the rows."""
     rows = df.dropna(subset=[f"`{c}`" for c in dialect.required]) if dialect.required else df

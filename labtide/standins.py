@@ -391,7 +391,7 @@ class Standins:
         )
         return self.raw("documents").select(
             F.concat(F.lit("trk_"), key).alias("id"),
-            F.lit("FedEx").alias("carrier"),
+            F.lit("carrier").alias("carrier"),
             F.when(F.col("n_chars") % 2 == 0, "delivered").otherwise("in_transit").alias("status"),
             F.col("source").alias("status_detail"),
             F.lit("2024-01-01T00:00:00Z").alias("created_at"),

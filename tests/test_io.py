@@ -33,8 +33,8 @@ def test_scratch_is_the_checkpoint_folder(spark):
 
 
 def test_s1_sql_with_parameters(spark):
-    users = spark.createDataFrame([("jacob",), ("ann",)], "username string")
-    got = readers.query(spark, "SELECT * FROM {users} WHERE username LIKE :like", {"users": users}, like="%aco%")
+    users = spark.createDataFrame([("jones",), ("ann",)], "username string")
+    got = readers.query(spark, "SELECT * FROM {users} WHERE username LIKE :like", {"users": users}, like="%one%")
     assert got.count() == 1
 
 
@@ -73,6 +73,28 @@ def test_s9_s10_landed_json(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [("1", "a"), ("2", "b")]
 
 
+def test_s11_tracker_json(spark, tmp_path):
+    from labtide.plans import trackers
+
+    lines = [
+        '{"id": "t1", "status": "delivered", "tracking_code": "8001", "carrier_detail": {"origin_location": "A"},'
+        ' "tracking_details": [{"datetime": "2021-01-02T03:04:05Z", "tracking_location": {"city": "C", "state": "S"}}]}',
+        '{"id": "t2", "status": "unknown", "tracking_code": "8002", "carrier_detail": null, "tracking_details": []}',
+    ]
+    path = text_file(f"{tmp_path}/trackers.json", "\n".join(lines) + "\n")
+    got = trackers.normalise(readers.json_objects(spark, path, trackers.SCHEMA), full_load=True).collect()
+    assert [(r.easypost_id, r.picked_up_city, r.delivery_datetime) for r in got] == [("t1", "C", D(2021, 1, 2, 3, 4, 5))]
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    ids = spark.range(1000).select(F.col("id").alias("report_id"), F.col("id").alias("v"))
+    for name in ("bucket_a", "bucket_b"):
+        writers.replace_bucketed(ids, name, f"{tmp_path}/{name}", "report_id", 4)
+    a, b = spark.table("bucket_a"), spark.table("bucket_b").withColumnRenamed("v", "w")
+    plan = a.hint("merge").join(b, "report_id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_s12_k7_watermark(spark, tmp_path):
     path = f"{tmp_path}/mark"
     first = lambda: spark.range(1).select(readers.watermark(spark, path, "2021-01-01").alias("m")).first().m

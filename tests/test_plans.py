@@ -30,8 +30,8 @@ def base(spark):
         """id long, kit_id long, clinic_id long, report_type_id long, created_at timestamp_ntz, start_date timestamp_ntz,
            sent_date timestamp_ntz, result string, expedited boolean""",
     )
-    clinics = spark.createDataFrame([(1, "Westside", 1), (2, "North", 2)], "id long, name string, distributor_id long")
-    distributors = spark.createDataFrame([(1, "Ready Health East"), (2, "Other")], "id long, name string")
+    clinics = spark.createDataFrame([(1, "Harbor", 1), (2, "North", 2)], "id long, name string, distributor_id long")
+    distributors = spark.createDataFrame([(1, "Green Valley East"), (2, "Other")], "id long, name string")
     types = spark.createDataFrame([(1, "COVID PCR"), (2, "Genome")], "id long, name string")
     kits = spark.createDataFrame(
         [(1, "8-001 234"), (2, "N/A"), (3, None), (4, "x"), (5, "x"), (6, "x")], "id long, tracking_number string"
@@ -118,9 +118,9 @@ def test_c6_positives(facts):
 def test_f14_rules(facts):
     from labtide.operators.matching import segments
 
-    rules = turnaround.segment_rules(distributor_has=["Ready Health"], clinic_has=["Westside"])
+    rules = turnaround.segment_rules(distributor_has=["Green Valley"], clinic_has=["Harbor"])
     got = segments(facts, rules).groupBy("segment").count()
-    assert rows(got, "segment") == [("all", 4), ("clinics with Westside", 3), ("distributors with Ready Health", 3)]
+    assert rows(got, "segment") == [("all", 4), ("clinics with Harbor", 3), ("distributors with Green Valley", 3)]
 
 
 def test_c3_trackers_restart_the_clock(spark, facts):
@@ -457,11 +457,6 @@ def test_c18_marks_once(spark, export_tables):
 
 
 def test_c19_trackers(spark):
-    step = "datetime string, tracking_location struct<city: string, state: string>"
-    schema = f"""id string, carrier string, status string, status_detail string, created_at string, est_delivery_date string,
-        public_url string, signed_by string, tracking_code string, updated_at string, weight double,
-        carrier_detail struct<origin_location: string, destination_location: string, initial_delivery_attempt: string>,
-        tracking_details array<struct<{step.replace('datetime string', 'datetime: string').replace('tracking_location struct', 'tracking_location: struct')}>>"""
     steps = [("2021-01-01T01:00:00Z", ("A", "AA")), ("2021-01-02T02:00:00Z", ("B", "BB"))]
 
     def tracker(name, code, status="delivered", detail=("O", "D", None), details=steps):
@@ -477,13 +472,13 @@ def test_c19_trackers(spark):
         tracker("t7", "N/A"),
         tracker("t8", None),
     ]
-    got = {r.easypost_id: r for r in trackers.normalise(spark.createDataFrame(data, schema)).collect()}
+    got = {r.easypost_id: r for r in trackers.normalise(spark.createDataFrame(data, trackers.SCHEMA)).collect()}
     assert sorted(got) == ["t1", "t2", "t3"]
     assert (got["t1"].picked_up_city, got["t1"].delivery_date, got["t1"].tracking_number) == ("A", "2021-01-02T02:00:00Z", 800123)
     assert got["t2"].delivery_date is None and got["t2"].delivery_datetime == D(2021, 1, 2, 2)
     assert got["t3"].picked_up_state is None and got["t3"].delivery_datetime is None
     assert len(got["t1"]) == 18
-    assert trackers.normalise(spark.createDataFrame(data, schema), full_load=True).count() == 2
+    assert trackers.normalise(spark.createDataFrame(data, trackers.SCHEMA), full_load=True).count() == 2
 
 
 def test_c20_crm(spark):
