@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _HOT, _SLICE, _NEAR, _EDGE, _FAR = "__hot", "__slice", "__near", "__edge", "__far"
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
@@ -48,7 +48,7 @@ def neighbour(
         near = df.withColumn(_NEAR, step(payload).over(w))
         return near.select(*df.columns, *[F.col(_NEAR)[c].alias(o) for c, o in zip(columns, outputs)])
 
-    # The broadcast side has a proven bound: rows / hot_rows keys, 2 * 10^5 of them for 10^12 rows.
+    # The broadcast side has a proven bound: rows / hot_rows keys, 10^6 of them for 10^12 rows.
     hot = F.broadcast(hot_keys(df, key, hot_rows))
     slice_ = F.coalesce(F.date_trunc(slice_unit, F.col(ts)).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))
     sliced = df.join(hot, F.col(key) == F.col(_HOT), "left").withColumn(

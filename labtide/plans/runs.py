@@ -12,13 +12,14 @@ from labtide.config.settings import ACCESSIONING_GROUPS, DATA_ENTRY_GROUPS, File
 from labtide.functions import time
 from labtide.operators import matching, reshape
 from labtide.plans import activity, funnel, ledger, shift, state_export, template, turnaround
-from labtide.session import require_utc
+from labtide.session import require_utc, size_for
 from labtide.sources import readers, writers
 
 
 def dashboards(facts: DataFrame, event_logs: DataFrame, out: str, rules: Mapping[str, Column], *, term: str = "COVID") -> None:
     """Funnel by start and event day, turnaround per segment, positives."""
     spark = require_utc(facts.sparkSession)
+    size_for(spark, facts, event_logs)
     facts.write.mode("overwrite").parquet(f"{out}/facts")
     facts = spark.read.parquet(f"{out}/facts")
     for day in ("start_day", "event_day"):
@@ -32,6 +33,8 @@ def shift_reports(
     tables: Mapping[str, DataFrame], out: str, week: dt.date, *, tz: str = time.EST
 ) -> None:
     """Data-entry and accessioning reports of the week that starts on the Monday ``week``."""
+    spark = require_utc(tables["staff"].sparkSession)
+    size_for(spark, *tables.values())
     span = {"start": week, "end": week + dt.timedelta(days=7), "tz": tz}
     staff, log = tables["staff"], tables["event_logs"]
     tickets = activity.ticket_metric(tables["tickets"], staff, **span)
@@ -88,7 +91,7 @@ def state_reporting(
     ``end``, ``first_start`` and the watermark are local times. The manifest is returned. A test run keeps six rows per region, marks nothing and leaves the watermark alone. Run
     twice over the same window, it marks no report and logs no delivery a second time.
     """
-    require_utc(spark)
+    size_for(require_utc(spark), t.reports, t.samples, t.locations, t.patient_users, event_logs)
     mark = F.convert_timezone(F.lit(tz), F.lit("UTC"), readers.watermark(spark, watermark_path, first_start))
     rows = state_export.export_rows(
         t, lab, root=root, as_of=end, end=end, report_type_ids=report_type_ids, tz=tz

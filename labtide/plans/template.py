@@ -45,9 +45,14 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_templates(spark: SparkSession, path: str) -> dict[str, Template]:
-    """Templates by region. Formats are taken from the first row that has them."""
+    """Templates of a folder by region."""
+    return templates_of(read_templates(spark, path))
+
+
+def templates_of(table: DataFrame) -> dict[str, Template]:
+    """Templates of a stored template table. Formats are taken from the first row that has them."""
     grouped: dict[str, list] = {}
-    for row in read_templates(spark, path).orderBy("region", "position").collect():
+    for row in table.orderBy("region", "position").collect():
         grouped.setdefault(row.region, []).append(row)
     return {
         region: Template(

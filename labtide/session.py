@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+MEGABYTE = 1 << 20
+TERABYTE = 1 << 40
 
 # Names of the zone without offset.
 UTC_NAMES = "UTC Etc/UTC UCT Etc/UCT Universal Etc/Universal Zulu Etc/Zulu GMT Etc/GMT Greenwich Z +00:00".split()
@@ -16,8 +19,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def build_session(app: str = "labtide", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators assume; ``conf`` (dots as ``__``) overrides any of them.
 
-    Shuffle partitions stay adaptive: a large initial number that AQE coalesces, so that a 100 TB shuffle
-    gets fine partitions and a small one is not cut to crumbs.
+    ``size_for`` sets the number of shuffle partitions from the data a run reads; AQE then merges the small ones.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -47,6 +49,29 @@ def require_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scan_bytes(*frames: DataFrame) -> int:
+    """Bytes of the files and relations that the frames read, from plan statistics; nothing is run."""
+    total = 0
+    for frame in frames:
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total
+
+
+def size_for(spark: SparkSession, *frames: DataFrame, target: int = 200 * MEGABYTE, most: int = 100_000) -> int:
+    """Shuffle partitions for a run over ``frames``: about ``target`` bytes each, at least one per core.
+
+    AQE merges what turns out small, so the number may be generous; too few partitions would spill. Very large inputs
+    also get larger scan splits, which keeps the number of tasks in the hundred thousands.
+    """
+    size = scan_bytes(*frames)
+    wanted = max(spark.sparkContext.defaultParallelism, min(most, -(-size // target)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    if size > 10 * TERABYTE:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * MEGABYTE))
+    return wanted
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

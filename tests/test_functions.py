@@ -263,3 +263,19 @@ def test_local_time_of_fixed_and_moving_zones(spark, tz):
 def test_d7_seconds_cut_towards_zero(spark):
     a, b = ts("2021-01-01 00:00:00"), ts("2021-01-01 00:00:01.9")
     assert one(spark, time.seconds_between(a, b), time.seconds_between(b, a), time.micros_between(b, a)) == (1, -1, -1_900_000)
+
+
+def test_shuffle_partitions_follow_the_scan(spark, tmp_path):
+    from labtide.session import scan_bytes, size_for
+
+    path = f"{tmp_path}/t"
+    spark.range(200_000).write.parquet(path)
+    table = spark.read.parquet(path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        joined = table.join(table.withColumnRenamed("id", "x"), F.col("id") == F.col("x"))
+        assert scan_bytes(joined) == 2 * scan_bytes(table) > 0
+        assert size_for(spark, joined, target=10_000) == -(-scan_bytes(joined) // 10_000)
+        assert size_for(spark, joined) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -386,6 +386,16 @@ def test_p12_templates(spark, forms):
     assert len(catalogue) == 64 and catalogue[59] == "Patient Age"
 
 
+def test_p12_template_table(spark, forms, tmp_path):
+    from importlib.resources import files
+
+    from labtide.sources import writers
+
+    table = template.read_templates(spark, str(files("labtide.config") / "templates"))
+    writers.publish(table, f"{tmp_path}/templates", by="region")
+    assert template.templates_of(spark.read.parquet(f"{tmp_path}/templates")) == forms[0]
+
+
 def test_catalogue_names_exist_in_the_export(forms, export_tables):
     export = state_export.export_rows(export_tables, LAB, **EXPORT, **WINDOW)
     assert set(forms[1].values()) == set(export.columns) - {"report_id", "file_state"}
