@@ -1,5 +1,9 @@
 """SQL definitions of the stand-in tables, for the side-by-side check."""
 
+LINE_ID = """(l_orderkey * 8 + l_linenumber) * 1000000000
+           + (l_partkey * 1000003 + l_suppkey * 10007 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) * 31
+              + CAST(round(l_extendedprice * 100) AS BIGINT)) % 1000000000"""
+
 TABLES = {
     "reports": """
     SELECT o.o_orderkey AS id, o.o_orderkey AS kit_id, l.high_supp AS clinic_id, l.low_supp AS provider_clinic_id,
@@ -26,23 +30,23 @@ TABLES = {
            o_orderdate + to_seconds(CAST(floor(o_totalprice) AS BIGINT) % 86400) AS received_at
     FROM orders
     """,
-    "samples": """
+    "samples": f"""
     SELECT id, kit_id, received_at, received_at - INTERVAL 36 HOUR AS collection_date, collection_type,
            'S' || CAST(id AS VARCHAR) AS barcode
-    FROM (SELECT (l_orderkey * 8 + l_linenumber) * 1000000000 + (l_partkey * 1000003 + l_suppkey) % 1000000000 AS id,
+    FROM (SELECT {LINE_ID} AS id,
                  l_orderkey AS kit_id,
                  l_shipdate + to_seconds(CAST(floor(l_extendedprice) AS BIGINT) % 86400) AS received_at,
                  CASE l_returnflag WHEN 'A' THEN 'Saliva' WHEN 'N' THEN 'Swab' WHEN 'R' THEN 'Blood' END AS collection_type
           FROM lineitem)
     """,
-    "sample_data_sources": """
-    SELECT (l_orderkey * 8 + l_linenumber) * 1000000000 + (l_partkey * 1000003 + l_suppkey) % 1000000000 AS sample_id,
+    "sample_data_sources": f"""
+    SELECT {LINE_ID} AS sample_id,
            CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN 'rejected'
                 WHEN l_linestatus = 'O' THEN 'further_review' ELSE 'qc_approved' END AS status
     FROM lineitem
     """,
-    "report_events": """
-    SELECT (l_orderkey * 8 + l_linenumber) * 1000000000 + (l_partkey * 1000003 + l_suppkey) % 1000000000 AS id,
+    "report_events": f"""
+    SELECT {LINE_ID} AS id,
            l_orderkey AS report_id, l_orderkey AS kit_id, l_suppkey AS user_id,
            CASE WHEN l_linenumber = 1 THEN 'report_requested'
                 WHEN l_linenumber = 2 THEN 'first_sample_data_source_linked_to_report'

@@ -71,11 +71,12 @@ def phone_format(c: Column | str, layout: str, default: str | None = None) -> Co
     return F.regexp_replace(phone_digits(source), "^(\\d{3})(\\d{3})(\\d{4})$", PHONE_LAYOUTS[layout])
 
 
-def phone_repair(c: Column | str, separator: Column | str = "-") -> tuple[Column, Column]:
+def phone_repair(c: Column | str, separator: Column | str = "-", *, pad: bool = True) -> tuple[Column, Column]:
     """(repaired phone, needs-attention flag).
 
-    Eleven digits lose a leading 1, else are cut to ten characters; eight digits get a 0 appended; fewer than eight
-    or more than eleven digits, or text that does not group as 3-3-4, cannot be repaired and is flagged.
+    Eleven digits lose a leading 1, else are cut to ten characters; eight digits get a 0 appended, or are flagged when
+    ``pad`` is off; fewer than eight or more than eleven digits, or text that does not group as 3-3-4, cannot be
+    repaired and is flagged.
     """
     text = before(c, "/")
     n = F.length(digits(text))
@@ -83,7 +84,7 @@ def phone_repair(c: Column | str, separator: Column | str = "-") -> tuple[Column
     fixed = (
         F.when((n == 11) & leading_one, F.substr(text, F.lit(2)))
         .when(n == 11, F.substring(text, 1, 10))
-        .when(n == 8, F.concat(text, F.lit("0")))
+        .when(n == 8, F.concat(text, F.lit("0")) if pad else F.lit(None).cast("string"))
         .when((n < 8) | (n > 11), F.lit(None).cast("string"))
         .otherwise(text)
     )

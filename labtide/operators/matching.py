@@ -24,14 +24,18 @@ def absent(df: DataFrame, keys: DataFrame, on: Mapping[str, str]) -> DataFrame:
     return df.join(known, [df[a] == known[f"__{b}"] for a, b in on.items()], "left_anti")
 
 
+def looked_up(df: DataFrame, table: DataFrame, key: str, value: str, error: str) -> DataFrame:
+    """Rows with their looked-up value and an ``error`` text where there is none, in one pass."""
+    found = df.join(table.select(key, value), key, "left")
+    return found.withColumn("error", F.when(F.col(value).isNull(), F.lit(error)))
+
+
 def lookup_or_error(
     df: DataFrame, table: DataFrame, key: str, value: str, error: str
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with their looked-up value, rows that found none with an ``error`` text)."""
-    found = df.join(table.select(key, value), key, "left")
-    good = found.where(F.col(value).isNotNull())
-    bad = found.where(F.col(value).isNull()).drop(value).withColumn("error", F.lit(error))
-    return good, bad
+    found = looked_up(df, table, key, value, error)
+    return found.where(F.col("error").isNull()).drop("error"), found.where(F.col("error").isNotNull()).drop(value)
 
 
 def append(*frames: DataFrame) -> DataFrame:

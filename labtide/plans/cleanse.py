@@ -33,13 +33,13 @@ def fix_dates(df: DataFrame, region: str = "state") -> DataFrame:
     return fixed.withColumns(restored).drop(*untouched) if restored else fixed
 
 
-def fix_phones(df: DataFrame, region: str = "state") -> DataFrame:
+def fix_phones(df: DataFrame, region: str = "state", *, pad: bool = True) -> DataFrame:
     """Repaired phones and a ``bad_phone`` flag for rows to look at. KS files are left alone."""
     here = F.col(region)
     separator = F.when(here.isin(*PLAIN_PHONE_REGIONS), F.lit("")).otherwise(F.lit("-"))
     changed, bad = {}, F.lit(False)
     for name in columns.search(df, "phone"):
-        value, broken = text.phone_repair(F.col(f"`{name}`"), separator)
+        value, broken = text.phone_repair(F.col(f"`{name}`"), separator, pad=pad)
         changed[name] = F.when((here == "KS") | broken, F.col(f"`{name}`")).otherwise(value)
         bad = bad | ((here != "KS") & broken)
     return df.withColumns({**changed, BAD_PHONE: bad})
@@ -50,9 +50,12 @@ def fix_zips(df: DataFrame, region: str = "state") -> DataFrame:
     return df.withColumns({z: text.zip_repair(F.col(f"`{z}`"), region) for z in zips}) if zips else df
 
 
-def flagged(df: DataFrame, region: str = "state") -> DataFrame:
-    """Cleansed rows with the ``bad_phone`` flag, in one pass. Write this once when both parts are needed."""
-    return fix_zips(fix_phones(fix_dates(gate(df, region=region), region), region), region)
+def flagged(df: DataFrame, region: str = "state", *, pad: bool = True) -> DataFrame:
+    """Cleansed rows with the ``bad_phone`` flag, in one pass. Write this once when both parts are needed.
+
+    ``pad`` completes eight-digit phones with a 0; off, they are flagged instead.
+    """
+    return fix_zips(fix_phones(fix_dates(gate(df, region=region), region), region, pad=pad), region)
 
 
 def cleanse(df: DataFrame, region: str = "state") -> tuple[DataFrame, DataFrame]:

@@ -107,7 +107,13 @@ class Standins:
 
     def _line_id(self) -> Column:
         line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000_000
-        return line + F.pmod(F.col("l_partkey") * 1_000_003 + F.col("l_suppkey"), F.lit(1_000_000_000))
+        mixed = (
+            F.col("l_partkey") * 1_000_003
+            + F.col("l_suppkey") * 10_007
+            + F.unix_date(F.col("l_shipdate").cast("date")) * 31
+            + F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        )
+        return line + F.pmod(mixed, F.lit(1_000_000_000))
 
     @cached_property
     def samples(self) -> DataFrame:
