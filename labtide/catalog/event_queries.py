@@ -66,12 +66,12 @@ def report_facts(t):
 
 @query(_funnel_sql("event_day"), *FACTS)
 def event_funnel_with_received(t):
-    return funnel.funnel(report_facts(t), t.report_events, day="event_day", term=TERM)
+    return funnel.funnel(report_facts(t), day="event_day", term=TERM)
 
 
 @query(_funnel_sql("start_day"), *FACTS)
 def event_funnel_by_start_day(t):
-    return funnel.funnel(report_facts(t), t.report_events, day="start_day", term=TERM)
+    return funnel.funnel(report_facts(t), day="start_day", term=TERM)
 
 
 @query(f"SELECT id, event_type, {CATEGORY_SQL} AS category FROM lab_events", "lab_events")

@@ -100,9 +100,7 @@ FINISHED_SQL = """
 
 
 def _export(t):
-    rows = export_plan.export_rows(t.export_tables, LAB, root=ROOT, as_of=standins.AS_OF)
-    # only sent reports: the registered export covers the whole time range, so the window does not remove unsent ones
-    return rows.where(F.col("`Result Date and Time`").isNotNull())
+    return export_plan.export_rows(t.export_tables, LAB, root=ROOT, as_of=standins.AS_OF)
 
 
 def _finished(t, **kwargs):
@@ -196,7 +194,7 @@ def unreported_anti(t):
 )
 def ledger_mark_window(t):
     tables = t.export_tables
-    exported = export_plan.eligible_reports(tables, root=ROOT).where(F.col("sent_date").isNotNull())
+    exported = export_plan.eligible_reports(tables, root=ROOT)
     first, last = ledger.window_of(exported, "sent_date")
     marks = ledger.to_mark(tables, t.ledger, root=ROOT, since=None)
     window = exported.where((F.col("sent_date") >= first) & (F.col("sent_date") <= last))
@@ -400,8 +398,7 @@ def template_select_ok(t):
 def state_export_all_locations(t):
     """The variant that sends all addresses of a patient to every region where the patient has one."""
     rows = export_plan.export_rows(t.export_tables, LAB, root=ROOT, as_of=standins.AS_OF, all_locations=True)
-    sent = rows.where(F.col("`Result Date and Time`").isNotNull())
-    return sent.select("report_id", "file_state", "Patient State", "Specimen ID / Accession Number")
+    return rows.select("report_id", "file_state", "Patient State", "Specimen ID / Accession Number")
 
 
 @query(

@@ -16,14 +16,14 @@ from labtide.session import require_utc, size_for
 from labtide.sources import readers, writers
 
 
-def dashboards(facts: DataFrame, event_logs: DataFrame, out: str, rules: Mapping[str, Column], *, term: str = "COVID") -> None:
-    """Funnel by start and event day, turnaround per segment, positives."""
+def dashboards(facts: DataFrame, out: str, rules: Mapping[str, Column], *, term: str = "COVID") -> None:
+    """Funnel by start and event day, turnaround per segment, positives. The source tables are read once."""
     spark = require_utc(facts.sparkSession)
-    size_for(spark, facts, event_logs)
+    size_for(spark, facts)
     facts.write.mode("overwrite").parquet(f"{out}/facts")
     facts = spark.read.parquet(f"{out}/facts")
     for day in ("start_day", "event_day"):
-        writers.publish(funnel.funnel(facts, event_logs, day=day, term=term), f"{out}/events_by_{day}")
+        writers.publish(funnel.funnel(facts, day=day, term=term), f"{out}/events_by_{day}")
     rows = turnaround.turnaround(facts, term=term)
     writers.publish(matching.segments(turnaround.published(rows), rules), f"{out}/turnaround", by="segment")
     writers.publish(turnaround.positives(rows), f"{out}/positives")

@@ -42,8 +42,9 @@ def eligible_reports(
     report_type_ids: Sequence[int] | None = None,
     tz: str = time.EST,
 ) -> DataFrame:
-    """Reports of a distributor and its direct children, sent in the window, in an exportable status."""
-    keep = F.col("status").isin(*codes.REPORT_STATUSES) & time.in_window("sent_date", start, end, tz=tz, closed=True)
+    """Sent reports of a distributor and its direct children, in the window and in an exportable status."""
+    keep = F.col("status").isin(*codes.REPORT_STATUSES) & F.col("sent_date").isNotNull()
+    keep = keep & time.in_window("sent_date", start, end, tz=tz, closed=True)
     if report_type_ids is not None:
         keep = keep & F.col("report_type_id").isin(*report_type_ids)
     family = matching.family(t.distributors, root).withColumnRenamed("id", "__root")

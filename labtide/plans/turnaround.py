@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labtide.config.settings import POSITIVE_COLUMNS, REDRAW_EVENT, TURNAROUND_COLUMNS
+from labtide.config.settings import EVENT_CATEGORIES, POSITIVE_COLUMNS, REDRAW_EVENT, TURNAROUND_COLUMNS
 from labtide.functions import text, time
-from labtide.operators import columns, dedup, matching
+from labtide.operators import columns, matching
+from labtide.plans import funnel
 
 
 def report_facts(
@@ -23,12 +24,14 @@ def report_facts(
     *,
     start=None,
     tz: str = time.EST,
+    categories: Sequence[tuple[str, str]] = EVENT_CATEGORIES,
 ) -> DataFrame:
     """One row per report that has at least one event and one sample.
 
     Events and samples are reduced to one row per report and per kit before they are joined. The row-level join of
     reports, events and samples would multiply rows, and would put a busy report into a single task. Sample columns
-    come from the highest sample id of the kit.
+    come from the highest sample id of the kit. The redraw flag and the funnel's first times come from the same pass
+    over the event log; a consumer that uses only one of them does not pay for the other.
     """
     base = reports.where(F.col("start_date").isNotNull() & time.in_window("start_date", start, tz=tz))
     # Two flat max_by keep this a hash aggregate; one over a struct would sort every sample.
@@ -36,7 +39,7 @@ def report_facts(
         F.max_by("received_at", "id").alias("sample_received_at"),
         F.max_by("collection_date", "id").alias("collection_date"),
     )
-    events = dedup.ever(event_logs, "report_id", F.col("event_type") == REDRAW_EVENT, "redraw")
+    events = funnel.report_events(event_logs, F.col("event_type") == REDRAW_EVENT, "redraw", categories, tz=tz)
     # Dimensions are joined to each other first, so the reports are exchanged once per key and AQE can split a hot key.
     kit = last_sample.join(kits.select(F.col("id").alias("kit_id"), "tracking_number"), "kit_id")
     clinic = clinics.select(F.col("id").alias("clinic_id"), F.col("name").alias("clinic"), "distributor_id").join(

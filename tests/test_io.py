@@ -195,7 +195,7 @@ def test_dashboards_and_shift_runs(spark, tmp_path):
         pytest.skip("test tables are not here")
     t = Standins(spark, "/root/testdata/sf0.001")
     facts = turnaround.report_facts(t.reports, t.clinics, t.distributors, t.report_types, t.kits, t.samples, t.report_events)
-    runs.dashboards(facts, t.report_events, f"{tmp_path}/dash", turnaround.segment_rules(), term="SMALL")
+    runs.dashboards(facts, f"{tmp_path}/dash", turnaround.segment_rules(), term="SMALL")
     assert spark.read.parquet(f"{tmp_path}/dash/facts").count() > 0
     assert "Received" in spark.read.parquet(f"{tmp_path}/dash/events_by_event_day").columns
     tables = {

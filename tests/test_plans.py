@@ -145,11 +145,11 @@ def test_c4_first_per_category_and_received(base, facts):
     assert firsts[(1, "Sent")] == D(2021, 1, 6, 6)
     assert (2, "Approved") in firsts and (2, "Review") not in firsts
     assert not [k for k in firsts if k[1] is None]
-    by_event = {r.receive_day: r for r in funnel.funnel(facts, events).collect()}
+    by_event = {r.receive_day: r for r in funnel.funnel(facts).collect()}
     # received on 01/04 (report 1) and 01/03 (2 and 5); events on 01/03 do not exist
     assert by_event["01/04/2021"]["Accessioned"] == 2 and by_event["01/04/2021"]["Received"] == 1
     assert by_event["01/04/2021"]["Sent"] is None and "01/03/2021" not in by_event
-    by_start = funnel.funnel(facts, events, day="start_day").collect()
+    by_start = funnel.funnel(facts, day="start_day").collect()
     assert [(r.receive_day, r["Accessioned"], r["Sent"]) for r in by_start] == [("01/04/2021", 2, 1)]
 
 

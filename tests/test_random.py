@@ -101,8 +101,9 @@ def test_first_events_both_forms(log):
             want[key] = min(want.get(key, local), local)
     assert {(r.report_id, r.category): r.event_at for r in funnel.first_events(df).collect()} == want
     wide = {}
-    for r in funnel.first_times(df).collect():
-        wide.update({(r.report_id, c): r[c] for c in CATEGORY.values() if r[c] is not None})
+    for r in funnel.report_events(df, F.col("event_type") == "other", "other").collect():
+        wide.update({(r.report_id, c): r.first_times[c] for c in CATEGORY.values() if r.first_times[c] is not None})
+        assert r.other == any(x[1] == r.report_id and x[4] == "other" for x in rows)
     assert wide == want
 
 
