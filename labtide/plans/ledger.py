@@ -60,3 +60,14 @@ def rows_for_exported(exported: DataFrame, event_logs: DataFrame, *, as_of, user
     """Ledger rows for exactly the reports of an export; reports the ledger holds add none."""
     ids = exported.select(F.col("report_id").alias("id"), F.col("`Patient ID`").alias("patient_user_id"))
     return ledger_rows(unreported(ids.dropDuplicates(["id"]), event_logs), as_of=as_of, user_id=user_id)
+
+
+def mark_manifest(states: DataFrame, exported: DataFrame, marks: DataFrame, key: str = "file_state") -> DataFrame:
+    """Newly marked reports per region, zero included, with the notification text."""
+    reports = exported.select(key, "report_id").distinct()
+    new = matching.present(reports, marks.select(F.col("report_id").alias("marked_id")), {"report_id": "marked_id"})
+    counted = matching.count_all(states, new, key)
+    told = F.concat(F.col("n").cast("string"), F.lit(" reports marked state reported from "), F.col(key))
+    return counted.withColumn(
+        "message", F.when(F.col("n") > 0, told).otherwise(F.concat(F.lit("No reports from "), F.col(key)))
+    )

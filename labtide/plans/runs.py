@@ -111,7 +111,11 @@ def state_reporting(
         marked = readers.empty_or(spark, ledger_path, LEDGER_SCHEMA)
         known = matching.append(event_logs.select("report_id", "event_type", "created_at"), marked.select("report_id", "event_type", "created_at"))
         new = ledger.rows_for_exported(staged, known, as_of=end, user_id=user_id)
-        writers.append_new(spark, new, ledger_path, "report_id")
+        # The marks are fixed before the ledger changes: counting them afterwards would find none.
+        new.write.mode("overwrite").parquet(f"{out}/marks")
+        marks = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")
+        writers.publish(ledger.mark_manifest(regions, staged, marks), f"{out}/marked")
+        writers.append_new(spark, marks, ledger_path, "report_id")
         writers.log_deliveries(spark, writers.delivery_manifest(manifest, names, end.date()), deliveries_path)
         writers.write_watermark(spark, watermark_path, end)
     return manifest

@@ -183,6 +183,10 @@ def test_i1_i5_whole_state_run_is_repeatable(spark, tmp_path, export_tables):  #
         runs.state_reporting(spark, export_tables, log, LAB, f"{tmp_path}/{out}", **settings)
     assert sorted(r.report_id for r in spark.read.parquet(f"{tmp_path}/ledger").collect()) == [1, 2]
     assert spark.read.parquet(f"{tmp_path}/sent").count() == 3
+    marked = spark.read.parquet(f"{tmp_path}/one/marked")
+    assert {r.file_state: r.n for r in marked.collect()} == {"NJ": 1, "NY": 1, "DE": 1, "WY": 0}
+    assert "1 reports marked state reported from NJ" in [r.message for r in marked.collect()]
+    assert spark.read.parquet(f"{tmp_path}/two/marked").agg(F.sum("n")).first()[0] == 0
     # the second run starts at the watermark and finds nothing newer
     assert spark.read.parquet(f"{tmp_path}/one/staged").count() == 5
     assert spark.read.schema("report_id long").parquet(f"{tmp_path}/two/staged").count() == 0
@@ -275,3 +279,26 @@ def test_s1_jdbc_options():
 
 def test_unsent_rows_stay_out_of_a_window(export_tables):  # noqa: F811
     assert state_export.export_rows(export_tables, LAB, **EXPORT, **WINDOW).where(F.col("`Result Date and Time`").isNull()).count() == 0
+
+
+def test_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        scratch_root(Session())
+
+
+def test_a9_manifest_lists_all_regions(spark, export_tables):  # noqa: F811
+    from labtide.functions import codes
+
+    regions = spark.createDataFrame([(r,) for r in codes.REGIONS], "file_state string")
+    got = state_export.manifest(regions, state_export.export_rows(export_tables, LAB, **EXPORT, **WINDOW)).collect()
+    assert len(got) == 51 and sum(r.n > 0 for r in got) == 3 and sum(r.n for r in got) == 5
