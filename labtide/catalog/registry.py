@@ -13,6 +13,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _with_tables(sql: str, tables: tuple[str, ...]) -> str:
+    """Put the SQL definitions of ``tables`` in front; the text may go on with common table expressions of its own."""
+    body = sql.strip()
+    if not tables:
+        return body
+    defined = ",\n".join(f"{t} AS (\n{TABLES[t].strip()}\n)" for t in tables)
+    if body.upper().startswith("WITH "):
+        return f"WITH {defined},\n{body[5:]}"
+    if body.startswith(","):
+        return f"WITH {defined}{body}"
+    return f"WITH {defined}\n{body}"
+
+
 def query(sql: str | None = None, *tables: str):
     """Register a function of the stand-in tables under its own name.
 
@@ -23,11 +36,7 @@ def query(sql: str | None = None, *tables: str):
         name = build.__name__
         QUERIES[name] = lambda spark, sf_dir: build(Standins(spark, sf_dir))
         if sql is not None:
-            parts = [f"{t} AS (\n{TABLES[t].strip()}\n)" for t in tables]
-            body = sql.strip()
-            if parts and body.upper().startswith("WITH "):
-                body = ",\n" + body[5:]
-            ORACLES[name] = ("WITH " + ",\n".join(parts) + ("\n" if not body.startswith(",") else "") + body) if parts else body
+            ORACLES[name] = _with_tables(sql, tables)
         return build
 
     return register

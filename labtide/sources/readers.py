@@ -13,9 +13,13 @@ from labtide.functions import time
 from labtide.operators import quality
 
 
-def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A parquet table below ``root``; filters and columns are pushed into the scan."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, root: str, name: str, schema: str | None = None) -> DataFrame:
+    """A parquet table below ``root``; filters and columns are pushed into the scan.
+
+    A declared schema saves the job that reads file footers to find one.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def jdbc_table(
