@@ -96,13 +96,13 @@ def weekday_key(c: Column | str) -> Column:
     return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.weekday(col(c).cast("date")) + 1)
 
 
-def _micros(c: Column | str) -> Column:
+def micros(c: Column | str) -> Column:
     """Microseconds since 1970; with the session zone UTC the wall time is the instant."""
     return F.unix_micros(col(c).cast("timestamp"))
 
 
 def micros_between(start: Column | str, end: Column | str) -> Column:
-    return _micros(end) - _micros(start)
+    return micros(end) - micros(start)
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
@@ -135,8 +135,8 @@ def day_parts(c: Column | str) -> tuple[Column, Column]:
 
     The two parts are summed apart: one BIGINT sum of microseconds overflows beyond 10^8 rows a day.
     """
-    micros = F.pmod(_micros(c), F.lit(86_400_000_000))
-    return floor_div(micros, 1_000_000), F.pmod(micros, F.lit(1_000_000))
+    since_midnight = F.pmod(micros(c), F.lit(86_400_000_000))
+    return floor_div(since_midnight, 1_000_000), F.pmod(since_midnight, F.lit(1_000_000))
 
 
 def mean_seconds(sec_sum: Column, frac_sum: Column, n: Column) -> Column:

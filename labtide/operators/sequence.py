@@ -1,9 +1,9 @@
 """Neighbouring rows within a key: next user, time in stage, next and previous event.
 
 A plain ``lead`` sorts each key in one task, which fails when one report holds a third of the log. Keys above
-``hot_rows`` are therefore cut into time slices. Every slice is a window of its own, and the row at a slice edge takes
-its neighbour from the first (or last) row of the adjoining slice. Those edge rows form a small frame: one row per
-slice of a hot key. Keys that are not hot stay in one slice and cost a single exchange.
+``hot_rows`` are therefore cut into slices that follow the order of the rows. Every slice is a window of its own, and the
+row at a slice edge takes its neighbour from the first (or last) row of the adjoining slice. Those edge rows form a small
+frame: one row per slice of a hot key. Keys that are not hot stay in one slice and cost a single exchange.
 """
 
 from __future__ import annotations
@@ -12,15 +12,51 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_HOT, _SLICE, _NEAR, _EDGE, _FAR = "__hot", "__slice", "__near", "__edge", "__far"
+from labtide.functions import time
+
+_KEY, _CUTS, _NEAR, _EDGE, _FAR = "__key", ("__cut0", "__cut1", "__cut2"), "__near", "__edge", "__far"
 HOT_ROWS = 1_000_000
+OVERSAMPLE = 4
+
 
+def _hot_cells(df: DataFrame, cells: Sequence[str], ts: str, limit: int) -> DataFrame:
+    """Cells with more than ``limit`` rows, with their size and time span. There are at most ``rows / limit``."""
+    micros = time.micros(ts)
+    stats = (
+        df.where(F.col(cells[-1]).isNotNull())
+        .groupBy(*[F.col(c).alias(f"__of_{i}") for i, c in enumerate(cells)])
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(micros).alias("__lo"), F.max(micros).alias("__hi"))
+    )
+    return stats.where(F.col("__n") > limit)
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows. There are at most ``rows / hot_rows`` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > hot_rows).select(_HOT)
+
+def cut_hot_keys(df: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFrame:
+    """Add three cut numbers that split hot keys in the order ``(ts, tie)``; they are null for all other keys.
+
+    The first cut divides a hot key's time span evenly, into parts in proportion to its rows. Where rows crowd in one
+    part, the next cut divides that part's own span again, or, if they all share one time, goes by blocks of the tie
+    number. Rows without a time come first. What three cuts cannot part is a crowd at a few single times that lie
+    extremely close together in a long history.
+    """
+    limit = max(limit, 1)
+    numeric = isinstance(df.schema[tie].dataType, T.IntegralType)
+    block = F.call_function("div", F.col(tie).cast("bigint"), F.lit(limit)) if numeric else F.lit(0).cast("bigint")
+    out, cells = df, [key]
+    for level, name in enumerate(_CUTS):
+        # A proven bound for the broadcast: rows / limit cells, 10^6 of them for 10^12 rows.
+        hot = F.broadcast(_hot_cells(out, cells, ts, limit))
+        parts = F.ceil(F.col("__n") / F.lit(limit)) * OVERSAMPLE
+        along = F.floor((time.micros(ts) - F.col("__lo")).cast("double") * parts / (F.col("__hi") - F.col("__lo") + 1))
+        one_time = F.col("__lo").eqNullSafe(F.col("__hi"))
+        cut = F.when(F.col("__n").isNotNull(), F.when(one_time, block).otherwise(F.coalesce(along, F.lit(-1))))
+        if level:
+            cut = F.when(F.col(cells[-1]).isNotNull(), F.coalesce(cut, F.lit(0)))
+        same = [F.col(c) == F.col(f"__of_{i}") for i, c in enumerate(cells)]
+        out = out.join(hot, same, "left").select(*[F.col(f"`{c}`") for c in out.columns], cut.alias(name))
+        cells.append(name)
+    return out
 
 
 def neighbour(
@@ -33,7 +69,6 @@ def neighbour(
     prefix: str = "next_",
     previous: bool = False,
     hot_rows: int | None = HOT_ROWS,
-    slice_unit: str = "minute",
 ) -> DataFrame:
     """Add ``columns`` of the next (or previous) row of the same key, ordered by ``(ts, tie)``.
 
@@ -48,32 +83,23 @@ def neighbour(
         near = df.withColumn(_NEAR, step(payload).over(w))
         return near.select(*df.columns, *[F.col(_NEAR)[c].alias(o) for c, o in zip(columns, outputs)])
 
-    # The broadcast side has a proven bound: rows / hot_rows keys, 10^6 of them for 10^12 rows.
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    slice_ = F.coalesce(F.date_trunc(slice_unit, F.col(ts)).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))
-    sliced = df.join(hot, F.col(key) == F.col(_HOT), "left").withColumn(
-        _SLICE, F.when(F.col(_HOT).isNotNull(), slice_)
-    )
-
-    w = Window.partitionBy(key, _SLICE).orderBy(ts, tie)
-    near = sliced.withColumn(_NEAR, step(payload).over(w)).withColumn(
-        _EDGE, F.col(_HOT).isNotNull() & step(F.lit(1)).over(w).isNull()
-    )
+    cut = cut_hot_keys(df, key, ts, tie, hot_rows)
+    is_hot = F.col(_CUTS[0]).isNotNull()
+    w = Window.partitionBy(key, *_CUTS).orderBy(ts, tie)
+    near = cut.withColumn(_NEAR, step(payload).over(w)).withColumn(_EDGE, is_hot & step(F.lit(1)).over(w).isNull())
 
     edges = (
-        sliced.where(F.col(_HOT).isNotNull())
-        .groupBy(_HOT, _SLICE)
+        cut.where(is_hot)
+        .groupBy(F.col(key).alias(_KEY), *_CUTS)
         .agg(toward(F.struct(F.col(ts), F.col(tie), payload.alias("row"))).alias("__head"))
     )
-    slices = Window.partitionBy(_HOT).orderBy(_SLICE)
+    slices = Window.partitionBy(_KEY).orderBy(*_CUTS)
     far = edges.select(
-        F.col(_HOT).alias("__far_key"),
-        F.col(_SLICE).alias("__far_slice"),
-        step(F.col("__head.row")).over(slices).alias(_FAR),
+        _KEY, *[F.col(c).alias(f"{c}_far") for c in _CUTS], step(F.col("__head.row")).over(slices).alias(_FAR)
     )
 
-    joined = near.join(far, (F.col(key) == F.col("__far_key")) & (F.col(_SLICE) == F.col("__far_slice")), "left")
+    met = [F.col(key) == F.col(_KEY), *[F.col(c) == F.col(f"{c}_far") for c in _CUTS]]
     picked = [
         F.when(F.col(_EDGE), F.col(_FAR)[c]).otherwise(F.col(_NEAR)[c]).alias(o) for c, o in zip(columns, outputs)
     ]
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *picked)
+    return near.join(far, met, "left").select(*[F.col(f"`{c}`") for c in df.columns], *picked)

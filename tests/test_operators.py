@@ -70,28 +70,47 @@ def brute(data, key, order, columns_, previous):
     return out
 
 
+SHAPES = {
+    "spread": lambda rnd: dt.timedelta(seconds=rnd.choice([0, 1, 59, 60, 61, 3_600, rnd.randrange(20_000)])),
+    "crowded": lambda rnd: dt.timedelta(days=rnd.choice([0] * 20 + [900]), microseconds=rnd.randrange(50)),
+    "one time": lambda rnd: dt.timedelta(0),
+}
+
+
 @pytest.mark.parametrize("previous", [False, True])
 @pytest.mark.parametrize("hot_rows", [None, 0, 5, 1_000])
-@pytest.mark.parametrize("unit", ["minute", "hour"])
-def test_w1_w2_w3_neighbours_equal_brute_force(spark, previous, hot_rows, unit):
+@pytest.mark.parametrize("shape", ["spread", "crowded", "one time"])
+def test_w1_w2_w3_neighbours_equal_brute_force(spark, previous, hot_rows, shape):
     rnd = random.Random(7)
     start = dt.datetime(2021, 1, 1)
     data = [
         {
             "id": i,
             "k": rnd.choice([1, 1, 1, 1, 2, 3, 4, 5]),
-            "t": start + dt.timedelta(seconds=rnd.choice([0, 1, 59, 60, 61, 3_600, rnd.randrange(20_000)])),
+            "t": start + SHAPES[shape](rnd),
             "v": rnd.choice(["a", "b", None]),
         }
         for i in range(400)
     ]
     df = spark.createDataFrame(data, "id long, k long, t timestamp_ntz, v string")
-    got = sequence.neighbour(df, "k", "t", "id", ["id", "v"], previous=previous, hot_rows=hot_rows, slice_unit=unit)
+    got = sequence.neighbour(df, "k", "t", "id", ["id", "v"], previous=previous, hot_rows=hot_rows)
     assert got.count() == len(data)
     want = brute(data, "k", lambda r: (r["t"], r["id"]), ["id", "v"], previous)
     assert {r.id: (r.next_id, r.next_v) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("shape", SHAPES)
+def test_slices_of_a_hot_key_are_small(spark, shape):
+    rnd = random.Random(8)
+    data = [(i, 1, dt.datetime(2021, 1, 1) + SHAPES[shape](rnd)) for i in range(3000)]
+    df = spark.createDataFrame(data + [(9_999, 2, dt.datetime(2021, 1, 1))], "id long, k long, t timestamp_ntz")
+    cut = sequence.cut_hot_keys(df, "k", "t", "id", 100)
+    assert cut.count() == 3001 and cut.where("k = 2 AND __cut0 IS NULL AND __cut2 IS NULL").count() == 1
+    largest = cut.where("k = 1").groupBy("__cut0", "__cut1", "__cut2").count().agg(F.max("count")).first()[0]
+    most = {"spread": 500, "crowded": 100, "one time": 100}[shape]
+    assert largest <= most
+
+
 def test_neighbours_with_missing_times_and_keys(spark):
     data = [(1, 1, None), (2, 1, dt.datetime(2021, 1, 1)), (3, 1, dt.datetime(2021, 1, 2)), (4, None, dt.datetime(2021, 1, 2))]
     df = spark.createDataFrame(data, "id long, k long, t timestamp_ntz")
