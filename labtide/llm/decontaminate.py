@@ -99,7 +99,7 @@ class Sketches:
 
 def _search(docs: DataFrame, groups: dict[int, Sketches]) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in (s for p in parts for s in words.slices(p)):
             hashes, first = words.word_hashes(part.column(1), words.NOT_ALPHANUMERIC)
             ids, bodies = part.column(0).to_pylist(), part.column(2).to_pylist()
             rows = []

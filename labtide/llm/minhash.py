@@ -58,7 +58,7 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int, separating: n
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, offsets = permutations(bands * rows // 2)
-        for part in parts:
+        for part in (s for p in parts for s in words.slices(p)):
             sizes, names, signs = [], [], []
             for shingles in words.shingle_lists(part.column(1), width, separating):
                 kept = words.distinct(shingles)
@@ -84,7 +84,7 @@ def shingle_sets(docs: DataFrame, width: int, separating: np.ndarray = words.WHI
     """Document and its sorted distinct shingle hashes."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in (s for p in parts for s in words.slices(p)):
             sets = [words.distinct(s).view(np.int64) for s in words.shingle_lists(part.column(1), width, separating)]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             values = np.concatenate(sets) if sets else np.zeros(0, np.int64)

@@ -20,9 +20,9 @@ from labtide.llm.staging import staged
 
 SEQUENCE = 2048
 END_ID = 0
-KNOWN_PARTS = 500_000
-KNOWN_WORDS = 150_000
-RANKED = 20_000
+KNOWN_PARTS = 150_000
+KNOWN_WORDS = 100_000
+RANKED = 5_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -81,6 +81,12 @@ class WordIds:
         spelt = word if word.isalpha() and word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt)])
 
+    def forget(self) -> None:
+        """Give back the memory of both tables."""
+        for table in (self.words, self.parts):
+            table.older = {}
+            table.clear()
+
     def ids(self, text: str) -> bytes:
         if self.by_words and "<|" not in text and not OUTSIDE.search(text):
             return b"".join(map(self.parts.__getitem__, text.lower().split()))
@@ -89,7 +95,7 @@ class WordIds:
 
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
-    """The table of this Python worker, which serves one task after another."""
+    """The loaded tokenizer of this Python worker, which serves one task after another; tables last for a task."""
     return WordIds(path)
 
 
@@ -118,6 +124,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id:
             if with_ids:
                 arrays, names = [*arrays, pa.array(chunks, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        known.forget()
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return rows.mapInArrow(batches, PIECES + (", ids array<int>" if with_ids else ""))

@@ -76,6 +76,16 @@ def _cuts(data: np.ndarray, ends: np.ndarray, separating: np.ndarray) -> Iterato
         at = stop
 
 
+def slices(part: pa.RecordBatch, column: int = 1, most: int = 4 * SEGMENT) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of at most about ``most`` bytes of text, one row at least."""
+    _, ends = column_bytes(part.column(column))
+    at = 0
+    while at < part.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield part.slice(at, stop - at)
+        at = stop
+
+
 def word_hashes(column: pa.Array, separating: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a text column in order, and the n + 1 places where the rows' words begin."""
     data, ends = column_bytes(column)
