@@ -56,6 +56,24 @@ TRAINING = [
     ("https://stringent.example/en/38", 0),
     ("http://www.thandero.example/de/39/", 0),
     ("https://anthetion.example/fr/40#top", 0),
+    ("http://www.online-casino.example/en/41", 1),
+    ("https://blog.win-bets.example/fr/42", 1),
+    ("http://m.cheap-meds-pills.example/en/43", 1),
+    ("https://www.free-casino-spins.example/es/44/", 1),
+    ("http://blog.adult-cams.example/de/45", 1),
+    ("https://m.spam-links.example/en/46?page=2", 1),
+    ("http://town-hall.example/en/51", 0),
+    ("https://gardening.example/en/52", 0),
+    ("http://schools.example/de/53", 0),
+    ("https://newspaper.example/en/54", 0),
+    ("http://city-archive.example/fr/55", 0),
+    ("https://bakery.example/en/56", 0),
+    ("http://hospital-care.example/es/57", 0),
+    ("https://choir-society.example/en/58/", 0),
+    ("http://bridge-club.example/de/59", 0),
+    ("https://mountain-rescue.example/en/60", 0),
+    ("http://philosophy.example/en/61", 0),
+    ("https://book-reviews.example/fr/62.html", 0),
 ]
 
 
