@@ -308,6 +308,29 @@ def accessions_by_next_user(t):
     return activity.by_user(activity.accession_metric(t.reports, t.report_events, t.staff))
 
 
+@query(
+    """
+    WITH ahead AS (
+      SELECT *, lead(user_id) OVER (PARTITION BY report_id ORDER BY created_at, id) AS next_user FROM report_events
+      WHERE created_at >= TIMESTAMP '1995-11-06 05:00:00'),
+    linked AS (
+      SELECT a.report_id, a.created_at - INTERVAL 5 HOUR AS moment, s.fullname,
+             row_number() OVER (PARTITION BY a.report_id ORDER BY a.created_at, a.id) AS rn
+      FROM ahead a JOIN staff s ON s.user_id = a.next_user
+      WHERE a.event_type = 'first_sample_data_source_linked_to_report'
+        AND a.created_at < TIMESTAMP '1995-11-13 05:00:00')
+    SELECT CAST(l.moment AS DATE) AS day, l.fullname, count(*) AS n
+    FROM linked l JOIN orders o ON o.o_orderkey = l.report_id WHERE l.rn = 1 GROUP BY 1, 2
+    """,
+    "report_events",
+    "staff",
+)
+def accessions_one_week(t):
+    """One local week: linking events inside it, credited to the next event even where that lies beyond the week."""
+    week = {"start": "1995-11-06 00:00:00", "end": "1995-11-13 00:00:00"}
+    return activity.by_user(activity.accession_metric(t.reports, t.report_events, t.staff, **week))
+
+
 @query(
     """
     SELECT DISTINCT fullname FROM (

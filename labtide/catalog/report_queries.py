@@ -47,15 +47,15 @@ PUBLISHED = """
     SELECT {PUBLISHED}, CAST(hundredths AS DOUBLE) / 100 AS "TAT", goal,
            CASE WHEN hundredths < goal * 100 THEN 0 ELSE 1 END AS goal_missed,
            CASE WHEN result = 'Positive' THEN 1 ELSE 0 END AS positive,
-           (SELECT CAST(sum(hundredths) AS DOUBLE) / CAST(count(*) AS DOUBLE) / 100 FROM tat_rows {KEPT}
-              AND raw_number IS DISTINCT FROM 'N/A') AS "Average Turnaround"
+           (SELECT CAST(sum(hundredths) AS DOUBLE) / CAST(count(*) AS DOUBLE) / 100 FROM tat_rows {KEPT}) AS "Average Turnaround"
     FROM tat_rows {KEPT} AND raw_number IS DISTINCT FROM 'N/A'
     """,
     *TAT,
 )
 def turnaround_dash(t):
     rows = turnaround.turnaround(report_facts(t), term=TERM)
-    shown = _shown(turnaround.with_average(rows))
+    every = turnaround.turnaround(report_facts(t), term=TERM, clean=False)
+    shown = _shown(turnaround.with_average(rows, of=every))
     return shown.select(*turnaround.published(rows).columns, "Average Turnaround")
 
 
@@ -122,7 +122,7 @@ TRACKER_SQL = """
              'https://track.example/' || doc_id AS public_url,
              CASE lang WHEN 'de' THEN '`' || doc_id WHEN 'fr' THEN '8' || lpad(CAST(doc_id AS VARCHAR), 11, '0')
                   WHEN 'es' THEN 'N/A' ELSE lpad(CAST(doc_id AS VARCHAR), 12, '7') END AS num,
-             CASE WHEN n_chars > 300 THEN [x FOR x IN string_split(text, chr(10)) IF length(x) > 0] ELSE [] END AS lines
+             CASE WHEN source <> 'src3' THEN [x FOR x IN string_split(text, chr(10)) IF length(x) > 0] ELSE [] END AS lines
       FROM documents),
     tracker_table AS (
       SELECT easypost_id, tracking_status, destination, origin, weight, public_url, CAST(num AS BIGINT) AS tracking_number,

@@ -146,13 +146,14 @@ def accession_metric(
 ) -> DataFrame:
     """First linking event per report, credited to the user of the report's next event.
 
-    A report's last event has no next one, and an unknown user has no name; both are left out, as are blank names.
+    A report's last event has no next one, and an unknown user has no name; both are left out, as are blank names. The
+    next event may lie beyond ``end``: only the linking event is held to it.
     """
     started = reports.where(F.col("start_date").isNotNull()).select(F.col("id").alias("report_id"))
-    window = time.in_window("created_at", start, end, tz=tz)
-    log = event_logs.where(window).select("id", "report_id", "user_id", "event_type", "created_at")
+    log = event_logs.where(time.in_window("created_at", start, tz=tz)).select("id", "report_id", "user_id", "event_type", "created_at")
     ahead = sequence.neighbour(log, "report_id", "created_at", "id", ["user_id"], hot_rows=hot_rows)
     linked = ahead.where((F.col("event_type") == event) & F.col("next_user_id").isNotNull())
+    linked = linked.where(time.in_window("created_at", end=end, tz=tz))
     named = staff_names(staff).where(F.trim("fullname") != "").select(F.col("actor").alias("next_user_id"))
     known = linked.join(named, "next_user_id", "left_semi")
     firsts = dedup.first_per_key(known, ["report_id"], ["created_at", "id"])

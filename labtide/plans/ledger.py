@@ -24,7 +24,7 @@ def unreported(reports: DataFrame, event_logs: DataFrame, since=None, key: str =
 
 
 def to_mark(
-    t: ExportTables, event_logs: DataFrame, *, root: int, start=None, end=None, states=None, since="2021-01-01", **rules
+    t: ExportTables, event_logs: DataFrame, *, root: int, start=None, end=None, states=None, since=None, **rules
 ) -> DataFrame:
     """Eligible reports of the window that have a usable specimen, a patient address and no ledger row."""
     reports = eligible_reports(t, root=root, start=start, end=end, **rules)

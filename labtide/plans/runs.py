@@ -92,9 +92,11 @@ def state_reporting(
     twice over the same window, it marks no report and logs no delivery a second time.
     """
     size_for(require_utc(spark), t.reports, t.samples, t.locations, t.patient_users, event_logs)
+    # ``end`` is local; what is printed and stored is made from the same instant in UTC.
+    utc_end = spark.range(1).select(time.local_bound(end, tz)).first()[0]
     mark = F.convert_timezone(F.lit(tz), F.lit("UTC"), readers.watermark(spark, watermark_path, first_start))
     rows = state_export.export_rows(
-        t, lab, root=root, as_of=end, end=end, report_type_ids=report_type_ids, tz=tz
+        t, lab, root=root, as_of=utc_end, end=end, report_type_ids=report_type_ids, tz=tz
     ).where((F.col("`Result Date and Time`") >= mark) & F.col("file_state").isin(*states))
     done = state_export.finish(rows, mode=mode, limit_per_state=6 if test_run else None, tz=tz)
     staged = writers.stage(done, f"{out}/staged")
@@ -110,7 +112,7 @@ def state_reporting(
     if not test_run:
         marked = readers.empty_or(spark, ledger_path, LEDGER_SCHEMA)
         known = matching.append(event_logs.select("report_id", "event_type", "created_at"), marked.select("report_id", "event_type", "created_at"))
-        new = ledger.rows_for_exported(staged, known, as_of=end, user_id=user_id)
+        new = ledger.rows_for_exported(staged, known, as_of=utc_end, user_id=user_id)
         # The marks are fixed before the ledger changes: counting them afterwards would find none.
         new.write.mode("overwrite").parquet(f"{out}/marks")
         marks = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")

@@ -79,9 +79,12 @@ def turnaround(
     genomics: bool = False,
     low: float = 6,
     high: float | None = None,
+    clean: bool = True,
 ) -> DataFrame:
     """Turnaround rows before publishing.
 
+    Without ``clean``, rows with the "N/A" tracking marker stay: the overall mean is taken over them as well.
+
     The main branch keeps tests whose name contains ``term`` with ``low < TAT < high`` hours (200 unless given); the
     genomics branch keeps all other tests with a turnaround in whole days below ``high`` (1500 unless given).
     """
@@ -110,7 +113,7 @@ def turnaround(
                 "goal_missed": (F.col("TAT") >= goal).cast("int"),
             }
         )
-    return clean_tracking(rows)
+    return clean_tracking(rows) if clean else rows
 
 
 def clean_tracking(rows: DataFrame) -> DataFrame:
@@ -180,5 +183,7 @@ def with_trackers(rows: DataFrame, trackers: DataFrame, *, low: float = 6, high:
             ),
         }
     )
+    if "goal" in timed.columns:
+        timed = timed.withColumn("goal_missed", (F.col("TAT") >= F.col("goal")).cast("int"))
     averaged = with_average(timed)
     return averaged.where((F.col("TAT") > low) & (F.col("TAT") < high))

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 MEGABYTE = 1 << 20
-TERABYTE = 1 << 40
+UNKNOWN = 1 << 60
 
 # Names of the zone without offset.
 UTC_NAMES = "UTC Etc/UTC UCT Etc/UCT Universal Etc/Universal Zulu Etc/Zulu GMT Etc/GMT Greenwich Z +00:00".split()
@@ -54,21 +54,20 @@ def scan_bytes(*frames: DataFrame) -> int:
     total = 0
     for frame in frames:
         leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        total += sum(size for size in sizes if size < UNKNOWN)
     return total
 
 
-def size_for(spark: SparkSession, *frames: DataFrame, target: int = 200 * MEGABYTE, most: int = 100_000) -> int:
+def size_for(spark: SparkSession, *frames: DataFrame, target: int = 200 * MEGABYTE) -> int:
     """Shuffle partitions for a run over ``frames``: about ``target`` bytes each, at least one per core.
 
-    AQE merges what turns out small, so the number may be generous; too few partitions would spill. Very large inputs
-    also get larger scan splits, which keeps the number of tasks in the hundred thousands.
+    AQE merges what turns out small, so the number may be generous; too few partitions would spill. Relations whose size
+    Spark does not know do not count.
     """
     size = scan_bytes(*frames)
-    wanted = max(spark.sparkContext.defaultParallelism, min(most, -(-size // target)))
+    wanted = max(spark.sparkContext.defaultParallelism, -(-size // target))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    if size > 10 * TERABYTE:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * MEGABYTE))
     return wanted
 
 

@@ -424,7 +424,7 @@ class Standins:
             F.lit("2024-01-02T00:00:00Z").alias("updated_at"),
             F.col("n_chars").cast("double").alias("weight"),
             F.when(F.col("source") != "src7", detail).alias("carrier_detail"),
-            F.when(F.col("n_chars") > 300, steps).otherwise(F.array().cast(steps_type())).alias("tracking_details"),
+            F.when(F.col("source") != "src3", steps).otherwise(F.array().cast(steps_type())).alias("tracking_details"),
         )
 
 

@@ -216,16 +216,18 @@ def event_files(spark, folder, parts):
         df.coalesce(1).write.mode("append").parquet(folder)
 
 
-def test_t1_stream_equals_batch_on_closed_days(spark, tmp_path):
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_t1_stream_equals_batch_for_any_batch_size_and_late_files(spark, tmp_path, files):
     folder = f"{tmp_path}/log"
-    parts = [[(d * 10 + i, D(2021, 1, d, 12, i), i, "a" if i % 2 else "b") for i in range(5)] for d in range(1, 9)]
+    days = [1, 2, 9, 10, 3, 4, 8, 1]
+    parts = [[(n * 10 + i, D(2021, 1, d, 12, i), i, "a" if i % 2 else "b") for i in range(5)] for n, d in enumerate(days)]
     event_files(spark, folder, parts)
     schema = spark.read.parquet(folder).schema
-    counts = daily_counts.daily_counts(daily_counts.read_events(spark, folder, schema, files_per_batch=2))
+    counts = daily_counts.daily_counts(daily_counts.read_events(spark, folder, schema, files_per_batch=files))
     daily_counts.run(counts, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out")
     assert sorted((r.day_start.day, r.kind, r.n) for r in got.collect()) == [
-        (d, k, n) for d in range(1, 6) for k, n in (("a", 2), ("b", 3))
+        (d, k, n * days.count(d)) for d in sorted(set(days)) for k, n in (("a", 2), ("b", 3))
     ]
 
 

@@ -507,3 +507,18 @@ def test_c20_crm(spark):
     )
     assert crm.deal_pipelines(lines).columns == ["id", "label"]
     assert rows(crm.stages_of(lines, "Sales"), "id") == [("a", "s1", "New"), ("a", "s2", "Won")]
+
+
+def test_w1_next_event_may_lie_beyond_the_week(spark):
+    from labtide.plans import activity
+
+    reports = spark.createDataFrame([(1, dt.datetime(2021, 1, 1))], "id long, start_date timestamp_ntz")
+    rows = [
+        (1, 1, 7, activity.FIRST_LINK_EVENT, dt.datetime(2021, 1, 11, 4, 59)),
+        (2, 1, 8, "other", dt.datetime(2021, 1, 11, 5, 1)),
+    ]
+    log = spark.createDataFrame(rows, "id long, report_id long, user_id long, event_type string, created_at timestamp_ntz")
+    staff = spark.createDataFrame([(8, 8, "Ann", "Lee")], "id long, user_id long, first_name string, last_name string")
+    week = {"start": "2021-01-04 00:00:00", "end": "2021-01-11 00:00:00"}
+    assert activity.accession_metric(reports, log, staff, **week).count() == 1
+    assert activity.accession_metric(reports, log.where("id = 1"), staff, **week).count() == 0
