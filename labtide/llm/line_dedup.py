@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtide.llm.cuckoo import CuckooFilter
-from labtide.llm.staging import staged
+from labtide.llm.staging import body, staged, unused
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -59,7 +59,7 @@ def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             )
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("body")
+        F.col("doc_id").cast("bigint"), F.col("text").cast("string"), body().alias("body")
     )
     return rows.mapInArrow(batches, REFERENCES)
 
@@ -195,25 +195,25 @@ class LineIndex:
         places = gone.select("doc_id", "body", F.explode("places").alias("place")).distinct()
         return places.groupBy("doc_id", "body").agg(F.collect_list("place").alias("places"))
 
-    def _marked(self, docs: DataFrame) -> tuple[DataFrame, list[str]]:
-        rows = docs.withColumns(
-            {"__id": F.col("doc_id").cast("bigint"), "__body": F.xxhash64(F.col("text").cast("string"))}
-        )
-        drops = self.drops().toDF("__id", "__body", "__places")
-        return rows.join(drops, ["__id", "__body"], "left"), docs.columns
+    def _marked(self, docs: DataFrame) -> tuple[DataFrame, str, str]:
+        """``docs`` with the doc_id as a number and the places of the lines that go, and the names of these two columns."""
+        number, key, gone = (unused(n, docs.columns) for n in ("marked_id", "marked_body", "marked_places"))
+        rows = docs.withColumns({number: F.col("doc_id").cast("bigint"), key: body()})
+        return rows.join(self.drops().toDF(number, key, gone), [number, key], "left"), number, gone
 
     def clean(self, docs: DataFrame) -> DataFrame:
         """Indexed documents without their repeated lines, in all their columns; n_chars, if there is one, is set anew.
 
         A null text stays null, and a text of which all lines went is empty.
         """
-        marked, columns = self._marked(docs)
+        columns = docs.columns
+        marked, _, gone = self._marked(docs)
 
         def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
                 texts = part.column("text").cast(pa.large_binary()).to_pylist()
                 kept = []
-                for text, places in zip(texts, part.column("__places")):
+                for text, places in zip(texts, part.column(gone)):
                     places = places.as_py()
                     kept.append(text if text is None or not places else _without(text, places)[0])
                 kept = pa.array(kept, pa.large_binary()).cast(pa.large_string()).cast(pa.string())
@@ -221,12 +221,12 @@ class LineIndex:
                     [kept if c == "text" else part.column(c) for c in columns], names=columns
                 )
 
-        out = marked.select(*columns, "__places").mapInArrow(batches, docs.schema)
+        out = marked.select(*columns, gone).mapInArrow(batches, docs.schema)
         return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in columns else out
 
     def digests(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_lines, n_dropped and the SHA-256 of what is left, for every row; a null text is one empty line."""
-        marked, _ = self._marked(docs)
+        marked, number, gone = self._marked(docs)
 
         def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
@@ -236,11 +236,10 @@ class LineIndex:
                     places = places.as_py() or []
                     kept, lines = _without(text.as_py() or b"", places)
                     rows.append((doc, lines, len(places), hashlib.sha256(kept).hexdigest()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in zip(*rows)], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"]
-                ) if rows else pa.RecordBatch.from_pylist([], DIGESTS)
+                columns = zip(*rows) if rows else [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, DIGESTS.types)], schema=DIGESTS)
 
-        return marked.select(F.col("__id").alias("doc_id"), F.col("text").cast("string"), "__places").mapInArrow(
+        return marked.select(F.col(number).alias("doc_id"), F.col("text").cast("string"), gone).mapInArrow(
             batches, "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string"
         )
 

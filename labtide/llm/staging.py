@@ -34,9 +34,18 @@ def body() -> Column:
     return F.xxhash64(F.col("text").cast("string"))
 
 
+def unused(name: str, columns: Sequence[str]) -> str:
+    """``name``, with underscores added while one of ``columns`` has it; Spark's names ignore case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not among ``gone`` (doc_id, body); null ids are compared as values."""
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("body").alias("__body"))
-    rows = docs.withColumn("__key", body())
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & F.col("__key").eqNullSafe(F.col("__body"))
+    key, gone_id, gone_body = (unused(n, docs.columns) for n in ("key_", "gone_id", "gone_body"))
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("body").alias(gone_body))
+    rows = docs.withColumn(key, body())
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(gone_id)) & F.col(key).eqNullSafe(F.col(gone_body))
     return rows.join(gone, same, "left_anti").select(docs.columns)

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from labtide.llm import (
     decontaminate,
@@ -346,3 +347,96 @@ def test_pipeline_stages_keep_columns_and_packs_what_is_left(spark):
         assert {r.doc_id for r in docs.select("doc_id").collect()} <= {r.doc_id for r in before.select("doc_id").collect()}
     left = {r.doc_id for r in docs.select("doc_id").collect()}
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).select("doc_id").collect()} == left
+
+
+# Small tables with nulls in every column, empties, repeats, a long text, and each operator over them.
+LONG = "alpha beta gamma delta " * 20000
+EDGE_DOCS = [
+    *[(1, "one two three four five six seven eight", "en", "s", 3)] * 2,
+    (2, None, None, None, None),
+    (3, "", None, "s", 0),
+    (None, "one two three four five six seven eight", "en", None, 1),
+    (None, None, None, None, None),
+    (4, LONG, "en", "s", 9),
+    (5, LONG, "en", "s", 9),
+    (6, " \n\t\n", "en", "s", 1),
+    (7, "a line of at least twenty characters\n" * 4, "en", "s", 1),
+]
+EDGE_PAGES = [
+    *[(1, "http://a.net/x?y", "<html><body><p>hello world and more text to read</p></body></html>")] * 2,
+    (2, None, None),
+    (None, "x", "<p>" * 500),
+    (None, None, None),
+    (3, "", ""),
+    (4, "://x", "\x00<div>&#0;&#xD800;&bogus;<![CDATA[x]]><!-- "),
+]
+EDGE_VECTORS = [
+    *[(1, [1.0, 0.0, 0.5])] * 2,
+    (2, None),
+    (3, []),
+    (4, [0.0, 0.0, 0.0]),
+    (5, [float("nan"), 1.0, 0.0]),
+    (None, [1.0, 0.0, 0.5]),
+    (6, [1.0, None, 0.0]),
+]
+EDGE_LABELS = [(1, 1), (2, None), (None, 1), (4, 0), (7, 1)]
+EDGE_ITEMS = [*[(1, "one two three four five six seven")] * 2, (2, None), (3, ""), (None, "alpha beta gamma delta alpha beta")]
+
+CLASHING = """
+ids rep key pivot home component set_id bands shingles h1 h2 places body shard salt refs keeper key_ gone_id gone_body
+marked_id marked_body marked_places measures host path p site part evidence posterior kept vector copies print low links
+payload digest size first n refers_to task meeting item_id n_item rank judged best score
+""".split()
+
+
+def digested(docs):
+    index = line_dedup.LineIndex(docs.sparkSession)
+    index.insert(docs)
+    return index.digests(docs)
+
+
+EDGE_RUNS = {
+    "op1": lambda t: url_filter.judge(t["pages"], RULES).select("page_id", "judged"),
+    "op2": lambda t: minhash.near_duplicates(t["docs"]),
+    "op2 stage": lambda t: minhash.one_of_each_group(t["docs"]),
+    "op3": lambda t: digested(t["docs"]),
+    "op3 stage": lambda t: line_dedup.without_repeated_lines(t["docs"]),
+    "op4": lambda t: license_scan.scan(t["docs"]),
+    "op5": lambda t: warc.archive_round_trip(t["pages"]),
+    "op6": lambda t: quality.judged(t["docs"], t["labels"]),
+    "op6 stage": lambda t: quality.accepted(t["docs"], t["labels"]),
+    "op7": lambda t: embedding_dedup.near_duplicate_vectors(t["vectors"]),
+    "op8": lambda t: decontaminate.contaminated(t["docs"], t["items"]),
+    "op8 stage": lambda t: decontaminate.decontaminated(t["docs"], t["items"]),
+    "op9": lambda t: packing.packed_documents(t["docs"], tokenizer()).select("doc_id", "piece", "start", "length", "ids_crc32"),
+    "op10": lambda t: html_text.extracted(t["pages"]).select("page_id", "text"),
+}
+# Rows in and out: None where the number depends on what is found.
+EDGE_ROWS = {"op1": 7, "op2": 10, "op3": 10, "op3 stage": 10, "op4": 10, "op5": 7, "op6": 10, "op7": 8, "op10": 7}
+
+
+def edge_tables(spark, rows, clash):
+    kinds = {
+        "docs": (EDGE_DOCS, "doc_id bigint, text string, lang string, source string, n_chars bigint"),
+        "pages": (EDGE_PAGES, "page_id bigint, url string, html string"),
+        "vectors": (EDGE_VECTORS, "vec_id bigint, embedding array<float>"),
+        "labels": (EDGE_LABELS, "doc_id bigint, quality int"),
+        "items": (EDGE_ITEMS, "item_id bigint, text string"),
+    }
+    tables = {}
+    for name, (held, schema) in kinds.items():
+        frame = spark.createDataFrame(held if rows else [], schema)
+        own = [F.lit("x").alias(c) for c in CLASHING if clash and c not in frame.columns]
+        tables[name] = frame.select("*", *own)
+    return tables
+
+
+@pytest.mark.parametrize("name", EDGE_RUNS)
+def test_nulls_repeats_empty_tables_and_clashing_columns(spark, name):
+    run = EDGE_RUNS[name]
+    plain = run(edge_tables(spark, True, False))
+    rows = sorted(str(tuple(r)) for r in plain.collect())
+    assert len(rows) == EDGE_ROWS.get(name, len(rows)) > 0
+    clashing = run(edge_tables(spark, True, True)).select(plain.columns)
+    assert sorted(str(tuple(r)) for r in clashing.collect()) == rows
+    assert run(edge_tables(spark, False, True)).count() == 0
