@@ -6,6 +6,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from labtide.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -16,14 +17,18 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, con, name):
-    told = compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], FOLDER)
+    told = compare(spark, con, QUERIES[name], ORACLES[name], FOLDER)
     assert told in ("", "both sides are empty"), told
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_points_hold_the_catalog():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

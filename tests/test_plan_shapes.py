@@ -4,17 +4,17 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from labtide.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
 
 def plan(spark, name):
-    return entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_cross_join_no_single_task_window(spark, name):
     text = plan(spark, name)
     for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
