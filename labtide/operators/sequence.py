@@ -3,12 +3,12 @@
 A plain ``lead`` sorts each key in one task, which fails when one report holds a third of the log. Keys above
 ``hot_rows`` are therefore cut into slices that follow the order of the rows. Every slice is a window of its own, and the
 row at a slice edge takes its neighbour from the first (or last) row of the adjoining slice. Those edge rows form a small
-frame: one row per slice of a hot key. Keys that are not hot stay in one slice and cost a single exchange.
+frame: one row per slice of a hot key. Keys that are not hot stay in one slice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from labtide.functions import time
 
-_KEY, _CUTS, _NEAR, _EDGE, _FAR = "__key", ("__cut0", "__cut1", "__cut2"), "__near", "__edge", "__far"
+_KEY, _CUTS, _SPREAD = "__key", ("__cut0", "__cut1", "__cut2"), "__spread"
+_NEAR, _EDGE, _HEAD, _FAR = "__near_", "__edge_", "__head_", "__far_"
+SPREAD = 1 << 16
 HOT_ROWS = 1_000_000
 OVERSAMPLE = 4
 
@@ -72,34 +74,58 @@ def neighbour(
 ) -> DataFrame:
     """Add ``columns`` of the next (or previous) row of the same key, ordered by ``(ts, tie)``.
 
-    Rows at the end of a key get nulls. ``hot_rows=None`` skips the skew check for keys known to be short.
+    Rows at the end of a key get nulls, as do rows without a key: they have no neighbours. ``hot_rows=None`` skips the
+    skew check for keys known to be short.
     """
-    step, toward = (F.lag, F.max) if previous else (F.lead, F.min)
-    payload = F.struct(*columns)
-    outputs = [f"{prefix}{c}" for c in columns]
+    return _with_neighbours(df, key, ts, tie, columns, {prefix: F.lag if previous else F.lead}, hot_rows)
+
 
+def neighbours(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    columns: Sequence[str],
+    *,
+    after: str = "next_",
+    before: str = "last_",
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Add ``columns`` of the next and of the previous row of the same key, from one exchange; else like ``neighbour``."""
+    return _with_neighbours(df, key, ts, tie, columns, {after: F.lead, before: F.lag}, hot_rows)
+
+
+def _with_neighbours(
+    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], steps: Mapping[str, Callable], hot_rows: int | None
+) -> DataFrame:
+    cuts = [] if hot_rows is None else [*_CUTS]
+    # Rows without a key need no neighbour; they are dealt over many windows, so that no task gets them all.
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(ts, tie), F.lit(SPREAD)))
+    rows = (df if hot_rows is None else cut_hot_keys(df, key, ts, tie, hot_rows)).withColumn(_SPREAD, spread)
+    w = Window.partitionBy(key, _SPREAD, *cuts).orderBy(ts, tie)
+    payload = F.struct(*columns)
+    has_key = F.col(key).isNotNull()
+    near = rows.withColumns({_NEAR + p: F.when(has_key, step(payload).over(w)) for p, step in steps.items()})
     if hot_rows is None:
-        w = Window.partitionBy(key).orderBy(ts, tie)
-        near = df.withColumn(_NEAR, step(payload).over(w))
-        return near.select(*df.columns, *[F.col(_NEAR)[c].alias(o) for c, o in zip(columns, outputs)])
+        picked = [F.col(_NEAR + p)[c].alias(f"{p}{c}") for p in steps for c in columns]
+        return near.select(*[F.col(f"`{c}`") for c in df.columns], *picked)
 
-    cut = cut_hot_keys(df, key, ts, tie, hot_rows)
     is_hot = F.col(_CUTS[0]).isNotNull()
-    w = Window.partitionBy(key, *_CUTS).orderBy(ts, tie)
-    near = cut.withColumn(_NEAR, step(payload).over(w)).withColumn(_EDGE, is_hot & step(F.lit(1)).over(w).isNull())
-
-    edges = (
-        cut.where(is_hot)
-        .groupBy(F.col(key).alias(_KEY), *_CUTS)
-        .agg(toward(F.struct(F.col(ts), F.col(tie), payload.alias("row"))).alias("__head"))
-    )
+    near = near.withColumns({_EDGE + p: is_hot & step(F.lit(1)).over(w).isNull() for p, step in steps.items()})
+    whole = F.struct(F.col(ts), F.col(tie), payload.alias("row"))
+    # The row after a slice is the first of the next one, the row before it the last of the previous one.
+    heads = [(F.min if step is F.lead else F.max)(whole).alias(_HEAD + p) for p, step in steps.items()]
+    edges = rows.where(is_hot).groupBy(F.col(key).alias(_KEY), *_CUTS).agg(*heads)
     slices = Window.partitionBy(_KEY).orderBy(*_CUTS)
     far = edges.select(
-        _KEY, *[F.col(c).alias(f"{c}_far") for c in _CUTS], step(F.col("__head.row")).over(slices).alias(_FAR)
+        _KEY,
+        *[F.col(c).alias(f"{c}_far") for c in _CUTS],
+        *[step(F.col(_HEAD + p)["row"]).over(slices).alias(_FAR + p) for p, step in steps.items()],
     )
-
     met = [F.col(key) == F.col(_KEY), *[F.col(c) == F.col(f"{c}_far") for c in _CUTS]]
     picked = [
-        F.when(F.col(_EDGE), F.col(_FAR)[c]).otherwise(F.col(_NEAR)[c]).alias(o) for c, o in zip(columns, outputs)
+        F.when(F.col(_EDGE + p), F.col(_FAR + p)[c]).otherwise(F.col(_NEAR + p)[c]).alias(f"{p}{c}")
+        for p in steps
+        for c in columns
     ]
     return near.join(far, met, "left").select(*[F.col(f"`{c}`") for c in df.columns], *picked)

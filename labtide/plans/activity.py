@@ -169,10 +169,7 @@ def next_event_check(event_logs: DataFrame, event: str = FIRST_LINK_EVENT, *, ho
     rows = event_logs.select("id", "report_id", "event_type", "created_at").withColumn(
         "minute", F.date_trunc("minute", "created_at").cast("timestamp_ntz")
     )
-    both = sequence.neighbour(rows, "report_id", "created_at", "id", ["minute"], hot_rows=hot_rows)
-    both = sequence.neighbour(
-        both, "report_id", "created_at", "id", ["minute"], prefix="last_", previous=True, hot_rows=hot_rows
-    )
+    both = sequence.neighbours(rows, "report_id", "created_at", "id", ["minute"], hot_rows=hot_rows)
     one = F.expr("interval 1 minute")
     return both.where(F.col("event_type") == event).select(
         "id",

@@ -97,6 +97,9 @@ def test_w1_w2_w3_neighbours_equal_brute_force(spark, previous, hot_rows, shape)
     assert got.count() == len(data)
     want = brute(data, "k", lambda r: (r["t"], r["id"]), ["id", "v"], previous)
     assert {r.id: (r.next_id, r.next_v) for r in got.collect()} == want
+    both = sequence.neighbours(df, "k", "t", "id", ["id", "v"], hot_rows=hot_rows).collect()
+    side = (lambda r: (r.last_id, r.last_v)) if previous else (lambda r: (r.next_id, r.next_v))
+    assert {r.id: side(r) for r in both} == want
 
 
 @pytest.mark.parametrize("shape", SHAPES)
@@ -112,11 +115,12 @@ def test_slices_of_a_hot_key_are_small(spark, shape):
 
 
 def test_neighbours_with_missing_times_and_keys(spark):
-    data = [(1, 1, None), (2, 1, dt.datetime(2021, 1, 1)), (3, 1, dt.datetime(2021, 1, 2)), (4, None, dt.datetime(2021, 1, 2))]
+    data = [(1, 1, None), (2, 1, dt.datetime(2021, 1, 1)), (3, 1, dt.datetime(2021, 1, 2))]
+    data += [(i, None, dt.datetime(2021, 1, 2)) for i in range(4, 40)]
     df = spark.createDataFrame(data, "id long, k long, t timestamp_ntz")
     for hot in (None, 0):
         got = sequence.neighbour(df, "k", "t", "id", ["id"], hot_rows=hot)
-        assert {r.id: r.next_id for r in got.collect()} == {1: 2, 2: 3, 3: None, 4: None}
+        assert {r.id: r.next_id for r in got.collect()} == {1: 2, 2: 3, **dict.fromkeys(range(3, 40))}
 
 
 def test_r1_r2_r4_r6_reshape(spark):
