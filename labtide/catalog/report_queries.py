@@ -153,7 +153,7 @@ def tracker_first_last(t):
     f"""
     , {TRACKER_SQL},
     timed AS (
-      SELECT r.id, r.tracking_number, k.public_url, k.picked_up_city, k.delivery_at, r.start_date_type AS before,
+      SELECT r.id, r.tracking_number, k.public_url, k.picked_up_city, k.delivery_at, r.start_date_type AS before, r.goal,
              CASE WHEN k.delivery_at IS NULL OR r.sent_date < k.delivery_at THEN r.start_date ELSE k.delivery_at END AS begin_at,
              r.sent_date
       FROM tat_rows r LEFT JOIN tracker_table k ON k.tracking_number = r.tracking_number
@@ -164,6 +164,7 @@ def tracker_first_last(t):
     SELECT id, tracking_number, public_url, picked_up_city, date_sub('second', begin_at, sent_date) AS timedelta,
            CAST(hundredths AS DOUBLE) / 100 AS "TAT",
            CASE WHEN delivery_at IS NOT NULL THEN 'delivery_date' ELSE before END AS start_date_type,
+           CASE WHEN hundredths >= goal * 100 THEN 1 ELSE 0 END AS goal_missed,
            (SELECT CAST(sum(hundredths) AS DOUBLE) / CAST(count(*) AS DOUBLE) / 100 FROM counted) AS "Average Turnaround"
     FROM counted WHERE hundredths > 600 AND hundredths < 2000000
     """,
@@ -173,7 +174,8 @@ def tracker_enrichment(t):
     rows = turnaround.turnaround(report_facts(t), term="")
     enriched = turnaround.with_trackers(rows, trackers.normalise(t.trackers), high=20_000)
     return enriched.select(
-        "id", "tracking_number", "public_url", "picked_up_city", "timedelta", "TAT", "start_date_type", "Average Turnaround"
+        "id", "tracking_number", "public_url", "picked_up_city", "timedelta", "TAT", "start_date_type", "goal_missed",
+        "Average Turnaround",
     )
 
 

@@ -91,9 +91,9 @@ TABLES = {
     SELECT CAST(props ->> '$.k' AS BIGINT) AS id, min(ts) AS received_at FROM events GROUP BY 1
     """,
     "staff": """
-    SELECT c_custkey AS user_id,
+    SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN -c_custkey ELSE c_custkey END AS user_id,
            CASE WHEN c_acctbal >= 0 THEN split_part(c_name, '#', 1) ELSE '' END || ' ' || split_part(c_name, '#', 2) AS fullname
-    FROM customer WHERE c_mktsegment <> 'MACHINERY'
+    FROM customer
     """,
     "tickets": """
     SELECT o_orderkey AS id, o_custkey AS user_id,
@@ -150,12 +150,11 @@ TABLES = {
     """,
     "races": """
     SELECT patient_user_id, string_agg(DISTINCT coalesce(name, ' '), ',' ORDER BY coalesce(name, ' ')) AS races
-    FROM (SELECT c.c_custkey AS patient_user_id,
+    FROM (SELECT CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN -c.c_custkey ELSE c.c_custkey END AS patient_user_id,
                  CASE r.r_name WHEN 'AFRICA' THEN 'African' WHEN 'AMERICA' THEN 'Latin American'
                       WHEN 'ASIA' THEN 'East Asian' WHEN 'EUROPE' THEN 'European' END AS name
           FROM customer c JOIN region r
-            ON r.r_regionkey = c.c_nationkey % 5 OR (c.c_acctbal < 0 AND r.r_regionkey = 3)
-          WHERE c.c_mktsegment <> 'HOUSEHOLD')
+            ON r.r_regionkey = c.c_nationkey % 5 OR (c.c_acctbal < 0 AND r.r_regionkey = 3))
     GROUP BY patient_user_id
     """,
     "ledger": """

@@ -279,11 +279,7 @@ def template_select(t):
 
 
 def _in_form(t, region):
-    from importlib.resources import files
-
-    folder = str(files("labtide.config") / "templates")
-    catalogue = template.read_catalogue(t.spark, f"{folder}/catalogue.csv")
-    form = template.load_templates(t.spark, folder)[region]
+    catalogue, form = template.packaged_catalogue(), template.packaged_template(region)
     return template.transform(
         _finished(t), form, catalogue, default_phone=LAB.phone, as_of=standins.AS_OF, keep=("report_id",)
     )

@@ -59,7 +59,7 @@ def phone_repair(t):
     raw = F.lpad(F.pmod(F.col("c_custkey") * 7919 + 12_345, F.lit(1_000_000_000_000)).cast("string"), 13, "13")
     length = (F.pmod(F.col("c_custkey"), F.lit(7)) + 6).cast("int")
     phones = t.raw("customer").select("c_custkey", F.substr(raw, F.lit(1), length).alias("phone"))
-    value, bad = text.phone_repair("phone")
+    value, bad = text.phone_repair("phone", pad=True)
     return phones.select("c_custkey", "phone", value.alias("repaired"), bad.alias("bad"))
 
 
@@ -223,4 +223,4 @@ def cleanse_region_files(t):
         F.col("c_mktsegment").alias("note"),
         F.when(F.col("c_acctbal") > 0, F.lit("x")).alias("extra"),
     )
-    return cleanse.flagged(rows).withColumnRenamed(cleanse.BAD_PHONE, "quarantined")
+    return cleanse.flagged(rows, pad=True).withColumnRenamed(cleanse.BAD_PHONE, "quarantined")

@@ -71,11 +71,11 @@ def phone_format(c: Column | str, layout: str, default: str | None = None) -> Co
     return F.regexp_replace(phone_digits(source), "^(\\d{3})(\\d{3})(\\d{4})$", PHONE_LAYOUTS[layout])
 
 
-def phone_repair(c: Column | str, separator: Column | str = "-", *, pad: bool = True) -> tuple[Column, Column]:
+def phone_repair(c: Column | str, separator: Column | str = "-", *, pad: bool = False) -> tuple[Column, Column]:
     """(repaired phone, needs-attention flag).
 
-    Eleven digits lose a leading 1, else are cut to ten characters; eight digits get a 0 appended, or are flagged when
-    ``pad`` is off; fewer than eight or more than eleven digits, or text that does not group as 3-3-4, cannot be
+    Eleven digits lose a leading 1, else are cut to ten characters; eight digits are flagged, or get a 0 appended
+    with ``pad``; fewer than eight or more than eleven digits, or text that does not group as 3-3-4, cannot be
     repaired and is flagged.
     """
     text = before(c, "/")

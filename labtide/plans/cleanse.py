@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labtide.config.settings import COMPACT_DATE_REGIONS, DIALECTS, PLAIN_PHONE_REGIONS, Dialect
@@ -33,16 +33,23 @@ def fix_dates(df: DataFrame, region: str = "state") -> DataFrame:
     return fixed.withColumns(restored).drop(*untouched) if restored else fixed
 
 
-def fix_phones(df: DataFrame, region: str = "state", *, pad: bool = True) -> DataFrame:
+def fix_phones(df: DataFrame, region: str = "state", *, pad: bool = False) -> DataFrame:
     """Repaired phones and a ``bad_phone`` flag for rows to look at. KS files are left alone."""
     here = F.col(region)
     separator = F.when(here.isin(*PLAIN_PHONE_REGIONS), F.lit("")).otherwise(F.lit("-"))
-    changed, bad = {}, F.lit(False)
-    for name in columns.search(df, "phone"):
+    changed = {}
+    for name in columns.search(df.drop(BAD_PHONE), "phone"):
         value, broken = text.phone_repair(F.col(f"`{name}`"), separator, pad=pad)
         changed[name] = F.when((here == "KS") | broken, F.col(f"`{name}`")).otherwise(value)
-        bad = bad | ((here != "KS") & broken)
-    return df.withColumns({**changed, BAD_PHONE: bad})
+    return df.withColumns({**changed, BAD_PHONE: bad_phone(df, region, pad=pad)})
+
+
+def bad_phone(df: DataFrame, region: str = "state", *, pad: bool = False) -> Column:
+    """Whether a row has a phone that cannot be repaired. Those of KS are not looked at."""
+    bad = F.lit(False)
+    for name in columns.search(df.drop(BAD_PHONE), "phone"):
+        bad = bad | text.phone_repair(F.col(f"`{name}`"), pad=pad)[1]
+    return (F.col(region) != "KS") & bad
 
 
 def fix_zips(df: DataFrame, region: str = "state") -> DataFrame:
@@ -50,12 +57,17 @@ def fix_zips(df: DataFrame, region: str = "state") -> DataFrame:
     return df.withColumns({z: text.zip_repair(F.col(f"`{z}`"), region) for z in zips}) if zips else df
 
 
-def flagged(df: DataFrame, region: str = "state", *, pad: bool = True) -> DataFrame:
+def flagged(df: DataFrame, region: str = "state", *, pad: bool = False) -> DataFrame:
     """Cleansed rows with the ``bad_phone`` flag, in one pass. Write this once when both parts are needed.
 
-    ``pad`` completes eight-digit phones with a 0; off, they are flagged instead.
+    Eight-digit phones are flagged, or completed with a 0 with ``pad``.
     """
-    return fix_zips(fix_phones(fix_dates(gate(df, region=region), region), region, pad=pad), region)
+    return repaired(gate(df, region=region), region, pad=pad)
+
+
+def repaired(df: DataFrame, region: str = "state", *, pad: bool = False) -> DataFrame:
+    """Dates, phones and zips in the region's form, with the ``bad_phone`` flag; rows stay as they are, without a shuffle."""
+    return fix_zips(fix_phones(fix_dates(df, region), region, pad=pad), region)
 
 
 def cleanse(df: DataFrame, region: str = "state") -> tuple[DataFrame, DataFrame]:

@@ -10,23 +10,23 @@ from pyspark.sql import functions as F
 
 from labtide.config.settings import ACCESSIONING_GROUPS, DATA_ENTRY_GROUPS, FileNames, LabIdentity
 from labtide.functions import time
-from labtide.operators import matching, reshape
-from labtide.plans import activity, funnel, ledger, shift, state_export, template, turnaround
-from labtide.session import require_utc, size_for
+from labtide.operators import matching, quality, reshape
+from labtide.plans import activity, cleanse, funnel, ledger, shift, state_export, template, turnaround
+from labtide.session import require_utc, sized
 from labtide.sources import readers, writers
 
 
 def dashboards(facts: DataFrame, out: str, rules: Mapping[str, Column], *, term: str = "COVID") -> None:
     """Funnel by start and event day, turnaround per segment, positives. The source tables are read once."""
     spark = require_utc(facts.sparkSession)
-    size_for(spark, facts)
-    facts.write.mode("overwrite").parquet(f"{out}/facts")
-    facts = spark.read.parquet(f"{out}/facts")
-    for day in ("start_day", "event_day"):
-        writers.publish(funnel.funnel(facts, day=day, term=term), f"{out}/events_by_{day}")
-    rows = turnaround.turnaround(facts, term=term)
-    writers.publish(matching.segments(turnaround.published(rows), rules), f"{out}/turnaround", by="segment")
-    writers.publish(turnaround.positives(rows), f"{out}/positives")
+    with sized(spark, facts):
+        facts.write.mode("overwrite").parquet(f"{out}/facts")
+        facts = spark.read.parquet(f"{out}/facts")
+        for day in ("start_day", "event_day"):
+            writers.publish(funnel.funnel(facts, day=day, term=term), f"{out}/events_by_{day}")
+        rows = turnaround.turnaround(facts, term=term)
+        writers.publish(matching.segments(turnaround.published(rows), rules), f"{out}/turnaround", by="segment")
+        writers.publish(turnaround.positives(rows), f"{out}/positives")
 
 
 def shift_reports(
@@ -34,33 +34,33 @@ def shift_reports(
 ) -> None:
     """Data-entry and accessioning reports of the week that starts on the Monday ``week``."""
     spark = require_utc(tables["staff"].sparkSession)
-    size_for(spark, *tables.values())
-    span = {"start": week, "end": week + dt.timedelta(days=7), "tz": tz}
-    staff, log = tables["staff"], tables["event_logs"]
-    tickets = activity.ticket_metric(tables["tickets"], staff, **span)
-    entry = activity.event_metrics(log, tables["kits"], staff, **span).unionByName(
-        reshape.long_metrics({"tickets_created": tickets})
-    )
-    accession = reshape.long_metrics(
-        {
-            "pages_scanned": activity.scan_metric(tables["scans"], staff, **span),
-            "samples_accessioned": activity.accession_metric(tables["reports"], log, staff, **span),
-            "tickets_created": tickets,
-        }
-    )
-    matrix = shift.event_matrix(log, staff, **span)
-    for name, rows, groups in (
-        ("data_entry", entry, DATA_ENTRY_GROUPS),
-        ("accessioning", accession, ACCESSIONING_GROUPS),
-    ):
-        metrics = {
-            "data_entry": ["entries", "reviews", "scans_assigned_to_kits", "tickets_created"],
-            "accessioning": ["pages_scanned", "samples_accessioned", "tickets_created"],
-        }[name]
-        writers.publish(shift.user_grid(rows, metrics), f"{out}/{name}/users")
-        writers.publish(shift.daily_table(activity.by_day(rows, ["metric"]), metrics, week=week), f"{out}/{name}/daily")
-        writers.publish(matrix.where(F.col("event_group").isin(*groups)), f"{out}/{name}/events", by="event_group")
-        writers.publish(shift.ticket_matrix(tables["tickets"], staff, **span), f"{out}/{name}/tickets")
+    with sized(spark, *tables.values()):
+        span = {"start": week, "end": week + dt.timedelta(days=7), "tz": tz}
+        staff, log = tables["staff"], tables["event_logs"]
+        tickets = activity.ticket_metric(tables["tickets"], staff, **span)
+        entry = activity.event_metrics(log, tables["kits"], staff, **span).unionByName(
+            reshape.long_metrics({"tickets_created": tickets})
+        )
+        accession = reshape.long_metrics(
+            {
+                "pages_scanned": activity.scan_metric(tables["scans"], staff, **span),
+                "samples_accessioned": activity.accession_metric(tables["reports"], log, staff, **span),
+                "tickets_created": tickets,
+            }
+        )
+        matrix = shift.event_matrix(log, staff, **span)
+        for name, rows, groups in (
+            ("data_entry", entry, DATA_ENTRY_GROUPS),
+            ("accessioning", accession, ACCESSIONING_GROUPS),
+        ):
+            metrics = {
+                "data_entry": ["entries", "reviews", "scans_assigned_to_kits", "tickets_created"],
+                "accessioning": ["pages_scanned", "samples_accessioned", "tickets_created"],
+            }[name]
+            writers.publish(shift.user_grid(rows, metrics), f"{out}/{name}/users")
+            writers.publish(shift.daily_table(activity.by_day(rows, ["metric"]), metrics, week=week), f"{out}/{name}/daily")
+            writers.publish(matrix.where(F.col("event_group").isin(*groups)), f"{out}/{name}/events", by="event_group")
+            writers.publish(shift.ticket_matrix(tables["tickets"], staff, **span), f"{out}/{name}/tickets")
 
 
 def state_reporting(
@@ -88,39 +88,50 @@ def state_reporting(
 ) -> DataFrame:
     """Export everything since the last run, write region files and templates, mark the reports, move the watermark.
 
-    ``end``, ``first_start`` and the watermark are local times. The manifest is returned. A test run keeps six rows per region, marks nothing and leaves the watermark alone. Run
+    ``end``, ``first_start`` and the watermark are local times. A run covers reports sent from the watermark on and before
+    ``end``, so one sent exactly at ``end`` goes out with the next run only. Region files hold cleansed rows. Rows
+    without an accession number, or with a phone that cannot be repaired, go to ``out/quarantine`` instead: they are in
+    no file or form, are not counted and not marked.
+
+    The manifest is returned. A test run keeps six rows per region, marks nothing and leaves the watermark alone. Run
     twice over the same window, it marks no report and logs no delivery a second time.
     """
-    size_for(require_utc(spark), t.reports, t.samples, t.locations, t.patient_users, event_logs)
-    # ``end`` is local; what is printed and stored is made from the same instant in UTC.
-    utc_end = spark.range(1).select(time.local_bound(end, tz)).first()[0]
-    mark = F.convert_timezone(F.lit(tz), F.lit("UTC"), readers.watermark(spark, watermark_path, first_start))
-    rows = state_export.export_rows(
-        t, lab, root=root, as_of=utc_end, end=end, report_type_ids=report_type_ids, tz=tz
-    ).where((F.col("`Result Date and Time`") >= mark) & F.col("file_state").isin(*states))
-    done = state_export.finish(rows, mode=mode, limit_per_state=6 if test_run else None, tz=tz)
-    staged = writers.stage(done, f"{out}/staged")
-
-    writers.in_dialects(staged, f"{out}/files")
-    for region, form in (templates or {}).items():
-        part = staged.where(F.col("file_state") == region)
-        shaped = template.transform(part, form, catalogue or {}, default_phone=lab.phone, as_of=end)
-        writers.publish(shaped, f"{out}/forms/{region}", fmt="csv")
-
-    regions = spark.createDataFrame([(s,) for s in states], "file_state string")
-    manifest = state_export.manifest(regions, staged)
-    if not test_run:
-        marked = readers.empty_or(spark, ledger_path, LEDGER_SCHEMA)
-        known = matching.append(event_logs.select("report_id", "event_type", "created_at"), marked.select("report_id", "event_type", "created_at"))
-        new = ledger.rows_for_exported(staged, known, as_of=utc_end, user_id=user_id)
-        # The marks are fixed before the ledger changes: counting them afterwards would find none.
-        new.write.mode("overwrite").parquet(f"{out}/marks")
-        marks = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")
-        writers.publish(ledger.mark_manifest(regions, staged, marks), f"{out}/marked")
-        writers.append_new(spark, marks, ledger_path, "report_id")
-        writers.log_deliveries(spark, writers.delivery_manifest(manifest, names, end.date()), deliveries_path)
-        writers.write_watermark(spark, watermark_path, end)
-    return manifest
+    with sized(require_utc(spark), t.reports, t.samples, t.locations, t.patient_users, event_logs):
+        # ``end`` is local; what is printed and stored is made from the same instant in UTC.
+        utc_end = spark.range(1).select(time.local_bound(end, tz)).first()[0]
+        mark = F.convert_timezone(F.lit(tz), F.lit("UTC"), readers.watermark(spark, watermark_path, first_start))
+        rows = state_export.export_rows(
+            t, lab, root=root, as_of=utc_end, end=end, report_type_ids=report_type_ids, tz=tz
+        )
+        sent = F.col("`Result Date and Time`")
+        rows = rows.where((sent >= mark) & (sent < time.ntz(utc_end)) & F.col("file_state").isin(*states))
+        done = state_export.finish(rows, mode=mode, limit_per_state=6 if test_run else None, tz=tz)
+        unfit = cleanse.bad_phone(done, "file_state") | F.col("`Specimen ID / Accession Number`").isNull()
+        checked = writers.stage(done.withColumn("unfit", unfit), f"{out}/staged")
+        sound, held = quality.split_bad(checked, F.col("unfit"))
+        staged = sound.drop("unfit")
+
+        writers.publish(held.drop("unfit"), f"{out}/quarantine")
+        writers.in_dialects(cleanse.repaired(staged, "file_state").drop(cleanse.BAD_PHONE), f"{out}/files")
+        for region, form in (templates or {}).items():
+            part = staged.where(F.col("file_state") == region)
+            shaped = template.transform(part, form, catalogue or {}, default_phone=lab.phone, as_of=end)
+            writers.publish(shaped, f"{out}/forms/{region}", fmt="csv")
+
+        regions = spark.createDataFrame([(s,) for s in states], "file_state string")
+        manifest = state_export.manifest(regions, staged)
+        if not test_run:
+            marked = readers.empty_or(spark, ledger_path, LEDGER_SCHEMA)
+            known = matching.append(event_logs.select("report_id", "event_type", "created_at"), marked.select("report_id", "event_type", "created_at"))
+            new = ledger.rows_for_exported(staged, known, as_of=utc_end, user_id=user_id)
+            # The marks are fixed before the ledger changes: counting them afterwards would find none.
+            new.write.mode("overwrite").parquet(f"{out}/marks")
+            marks = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")
+            writers.publish(ledger.mark_manifest(regions, staged, marks), f"{out}/marked")
+            writers.append_new(spark, marks, ledger_path, "report_id")
+            writers.log_deliveries(spark, writers.delivery_manifest(manifest, names, end.date()), deliveries_path)
+            writers.write_watermark(spark, watermark_path, end)
+        return manifest
 
 
 LEDGER_SCHEMA = """

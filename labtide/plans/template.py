@@ -5,8 +5,10 @@ The template is configuration (at most a few hundred rows) and becomes a select
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ class Template:
     """One region's output: ordered (column, catalogue number) pairs, phone layout and date format."""
 
     region: str
-    fields: tuple[tuple[str, int], ...]
+    fields: tuple[tuple[str, int | None], ...]
     phone_layout: str
     date_format: str
 
@@ -54,15 +56,31 @@ def templates_of(table: DataFrame) -> dict[str, Template]:
     grouped: dict[str, list] = {}
     for row in table.orderBy("region", "position").collect():
         grouped.setdefault(row.region, []).append(row)
-    return {
-        region: Template(
-            region,
-            tuple((r.column_name, r.colid) for r in rows),
-            next(r.phoneform for r in rows if r.phoneform),
-            spark_date_format(next(r.dateform for r in rows if r.dateform)),
-        )
-        for region, rows in grouped.items()
-    }
+    return {region: _template(region, [r.asDict() for r in rows]) for region, rows in grouped.items()}
+
+
+def _template(region: str, rows: list[dict]) -> Template:
+    return Template(
+        region,
+        tuple((r["column_name"], None if r["colid"] in (None, "") else int(r["colid"])) for r in rows),
+        next(r["phoneform"] for r in rows if r["phoneform"]),
+        spark_date_format(next(r["dateform"] for r in rows if r["dateform"])),
+    )
+
+
+def _packaged_rows(name: str) -> list[dict]:
+    with (files("labtide.config") / "templates" / name).open(encoding="utf-8") as lines:
+        return list(csv.DictReader(line for line in lines if not line.startswith("#")))
+
+
+def packaged_catalogue() -> dict[int, str]:
+    """The catalogue that comes with the package. It is read by the driver, so executors need not see the package."""
+    return {int(r["colid"]): r["name"] for r in _packaged_rows("catalogue.csv")}
+
+
+def packaged_template(region: str) -> Template:
+    """A region's template that comes with the package, read by the driver."""
+    return _template(region, _packaged_rows(f"{region.lower()}_template.csv"))
 
 
 # Date codes used in template files and their Spark letters.

@@ -169,9 +169,12 @@ def with_trackers(rows: DataFrame, trackers: DataFrame, *, low: float = 6, high:
     A missing or negative duration falls back to sent minus start. The mean covers the rows before the range filter.
     """
     known = trackers.where(F.col("easypost_id").isNotNull()).select(
-        "tracking_number", "delivery_datetime", "public_url", "picked_up_city", "picked_up_state"
+        F.col("tracking_number").alias("known_number"), "delivery_datetime", "public_url", "picked_up_city", "picked_up_state"
     )
-    joined = rows.drop("72 Hours").join(known, "tracking_number", "left")
+    # Numbers are positive. Rows without one meet no tracker, and a number below zero keeps them out of a single task.
+    none = -1 - F.pmod(F.xxhash64("start_date", "sent_date"), F.lit(1 << 40))
+    met = F.coalesce("tracking_number", none) == F.col("known_number")
+    joined = rows.drop("72 Hours").join(known, met, "left").drop("known_number")
     late = F.col("delivery_datetime").isNull() | (F.col("sent_date") < F.col("delivery_datetime"))
     begin = F.when(late, F.col("start_date")).otherwise(F.col("delivery_datetime"))
     timed = joined.withColumns(

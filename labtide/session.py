@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,12 +16,13 @@ UNKNOWN = 1 << 60
 # Names of the zone without offset.
 UTC_NAMES = "UTC Etc/UTC UCT Etc/UCT Universal Etc/Universal Zulu Etc/Zulu GMT Etc/GMT Greenwich Z +00:00".split()
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CONF = "spark.sql.shuffle.partitions"
 
 
 def build_session(app: str = "labtide", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators assume; ``conf`` (dots as ``__``) overrides any of them.
 
-    ``size_for`` sets the number of shuffle partitions from the data a run reads; AQE then merges the small ones.
+    ``sized`` sets the number of shuffle partitions from the data a run reads; AQE then merges the small ones.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -65,10 +68,18 @@ def size_for(spark: SparkSession, *frames: DataFrame, target: int = 200 * MEGABY
     AQE merges what turns out small, so the number may be generous; too few partitions would spill. Relations whose size
     Spark does not know do not count.
     """
-    size = scan_bytes(*frames)
-    wanted = max(spark.sparkContext.defaultParallelism, -(-size // target))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    return max(spark.sparkContext.defaultParallelism, -(-scan_bytes(*frames) // target))
+
+
+@contextmanager
+def sized(spark: SparkSession, *frames: DataFrame) -> Iterator[SparkSession]:
+    """The session with ``size_for(frames)`` shuffle partitions; afterwards it has its own number again."""
+    before = spark.conf.get(SHUFFLE_CONF)
+    spark.conf.set(SHUFFLE_CONF, str(size_for(spark, *frames)))
+    try:
+        yield spark
+    finally:
+        spark.conf.set(SHUFFLE_CONF, before)
 
 
 def scratch_root(spark: SparkSession) -> str:

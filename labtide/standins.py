@@ -215,10 +215,11 @@ class Standins:
 
     @cached_property
     def staff(self) -> DataFrame:
-        """Customers as staff; one market segment is not staff, so some users stay unknown."""
-        return self.raw("customer").where(F.col("c_mktsegment") != "MACHINERY").select(
-            F.col("c_custkey").alias("id"),
-            F.col("c_custkey").alias("user_id"),
+        """Customers as staff; those of one market segment have ids that no log mentions, so some users stay unknown."""
+        key = _aside("MACHINERY")
+        return self.raw("customer").select(
+            key.alias("id"),
+            key.alias("user_id"),
             F.when(F.col("c_acctbal") >= 0, F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
             F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
         )
@@ -351,11 +352,10 @@ class Standins:
 
     @cached_property
     def ethnicities_patient_users(self) -> DataFrame:
-        """A patient's own region, and a second one for some patients; one segment states none."""
-        stated = self.raw("customer").where(F.col("c_mktsegment") != "HOUSEHOLD")
+        """A patient's own region, and a second one for some patients; rows of one segment fit no patient."""
         own = F.pmod("c_nationkey", F.lit(5))
         both = F.when(F.col("c_acctbal") < 0, F.array(own, F.lit(3))).otherwise(F.array(own))
-        return stated.select(F.col("c_custkey").alias("patient_user_id"), F.explode(both).alias("ethnicity_id"))
+        return self.raw("customer").select(_aside("HOUSEHOLD").alias("patient_user_id"), F.explode(both).alias("ethnicity_id"))
 
     @cached_property
     def export_tables(self) -> ExportTables:
@@ -428,5 +428,11 @@ class Standins:
         )
 
 
+def _aside(segment: str):
+    """Customer numbers, negative in one market segment."""
+    key = F.col("c_custkey")
+    return F.when(F.col("c_mktsegment") == segment, -key).otherwise(key)
+
+
 def steps_type() -> str:
     return "array<struct<datetime:string,tracking_location:struct<city:string,state:string>>>"

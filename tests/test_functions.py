@@ -178,7 +178,7 @@ def test_x7_layouts(spark, layout, shown):
     ],
 )
 def test_x8_repair(spark, phone, value, bad):
-    assert one(spark, *text.phone_repair(F.lit(phone).cast("string"))) == (value, bad)
+    assert one(spark, *text.phone_repair(F.lit(phone).cast("string"), pad=True)) == (value, bad)
 
 
 def test_x8_plain_separator(spark):
@@ -266,16 +266,17 @@ def test_d7_seconds_cut_towards_zero(spark):
 
 
 def test_shuffle_partitions_follow_the_scan(spark, tmp_path):
-    from labtide.session import scan_bytes, size_for
+    from labtide.session import scan_bytes, size_for, sized
 
     path = f"{tmp_path}/t"
     spark.range(200_000).write.parquet(path)
     table = spark.read.parquet(path)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        joined = table.join(table.withColumnRenamed("id", "x"), F.col("id") == F.col("x"))
-        assert scan_bytes(joined) == 2 * scan_bytes(table) > 0
-        assert size_for(spark, joined, target=10_000) == -(-scan_bytes(joined) // 10_000)
-        assert size_for(spark, joined) == spark.sparkContext.defaultParallelism
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    joined = table.join(table.withColumnRenamed("id", "x"), F.col("id") == F.col("x"))
+    assert scan_bytes(joined) == 2 * scan_bytes(table) > 0
+    assert size_for(spark, joined, target=10_000) == -(-scan_bytes(joined) // 10_000)
+    assert size_for(spark, joined) == spark.sparkContext.defaultParallelism
+    with pytest.raises(KeyError), sized(spark, joined):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+        raise KeyError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

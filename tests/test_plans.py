@@ -396,6 +396,12 @@ def test_p12_template_table(spark, forms, tmp_path):
     assert template.templates_of(spark.read.parquet(f"{tmp_path}/templates")) == forms[0]
 
 
+def test_packaged_forms_equal_those_read_by_spark(forms):
+    templates, catalogue = forms
+    assert template.packaged_catalogue() == catalogue
+    assert {region: template.packaged_template(region) for region in templates} == templates
+
+
 def test_catalogue_names_exist_in_the_export(forms, export_tables):
     export = state_export.export_rows(export_tables, LAB, **EXPORT, **WINDOW)
     assert set(forms[1].values()) == set(export.columns) - {"report_id", "file_state"}

@@ -30,7 +30,7 @@ def repaired(phone):
 def test_phone_repair(spark):
     rnd = random.Random(1)
     phones = ["".join(rnd.choice("0123456789" * 3 + "1-() /") for _ in range(rnd.randrange(6, 16))) for _ in range(3000)]
-    value, bad = text.phone_repair("p")
+    value, bad = text.phone_repair("p", pad=True)
     got = spark.createDataFrame([(p,) for p in phones], "p string").select("p", value.alias("v"), bad.alias("b")).collect()
     for r in got:
         assert r.v == repaired(r.p), r.p
@@ -38,7 +38,7 @@ def test_phone_repair(spark):
 
 
 def test_short_phones_can_be_flagged(spark):
-    value, bad = text.phone_repair(F.lit("20155501"), pad=False)
+    value, bad = text.phone_repair(F.lit("20155501"))
     assert tuple(spark.range(1).select(value, bad).first()) == (None, True)
 
 
