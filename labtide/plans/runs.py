@@ -25,14 +25,17 @@ def dashboards(facts: DataFrame, out: str, rules: Mapping[str, Column], *, term:
         for day in ("start_day", "event_day"):
             writers.publish(funnel.funnel(facts, day=day, term=term), f"{out}/events_by_{day}")
         rows = turnaround.turnaround(facts, term=term)
-        writers.publish(matching.segments(turnaround.published(rows), rules), f"{out}/turnaround", by="segment")
-        writers.publish(turnaround.positives(rows), f"{out}/positives")
+        writers.publish(matching.segments(turnaround.published(rows), rules), f"{out}/turnaround", by="segment", sort=["sent_day"])
+        writers.publish(turnaround.positives(rows), f"{out}/positives", sort=["sent_day"])
 
 
 def shift_reports(
     tables: Mapping[str, DataFrame], out: str, week: dt.date, *, tz: str = time.EST
 ) -> None:
-    """Data-entry and accessioning reports of the week that starts on the Monday ``week``."""
+    """Data-entry and accessioning reports of the week that starts on the Monday ``week``.
+
+    What several reports show is worked out once and kept in ``out/shared``.
+    """
     spark = require_utc(tables["staff"].sparkSession)
     with sized(spark, *tables.values()):
         span = {"start": week, "end": week + dt.timedelta(days=7), "tz": tz}
@@ -48,7 +51,8 @@ def shift_reports(
                 "tickets_created": tickets,
             }
         )
-        matrix = shift.event_matrix(log, staff, **span)
+        matrix = writers.kept(shift.event_matrix(log, staff, **span), f"{out}/shared/events")
+        by_category = writers.kept(shift.ticket_matrix(tables["tickets"], staff, **span), f"{out}/shared/tickets")
         for name, rows, groups in (
             ("data_entry", entry, DATA_ENTRY_GROUPS),
             ("accessioning", accession, ACCESSIONING_GROUPS),
@@ -57,10 +61,12 @@ def shift_reports(
                 "data_entry": ["entries", "reviews", "scans_assigned_to_kits", "tickets_created"],
                 "accessioning": ["pages_scanned", "samples_accessioned", "tickets_created"],
             }[name]
-            writers.publish(shift.user_grid(rows, metrics), f"{out}/{name}/users")
-            writers.publish(shift.daily_table(activity.by_day(rows, ["metric"]), metrics, week=week), f"{out}/{name}/daily")
+            rows = writers.kept(rows, f"{out}/shared/{name}")
+            daily = activity.by_day(rows, ["metric"])
+            writers.publish(shift.user_grid(rows, metrics), f"{out}/{name}/users", sort=["week_start", "fullname"])
+            writers.publish(shift.daily_table(daily, metrics, week=week), f"{out}/{name}/daily")
             writers.publish(matrix.where(F.col("event_group").isin(*groups)), f"{out}/{name}/events", by="event_group")
-            writers.publish(shift.ticket_matrix(tables["tickets"], staff, **span), f"{out}/{name}/tickets")
+            writers.publish(by_category, f"{out}/{name}/tickets")
 
 
 def state_reporting(

@@ -16,6 +16,8 @@ from labtide.config.settings import EVENT_GROUPS, TICKET_CATEGORIES
 from labtide.functions import text, time
 from labtide.operators import columns, reshape
 from labtide.plans import activity
+from labtide.session import scratch_dir
+from labtide.sources import writers
 
 
 def _weekly(df: DataFrame, day: str = "day") -> DataFrame:
@@ -41,7 +43,8 @@ def daily_table(daily: DataFrame, names: Sequence[str], *, week: dt.date | None
     """Metrics by weekday, from the long frame (metric, day, n, mean_seconds).
 
     Counts are 0 on empty days; mean times are HH:MM:SS, or blank. ``week`` fixes the calendar to one week; otherwise it
-    runs from the first to the last week with activity.
+    runs from the first to the last week with activity; the days are written to the scratch folder first, since they are
+    read for the calendar and for its cells.
     """
     wide = daily.groupBy("day").pivot("metric", list(names)).agg(
         F.sum("n").alias("n"), F.max("mean_seconds").alias("mean")
@@ -49,6 +52,7 @@ def daily_table(daily: DataFrame, names: Sequence[str], *, week: dt.date | None
     if week is not None:
         spine = time.days_from(daily.sparkSession, week)
     else:
+        wide = writers.kept(wide, scratch_dir(daily.sparkSession, "days"))
         spine = time.weeks_spanning(wide, "day")
     joined = _weekly(spine).join(wide, "day", "left").na.fill(0, subset=[f"{m}_n" for m in names])
     shown = joined.select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +14,31 @@ from labtide.operators import matching
 from labtide.sources import readers
 
 
-def publish(df: DataFrame, path: str, *, fmt: str = "parquet", header: bool = True, by: str | None = None) -> None:
-    """Replace a dashboard's data. ``by`` writes one folder per segment."""
-    writer = (df.hint("rebalance", by) if by else df).write.mode("overwrite").format(fmt)
+def publish(
+    df: DataFrame,
+    path: str,
+    *,
+    fmt: str = "parquet",
+    header: bool = True,
+    by: str | None = None,
+    sort: Sequence[str] = (),
+) -> None:
+    """Replace a dashboard's data. ``by`` writes one folder per segment; ``sort`` orders the rows of each file."""
+    rows = df.hint("rebalance", by) if by else df
+    if sort:
+        rows = rows.sortWithinPartitions(*([by] if by else []), *sort)
+    writer = rows.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", header)
     (writer.partitionBy(by) if by else writer).save(path)
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """The frame, written once and read back, for use by more than one step."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def replace_table(df: DataFrame, base: str, version: str) -> str:
     """Write a new version of a table beside the old one, so that a plan may read the old one meanwhile."""
     path = f"{base.rstrip('/')}/{version}"
