@@ -200,15 +200,16 @@ def near_duplicates(
     their texts differ, all their links count. A null doc_id is never linked: its component is null and it is kept.
     """
     signs = staged(signatures(docs, width, bands, rows, separating), "signatures")
-    classes = signs.where("doc_id is not null and set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    lean = signs.select("doc_id", "n_shingles", "set_id")
-    named = staged(lean.join(classes, "set_id", "left").select("doc_id", "n_shingles", "set_id", "rep"), "classes")
-
-    heads = (
+    # Written out, so that the join below has exchanges of its own and adaptive execution can split a set of many copies.
+    heads = staged(
         signs.where("doc_id is not null and set_id is not null")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
+        "heads",
     )
+    lean = signs.select("doc_id", "n_shingles", "set_id")
+    named = staged(lean.join(heads.select("set_id", "rep"), "set_id", "left").select("doc_id", "n_shingles", "set_id", "rep"), "classes")
+
     seats = heads.select("rep", F.explode("bands").alias("key"))
     buckets = seats.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot <> last")
     meetings = staged(seats.join(buckets.select("key", "pivot"), "key"), "meetings")
