@@ -12,8 +12,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     """Re-link neighbours to the smallest one among a node and its neighbours.
 
     The large star moves a node's greater neighbours, the small star its smaller ones and the node itself. The smallest
-    neighbour is a flat aggregate, combined before the shuffle, and comes back by a join, which adaptive execution can
-    split: no neighbourhood is gathered.
+    neighbour is a flat aggregate, combined before the shuffle, and comes back by a join: no neighbourhood is gathered.
+    The join shares the aggregate's exchange, so the links of one node stream through one task.
     """
     ends = links
     if large:
