@@ -61,12 +61,13 @@ def since_received(
     *,
     ts: str = "created_at",
     actor: str = "user_id",
+    how: str = "inner",
     by: Sequence[str] = (),
     tz: str = time.EST,
 ) -> DataFrame:
     """Per (day, user): rows and summed time since the kit was received.
 
-    The sum over a kit is ``n * (midnight - received) + sum(time of day)``, which needs only the reduced rows.
+    With ``how="left"`` rows of unknown users have the name " ", as the kit-review times want it. The sum over a kit is ``n * (midnight - received) + sum(time of day)``, which needs only the reduced rows.
     """
     pre = _daily(log.withColumn("actor", F.col(actor)), ts, [*by, "actor", "kit_id"], tz)
     arrived = kits.where(F.col("received_at").isNotNull()).select(
@@ -84,7 +85,8 @@ def since_received(
         .groupBy(*by, "day", "actor")
         .agg(F.sum("n").alias("n"), F.sum("sec").alias("sec"), F.sum("frac").alias("frac"))
     )
-    return _named(summed, staff_names(staff), "inner", by)
+    out = _named(summed, staff_names(staff), how, by)
+    return out.withColumn("fullname", F.coalesce("fullname", F.lit(" "))) if how == "left" else out
 
 
 def by_user(activity: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -200,6 +200,18 @@ def test_c7_elapsed_equals_row_by_row_mean(spark, staff):
     assert set(ACTIVITY_EVENTS) == {"entries", "reviews", "scans_assigned_to_kits"}
 
 
+def test_c13_unknown_users_stay_in_the_left_join(spark, staff):
+    log = spark.createDataFrame(
+        [(1, 1, 7, D(2021, 1, 5, 12)), (2, 1, 99, D(2021, 1, 5, 13)), (3, 1, None, D(2021, 1, 5, 13))],
+        "id long, kit_id long, user_id long, created_at timestamp_ntz",
+    )
+    kits = spark.createDataFrame([(1, D(2021, 1, 5, 11))], "id long, received_at timestamp_ntz")
+    known = activity.since_received(log, kits, staff).collect()
+    every = activity.since_received(log, kits, staff, how="left").collect()
+    assert [(r.n, r.sec) for r in known] == [(1, 3600)]
+    assert {r.fullname: (r.n, r.sec) for r in every} == {known[0].fullname: (1, 3600), " ": (2, 14_400)}
+
+
 def test_c21_neighbour_check(base):
     got = activity.next_event_check(base[-1], hot_rows=0)
     assert rows(got.select("id", "nextmatch", "lastmatch"), "id") == [(1, False, None), (7, None, None)]
