@@ -49,6 +49,7 @@ BOILERPLATE_NAMES = frozenset(
 )
 HEADER_NAMES = frozenset("header masthead topbar".split())
 SHELL = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 
 class Node:
@@ -167,11 +168,43 @@ def measure(root: Node, texts: list[tuple[Node, int, str]]) -> list[Node]:
     return order
 
 
-def content(root: Node, order: list[Node]) -> set[int]:
+def linked(node: Node) -> bool:
+    """Most of the text stands in links; a heading, or a paragraph of one link, is no list of links."""
+    return 2 * node.link_chars > node.chars and node.tag not in HEADINGS and not (node.tag == "p" and node.link_tags == 1)
+
+
+def around(centre: Node, own: dict[int, int]) -> tuple[set[int], set[int]]:
+    """The blocks beside the path from the centre up to its outermost article or main, or else the body, and the elements
+    of the path whose own text counts.
+
+    Blocks that are mostly links stay out; ``own`` has the characters that stand in an element itself. Next to an article
+    further articles count.
+    """
+    scope = node = centre
+    while node is not None:
+        if node.tag in ("article", "main") or (node.parent is None and scope.tag not in ("article", "main")):
+            scope = node
+        node = node.parent
+    beside, path, node = set(), set(), centre
+    while node is not scope:
+        node = node.parent
+        path_text = own.get(id(node), 0)
+        inline = [c for c in node.children if c.tag in INLINE and not c.dropped]
+        if 2 * sum(c.link_chars for c in inline) <= path_text + sum(c.chars for c in inline):
+            path.add(id(node))
+            beside.update(id(c) for c in inline)
+        beside.update(id(c) for c in node.children if c.tag not in INLINE and not c.dropped and not linked(c))
+    if scope.tag == "article" and scope.parent is not None:
+        beside.update(id(c) for c in scope.parent.children if c.tag == "article" and not c.dropped and not linked(c))
+    return beside, path
+
+
+def content(root: Node, order: list[Node], texts: list[tuple[Node, int, str]]) -> set[int]:
     """Elements whose text is the main text.
 
     The subtree with the greatest sum of its children's densities is the centre; the least density on the path from it up
-    to the body is the threshold. Below the body, the greatest subtree of every element that reaches the threshold counts.
+    to the body is the threshold. Below the body, the greatest subtree of every element that reaches the threshold counts,
+    and so do the blocks around the centre, however weak, since a sum favours one section over what holds all sections.
     """
     best = max((n for n in order if not n.dropped), key=lambda n: n.total)
     threshold, node = best.density, best
@@ -184,7 +217,11 @@ def content(root: Node, order: list[Node]) -> set[int]:
             if not child.dropped and greatest[id(child)].total > top.total:
                 top = greatest[id(child)]
         greatest[id(node)] = top
-    chosen, marked = set(), set()
+    own: dict[int, int] = {}
+    for node, _, text in texts:
+        own[id(node)] = own.get(id(node), 0) + len("".join(text.split()))
+    chosen, path = around(best, own)
+    marked = set()
     waiting = [root]
     while waiting:
         node = waiting.pop()
@@ -196,7 +233,7 @@ def content(root: Node, order: list[Node]) -> set[int]:
         inside = id(node) in chosen or (node.parent is not None and id(node.parent) in marked)
         if inside and not node.dropped:
             marked.add(id(node))
-    return marked
+    return marked | path
 
 
 def main_text(page: str | None) -> str:
@@ -204,7 +241,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root, texts = parse(page)
-    marked = content(root, measure(root, texts))
+    marked = content(root, measure(root, texts), texts)
     blocks: dict[int, list[str]] = {}
     for node, block, text in texts:
         if id(node) in marked:

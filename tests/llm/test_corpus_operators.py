@@ -327,6 +327,34 @@ def test_op10_articles(spark):
     html_text.main_text("<div>" * 3000 + "deep" + "</p>" * 10)
 
 
+def sections(sizes, link=""):
+    return [f"<h2>Part {n}</h2>" + "".join(f"<p>{f'w{n}x{i} ' * (size // 6)}{link}</p>" for i in range(10)) for n, size in enumerate(sizes)]
+
+
+def words_of(html):
+    return re.sub(r"<[^>]*>", " ", html).split()
+
+
+@pytest.mark.parametrize("link", ["", "<a href=x>ten letter</a>"])
+@pytest.mark.parametrize("sizes", [(300, 250), (300, 200, 60), (60, 300, 24)])
+@pytest.mark.parametrize(
+    "wrap", ["<main>{}</main>", "<article>{}</article>", "<main><article>{}</article></main>", "<div><div>{}</div></div>", "{}"]
+)
+def test_op10_weaker_sections_are_whole(wrap, sizes, link):
+    nav = "<ul>" + "".join(f"<li><a href=/{i}>menu{i}</a></li>" for i in range(8)) + "</ul>"
+    links = "<section><h3>More</h3><ul>" + "".join(f"<li><a href=/{i}>another story {i}</a></li>" for i in range(9)) + "</ul></section>"
+    for tag in ("section", "div"):
+        parts = "".join(f"<{tag}>{part}</{tag}>" for part in sections(sizes, link))
+        inner = "<h1><a href=#top>Title</a></h1>Opening <a href=y>words</a> of the text" + parts + "<p>closing line</p>"
+        page = f"<html><body><div>{nav}</div>{wrap.format(inner)}{links}<footer>us</footer></body></html>"
+        assert html_text.main_text(page).split() == words_of(inner)
+
+
+def test_op10_split_articles():
+    parts = "".join(f"<article>{part}</article>" for part in sections((300, 100)))
+    assert html_text.main_text(f"<body><nav>menu</nav>{parts}</body>").split() == words_of(parts)
+
+
 def test_native_plans_have_no_python(spark):
     docs = docs_of(spark, [(1, "mit license")])
     urls = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
