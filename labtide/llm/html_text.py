@@ -39,8 +39,8 @@ CLOSES = {
 STOPS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}}
 P_STOPS = frozenset("table td th caption button object body html".split())
 
-BOILERPLATE_TAGS = frozenset("nav footer aside form button select dialog head menu object audio video canvas".split())
-BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside button select dialog head menu object audio video canvas".split())
+BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notification alert popup modal overlay sidebar aside rail menu nav navbar navigation breadcrumb breadcrumbs footer "
@@ -48,6 +48,12 @@ BOILERPLATE_NAMES = frozenset(
     "comment comments disqus respond reply replies pagination pager toolbar skip".split()
 )
 HEADER_NAMES = frozenset("header masthead topbar".split())
+# Words that say where a named element stands or how it is built, and words that say it is not there.
+LAYOUT = frozenset(
+    "area article bar block blocks bottom box button buttons column container content footer form group header inner item items "
+    "left link links list main outer page panel post posts primary right secondary section site slot thread top unit wrap wrapper".split()
+)
+NEGATIONS = frozenset("has have no non not with without hide hides".split())
 SHELL = frozenset("html body main article".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
@@ -55,29 +61,87 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 class Node:
     """An element: what it holds in characters, tags and links, and the density of its text."""
 
-    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.children, self.dropped = tag, parent, [], dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, named: bool = False):
+        self.tag, self.parent, self.children, self.dropped, self.named = tag, parent, [], dropped, named
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         if parent is not None:
             parent.children.append(self)
 
 
-def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    """Menus, headers, footers, sidebars, notices, adverts, forms and comments, by tag, role and the parts of class and id."""
-    if tag in BOILERPLATE_TAGS or (tag == "header" and not in_article):
+def names_boilerplate(token: str, in_article: bool, strict: bool) -> bool:
+    """Whether a class or id is the name of boilerplate: by its last part, or by all its parts besides words of layout.
+
+    ``strict`` asks for the latter, since ids in an article are often made from headings (job-search).
+    """
+    parts = [p.lower() for p in NAME_PART.findall(token)]
+    names = BOILERPLATE_NAMES if in_article else BOILERPLATE_NAMES | HEADER_NAMES
+    if not parts or NEGATIONS.intersection(parts):
+        return False
+    if not strict and parts[-1] in names:
         return True
+    return not names.isdisjoint(parts) and all(p in names or p in LAYOUT or p.isdigit() for p in parts)
+
+
+def is_boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is boilerplate by tag, role or being hidden, and whether by its names or as a form.
+
+    The former are menus, headers, footers, sidebars, dialogs and hidden elements; the latter depends on what they hold.
+    """
+    if tag in BOILERPLATE_TAGS or (tag == "header" and not in_article):
+        return True, False
     if not attributes or tag in SHELL:
-        return False
+        return False, tag == "form"
     named = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
-    if "hidden" in named or named.get("aria-hidden", "").lower() == "true" or named.get("role", "").lower() in BOILERPLATE_ROLES:
-        return True
+    role = named.get("role", "").lower()
+    if "hidden" in named or named.get("aria-hidden", "").lower() == "true" or role in BOILERPLATE_ROLES:
+        return True, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", named.get("style", ""), re.I):
-        return True
-    parts = {p.lower() for key in ("class", "id") for p in NAME_PART.findall(named.get(key, ""))}
-    return bool(parts & BOILERPLATE_NAMES) or (not in_article and bool(parts & HEADER_NAMES))
+        return True, False
+    if tag == "form" or role == "form" or any(names_boilerplate(t, in_article, False) for t in named.get("class", "").split()):
+        return False, True
+    ids = [] if tag in HEADINGS else named.get("id", "").split()
+    return False, any(names_boilerplate(t, in_article, in_article) for t in ids)
+
+
+def drop_named(order: list[Node], texts: list[tuple[Node, int, str]]) -> None:
+    """Drop named elements and forms with all below them, but not those that hold the page or its article.
+
+    Such a shell holds an article or main with at least half as much text as the page's greatest, as smaller ones are often
+    comments or teasers; or more than half of the page's unlinked text, unless it stands beside an article or main that no
+    name covers, as a long advert beside a short article does.
+    """
+    if not any(node.named and not node.dropped for node in order):
+        return
+    plain, greatest = dict.fromkeys(map(id, order), 0), dict.fromkeys(map(id, order), 0)
+    # What stands above or at each element: a link, an article or main, a name.
+    above: dict[int, tuple[bool, bool, bool]] = {}
+    for node in order:
+        link, article, named = above[id(node.parent)] if node.parent is not None else (False, False, False)
+        above[id(node)] = (link or node.tag == "a", article or node.tag in ("article", "main"), named or node.named)
+    for node, _, text in texts:
+        if not node.dropped and not above[id(node)][0]:
+            plain[id(node)] += len("".join(text.split()))
+    for node in reversed(order):
+        if node.dropped:
+            continue
+        if node.tag in ("article", "main"):
+            greatest[id(node)] = max(greatest[id(node)], plain[id(node)])
+        if node.parent is not None:
+            up = id(node.parent)
+            plain[up] += plain[id(node)]
+            greatest[up] = max(greatest[up], greatest[id(node)])
+    whole, most = plain[id(order[0])], greatest[id(order[0])]
+    free = any(n.tag in ("article", "main") and not n.dropped and plain[id(n)] and not above[id(n)][2] for n in order)
+    for node in order:
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
+        elif node.named and not node.dropped:
+            own = greatest[id(node)]
+            beside = free and not own and not above[id(node)][1]
+            node.dropped = not (2 * plain[id(node)] > whole and not beside or own and 2 * own >= most)
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, int, str]]]:
@@ -127,14 +191,17 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, int, str]]]:
         above, in_article = top, False
         while above is not None and not in_article:
             in_article, above = above.tag in ("article", "main"), above.parent
-        node = Node(tag, top, top.dropped or is_boilerplate(tag, found["attrs"] or "", in_article))
+        dropped, named = is_boilerplate(tag, found["attrs"] or "", in_article)
+        node = Node(tag, top, top.dropped or dropped, named)
         if tag not in VOID and not (found["attrs"] or "").endswith("/"):
             stack.append(node)
     return root, texts
 
 
 def measure(root: Node, texts: list[tuple[Node, int, str]]) -> list[Node]:
-    """Count characters, tags and links below every element, then set densities; elements in page order.
+    """Drop what is boilerplate by name, count characters, tags and links below every element, then set densities.
+
+    Returns the elements in page order.
 
     Formatting inside a line neither counts as a tag nor as a subtree of its own.
     """
@@ -143,6 +210,7 @@ def measure(root: Node, texts: list[tuple[Node, int, str]]) -> list[Node]:
         node = waiting.pop()
         order.append(node)
         waiting.extend(reversed(node.children))
+    drop_named(order, texts)
     for node, _, text in texts:
         if not node.dropped:
             node.chars += len("".join(text.split()))

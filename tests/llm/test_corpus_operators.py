@@ -355,6 +355,34 @@ def test_op10_split_articles():
     assert html_text.main_text(f"<body><nav>menu</nav>{parts}</body>").split() == words_of(parts)
 
 
+def test_op10_names_around_and_inside_an_article():
+    prose = "".join(f"<p>{f'plain words {n} ' * 12}</p>" for n in range(6))
+    for shell in (
+        "div class='has-sidebar'", "div id=page class='no-ads'", "div class='layout-sidebar wide'", "div class=widget", "div class=social id=search",
+        "form action=x", "div role=form", "section class='post overlay'",
+    ):
+        tag = shell.split()[0]
+        for inner in (f"<article>{prose}</article>", f"<main>{prose}</main>", prose, f"<form>{prose}<input></form>"):
+            page = f"<body><nav>menu</nav><{shell}>{inner}</{tag}><div class=ads>buy now</div></body>"
+            assert html_text.main_text(page).split() == words_of(prose)
+            page = f"<body><article><{shell}>{inner}</{tag}><div class=ads>buy now</div></article></body>"
+            assert html_text.main_text(page).split() == words_of(prose)
+    for part in ("section id=related-work", "section id=social-history", "div id=job-search", "section class='drop related-work'"):
+        own = f"<{part}><h2 id=search-results>Found</h2><p>what was found</p><h3 id=comments>Said</h3><p>what they said</p></{part.split()[0]}>"
+        assert html_text.main_text(f"<article>{prose}{own}{prose}</article>").split() == words_of(prose + own + prose)
+
+
+def test_op10_boilerplate_names_stay_out():
+    prose = "".join(f"<p>{f'plain words {n} ' * 12}</p>" for n in range(6))
+    for name in (
+        "class=ad", "class='ad-slot-3 x'", "id=cookie-notice", "class=site__sidebar", "id=comments", "class=shareButtons", "id=left-sidebar",
+        "class='comments-area'", "id=article-comments", "class='related-posts'", "class=newsletterSignup",
+    ):
+        junk = f"<div {name}><article>short junk</article>more of it</div>"
+        assert html_text.main_text(f"<body>{junk}<article>{prose}{junk}</article>{junk}</body>").split() == words_of(prose)
+    assert html_text.main_text(f"<body><div class=ad>{prose}</div><article><p>short</p></article></body>") == "short"
+
+
 def test_native_plans_have_no_python(spark):
     docs = docs_of(spark, [(1, "mit license")])
     urls = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
