@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from labtide.llm import words
 from labtide.llm.staging import body, staged, without
+from labtide.session import scratch_dir
 
 WIDTH = 5
 PERCENT = 80
@@ -97,6 +98,14 @@ class Sketches:
         return found
 
 
+def _sketched(items: DataFrame, percent: int, sketch: int) -> dict[int, Sketches]:
+    """The sketches of a block of items for each shingle width."""
+    by_width: dict[int, list] = {}
+    for row in items.collect():
+        by_width.setdefault(row["width"], []).append((row["item_id"], np.array(row["shingles"], np.int64).view(np.uint64)))
+    return {w: Sketches(own, percent, sketch) for w, own in sorted(by_width.items())}
+
+
 def _search(docs: DataFrame, groups: dict[int, Sketches]) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (s for p in parts for s in words.slices(p)):
@@ -134,8 +143,9 @@ def contaminated(
 
     A document holds an item if it has ``percent`` of the item's distinct ``width``-word shingles or more. Words are runs
     of letters and digits with A-Z lower-cased, so punctuation and line ends do not matter. The documents are read once
-    for each block of items and never shuffled; a block of about ``block_shingles`` shingles goes to the tasks, so its
-    size is bounded, and larger benchmarks take more blocks.
+    for each block of items and never shuffled; a block of about ``block_shingles`` shingles goes through the driver to
+    the tasks, and what it finds is written before the next is collected. So the size of a block is bounded, larger
+    benchmarks take more blocks, and the plan of the result does not grow with them.
 
     An item with fewer words is one shingle of all its words; items and documents without words match nothing. Rows
     without an id are compared as well. Repeated rows are reported once.
@@ -143,16 +153,11 @@ def contaminated(
     sets = staged(item_sets(benchmark, width).distinct(), "items")
     total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
     blocks = max(1, -(-total // block_shingles))
-    out = None
+    folder = scratch_dir(docs.sparkSession, "contaminated")
     for number in range(blocks):
-        part = sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == number).collect()
-        by_width: dict[int, list] = {}
-        for row in part:
-            by_width.setdefault(row["width"], []).append((row["item_id"], np.array(row["shingles"], np.int64).view(np.uint64)))
-        groups = {w: Sketches(items, percent, sketch) for w, items in sorted(by_width.items())}
-        found = _search(docs, groups)
-        out = found if out is None else out.unionAll(found)
-    return out.distinct()
+        part = sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == number)
+        _search(docs, _sketched(part, percent, sketch)).write.mode("append").parquet(folder)
+    return docs.sparkSession.read.schema(FOUND).parquet(folder).distinct()
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -1,8 +1,10 @@
 """The training-data operators on small tables with nulls, empties, ties, repeats and clashing columns."""
 
+import gc
 import hashlib
 import os
 import re
+import weakref
 import zlib
 from itertools import combinations
 
@@ -271,6 +273,24 @@ def test_op8_equals_brute_force(spark):
     assert decontaminate.contaminated(docs_of(spark, pairs), bench.limit(0)).count() == 0
 
 
+def test_op8_driver_holds_one_block_at_a_time(spark, monkeypatch):
+    alive, most, build = weakref.WeakSet(), [], decontaminate.Sketches.__init__
+
+    def counted(self, *args):
+        gc.collect()
+        most.append(len(alive))
+        alive.add(self)
+        build(self, *args)
+
+    monkeypatch.setattr(decontaminate.Sketches, "__init__", counted)
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(20))) for i in range(24)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contaminated(docs_of(spark, items), bench, block_shingles=64)
+    assert len(most) > 3 and max(most) == 0
+    assert "MapInArrow" not in found._jdf.queryExecution().analyzed().toString()
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(i, i) for i in range(24)]
+
+
 def test_op9_round_trip_and_packing(spark):
     from tokenizers import Tokenizer
 
