@@ -9,27 +9,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labtide.llm.staging import staged
+
 BLOCK = 512
+BLOCK_WEIGHT = 1 << 19
 TASKS = 64
 
 
-def met(hosts: DataFrame, visitors: DataFrame, block: int = BLOCK) -> DataFrame:
+def met(hosts: DataFrame, visitors: DataFrame, block: int = BLOCK, heavy: int = BLOCK_WEIGHT) -> DataFrame:
     """Rows of ``hosts`` and ``visitors`` (meeting, rep and the same other columns), dealt out to be compared.
 
-    Both sides of a meeting are cut into blocks of about ``block`` rows; each pair of a host and a visitor block becomes a
-    (meeting, place, seat), so that no task holds a whole large meeting, and a row is repeated once per block of the other
-    side. ``task`` puts small meetings together and gives large ones a group for each pair of blocks.
+    Both sides of a meeting are cut into blocks of about ``block`` rows, or a weight of ``heavy`` if rows have a column
+    ``weight``; each pair of a host and a visitor block becomes a (meeting, place, seat), so that no task holds a whole large
+    meeting, and a row is repeated once per block of the other side. ``task`` puts small meetings together, about four
+    blocks of rows or weight, and gives large ones a group for each pair of blocks.
     """
-    sizes = hosts.groupBy("meeting").agg(F.ceil(F.count("*") / block).alias("host_blocks"))
-    guests = visitors.groupBy("meeting").agg(F.ceil(F.count("*") / block).alias("guest_blocks"), F.count("*").alias("guests"))
-    shape = sizes.join(guests, "meeting")
+    weight = F.col("weight") if "weight" in hosts.columns else F.lit(0)
+
+    def counted(side: DataFrame, name: str) -> DataFrame:
+        blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum(weight) / heavy))
+        own = (F.count("*").alias(f"{name}_rows"), F.sum(weight).alias(f"{name}_weight"))
+        return side.groupBy("meeting").agg(blocks.alias(f"{name}_blocks"), *own)
+
+    shape = staged(counted(hosts, "host").join(counted(visitors, "guest"), "meeting"), "meeting-sizes")
+    alone_rows, alone_weight = (
+        shape.where("host_blocks * guest_blocks = 1")
+        .agg(F.sum(F.col("host_rows") + F.col("guest_rows")), F.sum(F.col("host_weight") + F.col("guest_weight")))
+        .first()
+    )
+    shape = shape.select("meeting", "host_blocks", "guest_blocks")
     zero = F.lit(0).cast("bigint")
 
     def dealt(side: DataFrame, visiting: bool) -> DataFrame:
         own, other = ("guest_blocks", "host_blocks") if visiting else ("host_blocks", "guest_blocks")
         names = ("seat", "place") if visiting else ("place", "seat")
         return side.join(shape, "meeting").select(
-            *side.columns,
+            *[c for c in side.columns if c != "weight"],
             (F.col("host_blocks") * F.col("guest_blocks")).alias("pairs"),
             F.lit(visiting).alias("visiting"),
             F.pmod(F.xxhash64("rep"), F.col(own)).alias(names[0]),
@@ -39,6 +54,7 @@ def met(hosts: DataFrame, visitors: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = dealt(hosts, False).unionByName(dealt(visitors, True))
     alone = F.xxhash64("meeting", "place", "seat")
     slots = max(TASKS, 4 * int(hosts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slots = max(slots, -(-(alone_rows or 0) // (4 * block)), -(-(alone_weight or 0) // (4 * heavy)))
     return rows.withColumn("task", F.when(F.col("pairs") == 1, F.pmod(F.xxhash64("meeting"), F.lit(slots))).otherwise(alone))
 
 

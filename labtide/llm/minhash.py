@@ -146,13 +146,19 @@ def _compared(hosts: DataFrame, visitors: DataFrame, sets: DataFrame, percent: i
     return rows.groupBy("task").applyInArrow(lambda table: _task_links(table, percent), "a bigint, b bigint")
 
 
-def crossing_links(meetings: DataFrame, homes: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+def crossing_links(
+    meetings: DataFrame, homes: DataFrame, sets: DataFrame, weights: DataFrame, percent: int, block: int
+) -> DataFrame:
     """Links that the pivots missed: between members of a bucket that are still in different components.
 
     In a bucket, the members outside its most frequent component are guests. Each guest is compared with that whole
     component (once, however many buckets they share), and with the other guests of the bucket. Buckets of one component
-    are done already and drop out.
+    are done already and drop out. ``weights`` has the number of shingles of each ``rep``, by which blocks are cut.
     """
+
+    def weighed(side: DataFrame) -> DataFrame:
+        return side.join(weights, "rep", "left").withColumn("weight", F.coalesce("weight", F.lit(0)))
+
     rows = meetings.where("rep <> pivot").select("key", "rep")
     rows = rows.join(homes, "rep", "left").withColumn("home", F.coalesce("component", "rep")).drop("component")
     tally = rows.groupBy("key", "home").agg(F.count("*").alias("n"))
@@ -177,6 +183,7 @@ def crossing_links(meetings: DataFrame, homes: DataFrame, sets: DataFrame, perce
     )
     several = guests.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).where("low <> high")
     among = guests.join(several.select("key"), "key").select(F.col("key").alias("meeting"), "rep", "home")
+    hosts, calls, among = weighed(hosts), weighed(calls), weighed(among)
     return _compared(hosts, calls, sets, percent, block).unionAll(_compared(among, among, sets, percent, block))
 
 
@@ -204,7 +211,7 @@ def near_duplicates(
     heads = staged(
         signs.where("doc_id is not null and set_id is not null")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")),
         "heads",
     )
     lean = signs.select("doc_id", "n_shingles", "set_id")
@@ -225,7 +232,8 @@ def near_duplicates(
     found = found.unionAll(twins)
 
     homes = components(found, "a", "b").withColumnRenamed("node", "rep")
-    crossing = staged(crossing_links(meetings, homes, sets, percent, block), "crossing-links")
+    weights = heads.groupBy("rep").agg(F.sum("n_shingles").alias("weight"))
+    crossing = staged(crossing_links(meetings, homes, sets, weights, percent, block), "crossing-links")
     if not crossing.isEmpty():
         homes = components(
             crossing.unionAll(homes.select(F.col("rep").alias("a"), F.col("component").alias("b"))), "a", "b"

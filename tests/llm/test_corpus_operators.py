@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labtide.llm import (
+    blocks,
     decontaminate,
     embedding_dedup,
     html_text,
@@ -256,6 +257,22 @@ def test_op7_equals_brute_force(spark):
     assert got[None].component_id is None and embedding_dedup.near_duplicate_vectors(frame.limit(0)).count() == 0
 
 
+def test_groups_of_meetings_follow_rows_and_weight(spark):
+    pairs = spark.range(300_000).selectExpr("id div 2 as meeting", "id as rep")
+    sizes = [r["count"] for r in blocks.met(pairs, pairs).groupBy("task").count().collect()]
+    assert sum(sizes) == 600_000 and max(sizes) <= 6 * blocks.BLOCK
+    heavy = spark.range(400).selectExpr("1L as meeting", "id as rep", "100000L as weight")
+    met = blocks.met(heavy, heavy).groupBy("task", "visiting").agg(F.count("*").alias("n"))
+    assert met.agg(F.max("n")).first()[0] * 100_000 <= 4 * blocks.BLOCK_WEIGHT
+    rows = blocks.met(heavy, heavy, heavy=4_000_000)
+    left, right = rows.where("not visiting").alias("a"), rows.where("visiting").alias("b")
+    same = ["meeting", "place", "seat", "task"]
+    assert left.join(right, same).select("a.rep", "b.rep").distinct().count() == 400 * 400
+    small = pairs.where("rep < 4000").withColumn("weight", F.lit(100_000).cast("bigint"))
+    sizes = [r["count"] for r in blocks.met(small, small).groupBy("task").count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) * 100_000 <= 12 * blocks.BLOCK_WEIGHT
+
+
 def test_op8_equals_brute_force(spark):
     items = [(1, BASE), (2, "Alpha beta, gamma"), (3, None), (4, "..."), (5, " ".join(f"t{i}" for i in range(60)))]
     nearly = " ".join(f"t{i}" for i in range(50))
