@@ -181,6 +181,14 @@ def test_op1_held_out_accuracy(spark):
     assert np.mean(hits) >= 0.8
 
 
+def test_op1_training_has_no_host_of_the_test_tables():
+    hosts = [re.match("https?://([^/]*)", url)[1] for url, _ in url_filter.TRAINING]
+    for name in ("spam-farm", "cheap-pills", "free-bets", "adult-x", "ads-track", "casino-win"):
+        assert not [host for host in hosts if name in host]
+    made_up = {"thereon", "ertionth", "ththing", "tionheon", "ontherth", "thandero", "anthetion", "thth", "ththth", "ththre"}
+    assert not made_up & {label for host in hosts for label in host.split(".")}
+
+
 def test_op4_base_and_notice(spark):
     notice = license_scan.NOTICES[0][1]
     changed = notice.replace("free of charge", "free of any charge").replace("without limitation ", "")
