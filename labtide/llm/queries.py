@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtide.llm import (
+    bpe,
     decontaminate,
     embedding_dedup,
     html_text,
@@ -38,6 +39,14 @@ def tokenizer() -> str:
     return os.environ.get("LABTIDE_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
 
 
+@cache
+def ranks() -> str:
+    """The rank file of the byte-level query; its place can be set by LABTIDE_RANKS."""
+    import public_tokenizers
+
+    return os.environ.get("LABTIDE_RANKS") or public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select(
         "page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.score"
@@ -86,6 +95,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks(), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,6 +114,7 @@ QUERIES = {
         op8_decontamination,
         op9_packing,
         op10_html_text,
+        op12_byte_bpe,
     )
 }
 
