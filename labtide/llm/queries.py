@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from labtide.llm import (
     bpe,
+    conversation,
     decontaminate,
     embedding_dedup,
     html_text,
     license_scan,
     line_dedup,
+    merkle,
     minhash,
     packing,
     quality,
@@ -95,12 +97,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks(), public_tokenizers.PATTERN)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.digests(conversation.repair(conversation.damaged(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,7 +124,9 @@ QUERIES = {
         op8_decontamination,
         op9_packing,
         op10_html_text,
+        op11_merkle_manifest,
         op12_byte_bpe,
+        op13_conversation_repair,
     )
 }
 
@@ -163,5 +175,131 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM least LEFT JOIN degree USING (vec_id)
 """
 
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT), lambda c, x:
+    list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(c, x)),
+    4294967295::BIGINT), 4294967295)"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, CASE WHEN {_crc("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS changed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed),
+low AS (
+  SELECT lang, 0 AS level, i, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1
+  GROUP BY lang, level, i // 2, n),
+trees AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, i, n, subroot AS h FROM trees
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, i // 2, n),
+places AS (
+  SELECT l.rid, l.level, l.level AS seq, l.i >> l.level AS own, s.h
+  FROM (SELECT rid, lang, i, unnest(range(CAST(ceil(log2(n)) AS BIGINT))) AS level FROM leaves) l
+  LEFT JOIN low s ON s.lang IS NOT DISTINCT FROM l.lang AND s.level = l.level AND s.i = xor(l.i >> l.level, 1)
+  UNION ALL
+  SELECT l.rid, t.level, 1000 + t.level, t.i >> t.level, s.h
+  FROM leaves l JOIN (SELECT lang, i, unnest(range(CAST(ceil(log2(n)) AS BIGINT))) AS level FROM trees) t
+    ON t.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN high s ON s.level = t.level AND s.i = xor(t.i >> t.level, 1)),
+path AS (SELECT rid, own, h, row_number() OVER (PARTITION BY rid ORDER BY seq) AS step FROM places),
+fold AS (
+  SELECT rid, 0 AS step, coalesce(changed, leaf) AS node FROM leaves
+  UNION ALL
+  SELECT f.rid, f.step + 1, sha256(CASE WHEN p.h IS NULL THEN node WHEN p.own % 2 = 1 THEN p.h || node ELSE node || p.h END)
+  FROM fold f JOIN path p ON p.rid = f.rid AND p.step = f.step + 1),
+top AS (SELECT rid, max_by(node, step) AS folded_root FROM fold GROUP BY rid),
+proofs AS (SELECT rid, string_agg(h, '' ORDER BY step) AS proof FROM path WHERE h IS NOT NULL GROUP BY rid),
+root AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves l JOIN trees t ON t.lang IS NOT DISTINCT FROM l.lang CROSS JOIN root JOIN top USING (rid) LEFT JOIN proofs USING (rid)
+"""
+
+SPACES_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+# Costs from each place in the grammar to the end (c0 start, c1 after s, c2 after u, c3 after a), turn by turn from the
+# back; then the cheapest way is walked from the front, least edit first.
+REPAIR_SQL = f"""
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations),
+held AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM coded, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) copies),
+placed AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS last, rtrim(text, {SPACES_SQL}) AS bare
+  FROM held WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault FROM placed),
+turns AS (
+  SELECT *, fault IN ('blank', 'duplicate') AS bad, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS cut FROM faults),
+known AS (
+  SELECT c.conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE last IS NOT NULL AND last || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  GROUP BY c.conv_id),
+back AS (
+  SELECT conv_id, n + 1 AS i, 0 AS c0, 4 AS c1, 2 AS c2, 0 AS c3 FROM known
+  UNION ALL
+  SELECT conv_id, i, least(k0, 2 + k2, 4 + k3), least(k1, 2 + k2, 4 + k3), least(k2, 2 + k3), least(k3, 2 + k2) FROM (
+    SELECT b.conv_id, t.i, least(3 + c1, u + c2) AS k1, least(3 + c2, a + c3) AS k2, least(3 + c3, u + c2) AS k3,
+           least(3 + c0, u + c2, CASE WHEN initial = 's' AND NOT bad THEN cut + c1 ELSE 1000000 END) AS k0
+    FROM back b JOIN (
+      SELECT *, cut + CASE WHEN bad THEN 1000000 WHEN initial = 'u' THEN 0 ELSE 2 END AS u,
+             cut + CASE WHEN bad THEN 1000000 WHEN initial = 'a' THEN 0 ELSE 2 END AS a FROM turns) t
+      ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.i = b.i - 1)),
+costs AS (SELECT conv_id, i, [c0, c1, c2, c3] AS c FROM back),
+walk AS (
+  SELECT conv_id, 1 AS i, 0 AS phase, '' AS audit, []::VARCHAR[] AS lines FROM known
+  UNION ALL
+  SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+         CASE WHEN edit = 'D' THEN phase WHEN edit = 'S' THEN 1 WHEN phase = 2 THEN 3 ELSE 2 END,
+         audit || CASE WHEN edit = 'S' THEN 'K' ELSE edit END,
+         CASE edit WHEN 'D' THEN lines WHEN 'I' THEN list_append(lines, want || ':')
+                   WHEN 'R' THEN list_append(lines, want || ':' || text) ELSE list_append(lines, role || ':' || text) END
+  FROM (
+    SELECT w.*, t.role, t.text, CASE WHEN phase = 2 THEN 'assistant' ELSE 'user' END AS want,
+           CASE WHEN t.i IS NULL THEN 'I'
+                WHEN 3 + after.c[phase + 1] = here.c[phase + 1] THEN 'D'
+                WHEN 2 + here.c[CASE WHEN phase = 2 THEN 4 ELSE 3 END] = here.c[phase + 1] THEN 'I'
+                WHEN phase = 0 AND initial = 's' AND NOT bad AND cut + after.c[2] = here.c[1] THEN 'S'
+                WHEN initial = CASE WHEN phase = 2 THEN 'a' ELSE 'u' END THEN 'K' ELSE 'R' END AS edit
+    FROM walk w JOIN costs here ON here.conv_id IS NOT DISTINCT FROM w.conv_id AND here.i = w.i
+    LEFT JOIN costs after ON after.conv_id IS NOT DISTINCT FROM w.conv_id AND after.i = w.i + 1
+    LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i
+    WHERE t.i IS NOT NULL OR phase IN (1, 2))),
+ends AS (SELECT conv_id, max_by(audit, length(audit)) AS audit, max_by(lines, length(audit)) AS lines FROM walk GROUP BY conv_id)
+SELECT k.conv_id, gaps, blank, duplicate, truncated, illegal, c.c[1]::BIGINT AS cost, audit,
+       sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM known k JOIN ends e ON e.conv_id IS NOT DISTINCT FROM k.conv_id JOIN costs c ON c.conv_id IS NOT DISTINCT FROM k.conv_id AND c.i = 1
+"""
+
 # The other operators rest on hashing, trained models, tokenizers or parsing, which SQL cannot state on whole tables.
-ORACLES: dict[str, str] = {"op3_line_dedup": LINES_SQL, "op5_warc": WARC_SQL, "op7_embedding_dedup": VECTORS_SQL}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": LINES_SQL,
+    "op5_warc": WARC_SQL,
+    "op7_embedding_dedup": VECTORS_SQL,
+    "op11_merkle_manifest": MERKLE_SQL,
+    "op13_conversation_repair": REPAIR_SQL,
+}
