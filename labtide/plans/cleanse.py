@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from labtide.config.settings import COMPACT_DATE_REGIONS, DIALECTS, PLAIN_PHONE_REGIONS, Dialect
 from labtide.functions import text
 from labtide.operators import columns, quality
+from labtide.operators.rules import Rule, filled_values
 from labtide.plans import template
 
 BAD_PHONE = "bad_phone"
@@ -33,23 +34,46 @@ def fix_dates(df: DataFrame, region: str = "state") -> DataFrame:
     return fixed.withColumns(restored).drop(*untouched) if restored else fixed
 
 
-def fix_phones(df: DataFrame, region: str = "state", *, pad: bool = False) -> DataFrame:
-    """Repaired phones and a ``bad_phone`` flag for rows to look at. KS files are left alone."""
+def _repaired_phones(df: DataFrame, region: str, pad: bool) -> dict[str, Column]:
+    """For each phone column, one structure of its repaired value and whether that failed. KS is not looked at."""
     here = F.col(region)
     separator = F.when(here.isin(*PLAIN_PHONE_REGIONS), F.lit("")).otherwise(F.lit("-"))
-    changed = {}
+    out = {}
     for name in columns.search(df.drop(BAD_PHONE), "phone"):
         value, broken = text.phone_repair(F.col(f"`{name}`"), separator, pad=pad)
-        changed[name] = F.when((here == "KS") | broken, F.col(f"`{name}`")).otherwise(value)
-    return df.withColumns({**changed, BAD_PHONE: bad_phone(df, region, pad=pad)})
+        out[name] = F.when(here != "KS", F.struct(value.alias("value"), broken.alias("broken")))
+    return out
+
+
+def fix_phones(df: DataFrame, region: str = "state", *, pad: bool = False) -> DataFrame:
+    """Repaired phones and a ``bad_phone`` flag for rows to look at. KS files are left alone."""
+    found = _repaired_phones(df, region, pad)
+    if not found:
+        return df.withColumn(BAD_PHONE, F.lit(False))
+    both = df.withColumns({f"__{name}": c for name, c in found.items()})
+    broken = {name: F.coalesce(F.col(f"`__{name}`")["broken"], F.lit(False)) for name in found}
+    bad = F.lit(False)
+    for flag in broken.values():
+        bad = bad | flag
+    kept = {n: F.when(F.col(f"`__{n}`").isNull() | broken[n], F.col(f"`{n}`")).otherwise(F.col(f"`__{n}`")["value"]) for n in found}
+    return both.withColumns({**kept, BAD_PHONE: bad}).drop(*[f"__{name}" for name in found])
 
 
 def bad_phone(df: DataFrame, region: str = "state", *, pad: bool = False) -> Column:
     """Whether a row has a phone that cannot be repaired. Those of KS are not looked at."""
     bad = F.lit(False)
-    for name in columns.search(df.drop(BAD_PHONE), "phone"):
-        bad = bad | text.phone_repair(F.col(f"`{name}`"), pad=pad)[1]
-    return (F.col(region) != "KS") & bad
+    for found in _repaired_phones(df, region, pad).values():
+        bad = bad | F.coalesce(found["broken"], F.lit(False))
+    return bad
+
+
+def export_rules(df: DataFrame, region: str, accession: str, *, min_values: int = 7) -> list[Rule]:
+    """Why a row of the export is held back: no accession number, a phone nobody can call, or hardly any values."""
+    return [
+        Rule("no_accession", F.col(f"`{accession}`").isNull()),
+        Rule("bad_phone", bad_phone(df, region)),
+        Rule("few_values", filled_values(df, [region]) < min_values),
+    ]
 
 
 def fix_zips(df: DataFrame, region: str = "state") -> DataFrame:

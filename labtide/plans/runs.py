@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtide.config.settings import ACCESSIONING_GROUPS, DATA_ENTRY_GROUPS, FileNames, LabIdentity
 from labtide.functions import time
-from labtide.operators import matching, quality, reshape
+from labtide.operators import matching, reshape, rules
 from labtide.plans import activity, cleanse, funnel, ledger, shift, state_export, template, turnaround
+from labtide.plans.journal import Journal, Run
 from labtide.session import require_utc, sized
 from labtide.sources import readers, writers
 
 
-def dashboards(facts: DataFrame, out: str, rules: Mapping[str, Column], *, term: str = "COVID") -> None:
+def dashboards(facts: DataFrame, out: str, segments: Mapping[str, Column], *, term: str = "COVID") -> None:
     """Funnel by start and event day, turnaround per segment, positives. The source tables are read once."""
     spark = require_utc(facts.sparkSession)
     with sized(spark, facts):
@@ -25,7 +28,7 @@ def dashboards(facts: DataFrame, out: str, rules: Mapping[str, Column], *, term:
         for day in ("start_day", "event_day"):
             writers.publish(funnel.funnel(facts, day=day, term=term), f"{out}/events_by_{day}")
         rows = turnaround.turnaround(facts, term=term)
-        writers.publish(matching.segments(turnaround.published(rows), rules), f"{out}/turnaround", by="segment", sort=["sent_day"])
+        writers.publish(matching.segments(turnaround.published(rows), segments), f"{out}/turnaround", by="segment", sort=["sent_day"])
         writers.publish(turnaround.positives(rows), f"{out}/positives", sort=["sent_day"])
 
 
@@ -69,6 +72,38 @@ def shift_reports(
             writers.publish(by_category, f"{out}/{name}/tickets")
 
 
+ACCESSION = "Specimen ID / Accession Number"
+HELD_SCHEMA = "report_id bigint, file_state string, since_run bigint, reasons array<string>"
+
+
+@dataclass(frozen=True)
+class Reporting:
+    """Where and how the public-health export runs; places are folders.
+
+    ``root`` is the distributor, ``states`` the regions to report to. ``templates`` has the forms of regions that want columns
+    of their own, all others get the export's columns.
+    """
+
+    lab: LabIdentity
+    root: int
+    states: Sequence[str]
+    ledger_path: str
+    watermark_path: str
+    deliveries_path: str
+    journal_path: str | None = None
+    report_type_ids: Sequence[int] | None = None
+    templates: Mapping[str, template.Template] = field(default_factory=dict)
+    catalogue: Mapping[int, str] = field(default_factory=dict)
+    names: FileNames = field(default_factory=FileNames)
+    mode: str = ""
+    user_id: int = 0
+    tz: str = time.EST
+
+    @property
+    def journal(self) -> str:
+        return self.journal_path or f"{self.watermark_path.rstrip('/')}_journal"
+
+
 def state_reporting(
     spark: SparkSession,
     t: state_export.ExportTables,
@@ -76,69 +111,156 @@ def state_reporting(
     lab: LabIdentity,
     out: str,
     *,
-    root: int,
     end: dt.datetime,
     first_start: dt.datetime,
-    states: Sequence[str],
-    ledger_path: str,
-    watermark_path: str,
-    deliveries_path: str,
-    report_type_ids: Sequence[int] | None = None,
-    templates: Mapping[str, template.Template] | None = None,
-    catalogue: Mapping[int, str] | None = None,
-    names: FileNames = FileNames(),
-    mode: str = "",
     test_run: bool = False,
-    user_id: int = 0,
-    tz: str = time.EST,
+    **settings,
 ) -> DataFrame:
-    """Export everything since the last run, write region files and templates, mark the reports, move the watermark.
+    """Export everything since the last run, write the region files, mark the reports, move the watermark.
+
+    ``end``, ``first_start`` and the watermark are local times; ``settings`` are those of ``Reporting``. A run covers reports
+    sent from the watermark on and before ``end``, so one sent exactly at ``end`` goes out with the next run only.
+
+    A report with a row that breaks a rule (``cleanse.export_rules``) is held back whole: its rows go to ``out/quarantine``
+    with their reasons, it is in no file, not counted and not marked. It is looked at again by every later run, however
+    old it is, until it is marked. Files hold cleansed rows, in the columns of the region's form where it has one and in
+    the region's dialect.
 
-    ``end``, ``first_start`` and the watermark are local times. A run covers reports sent from the watermark on and before
-    ``end``, so one sent exactly at ``end`` goes out with the next run only. Region files hold cleansed rows. Rows
-    without an accession number, or with a phone that cannot be repaired, go to ``out/quarantine`` instead: they are in
-    no file or form, are not counted and not marked.
+    Every step is noted in a journal. A run that died goes on, when called again, where it stopped and over the window it had,
+    before a new window is begun. Run twice over the same window, it marks no report and logs no delivery a second time.
 
-    The manifest is returned. A test run keeps six rows per region, marks nothing and leaves the watermark alone. Run
-    twice over the same window, it marks no report and logs no delivery a second time.
+    The manifest is returned. A test run keeps six rows per region and writes files only: it marks and holds nothing, and
+    leaves journal and watermark alone.
     """
+    how = Reporting(lab=lab, **settings)
     with sized(require_utc(spark), t.reports, t.samples, t.locations, t.patient_users, event_logs):
-        # ``end`` is local; what is printed and stored is made from the same instant in UTC.
-        utc_end = spark.range(1).select(time.local_bound(end, tz)).first()[0]
-        mark = F.convert_timezone(F.lit(tz), F.lit("UTC"), readers.watermark(spark, watermark_path, first_start))
-        rows = state_export.export_rows(
-            t, lab, root=root, as_of=utc_end, end=end, report_type_ids=report_type_ids, tz=tz
+        journal = Journal(spark, how.journal)
+        if test_run:
+            start = _watermark(spark, how, first_start)
+            return _export_window(spark, t, event_logs, how, out, Run(journal, 0, start, end), test_run=True)
+        manifest, left = None, journal.unfinished()
+        if left is not None:
+            manifest = _export_window(spark, t, event_logs, how, out, left)
+        if left is None or left.end < end:
+            start = _watermark(spark, how, first_start)
+            manifest = _export_window(spark, t, event_logs, how, out, journal.begin(start, end))
+        return manifest
+
+
+def _watermark(spark: SparkSession, how: Reporting, first_start: dt.datetime) -> dt.datetime:
+    return spark.range(1).select(readers.watermark(spark, how.watermark_path, first_start)).first()[0]
+
+
+def _export_window(
+    spark: SparkSession,
+    t: state_export.ExportTables,
+    event_logs: DataFrame,
+    how: Reporting,
+    out: str,
+    run: Run,
+    *,
+    test_run: bool = False,
+) -> DataFrame:
+    step = (lambda _, action: action()) if test_run else run.step
+    # The window is local; what is printed and stored is made from the same instants in UTC.
+    utc_end = spark.range(1).select(time.local_bound(run.end, how.tz)).first()[0]
+    ledger_rows = readers.empty_or(spark, how.ledger_path, LEDGER_SCHEMA)
+    marks = ["report_id", "event_type", "created_at"]
+    known = matching.append(event_logs.select(*marks), ledger_rows.select(*marks))
+    last = run.journal.last_finished()
+    held_path = f"{how.journal}/held"
+    held = spark.createDataFrame([], HELD_SCHEMA)
+    if last is not None:
+        held = readers.empty_or(spark, f"{held_path}/run={last.number}", HELD_SCHEMA)
+
+    waiting = ledger.unreported(held, known, key="report_id").select("report_id")
+    due = state_export.due(t.reports, waiting, time.local_bound(run.start, how.tz), time.ntz(utc_end))
+    rows = state_export.export_rows(
+        replace(t, reports=due), how.lab, root=how.root, as_of=utc_end, report_type_ids=how.report_type_ids, tz=how.tz
+    ).where(F.col("file_state").isin(*how.states))
+    done = state_export.finish(rows, mode=how.mode, limit_per_state=6 if test_run else None, tz=how.tz)
+    tests = cleanse.export_rules(done, "file_state", ACCESSION)
+    judged = rules.with_reasons(done.dropDuplicates(), tests)
+
+    def export() -> None:
+        counted, seen = rules.observed(judged, tests)
+        written = writers.stage(counted, f"{out}/checked")
+        # Where there are no rows, Spark plans the counters away as well.
+        found = {} if written.isEmpty() else seen.get
+        totals = [(name, int(found.get(name, 0))) for name in ("rows", "held", *[r.name for r in tests])]
+        writers.publish(spark.createDataFrame(totals, "rule string, n bigint").coalesce(1), f"{out}/row_rules")
+
+    step("export", export)
+    checked = spark.read.schema(judged.schema).parquet(f"{out}/checked")
+    unfit = checked.where(F.size(rules.REASONS) > 0)
+
+    def split() -> None:
+        ids = unfit.select(F.col("report_id").alias("unfit_id")).distinct()
+        writers.stage(matching.absent(checked, ids, {"report_id": "unfit_id"}).drop(rules.REASONS), f"{out}/staged")
+        writers.publish(matching.present(checked, ids, {"report_id": "unfit_id"}), f"{out}/quarantine")
+        writers.publish(rules.counts(unfit, "file_state"), f"{out}/reasons", sort=["file_state", "reason"])
+
+    step("split", split)
+    staged = spark.read.schema(done.schema).parquet(f"{out}/staged")
+    quarantined = spark.read.schema(judged.schema).parquet(f"{out}/quarantine")
+
+    def hold() -> None:
+        new = quarantined.groupBy("report_id").agg(
+            F.min("file_state").alias("file_state"), F.sort_array(F.array_distinct(F.flatten(F.collect_set(rules.REASONS)))).alias("reasons")
         )
-        sent = F.col("`Result Date and Time`")
-        rows = rows.where((sent >= mark) & (sent < time.ntz(utc_end)) & F.col("file_state").isin(*states))
-        done = state_export.finish(rows, mode=mode, limit_per_state=6 if test_run else None, tz=tz)
-        unfit = cleanse.bad_phone(done, "file_state") | F.col("`Specimen ID / Accession Number`").isNull()
-        checked = writers.stage(done.withColumn("unfit", unfit), f"{out}/staged")
-        sound, held = quality.split_bad(checked, F.col("unfit"))
-        staged = sound.drop("unfit")
-
-        writers.publish(held.drop("unfit"), f"{out}/quarantine")
-        writers.in_dialects(cleanse.repaired(staged, "file_state").drop(cleanse.BAD_PHONE), f"{out}/files")
-        for region, form in (templates or {}).items():
-            part = staged.where(F.col("file_state") == region)
-            shaped = template.transform(part, form, catalogue or {}, default_phone=lab.phone, as_of=end)
-            writers.publish(shaped, f"{out}/forms/{region}", fmt="csv")
-
-        regions = spark.createDataFrame([(s,) for s in states], "file_state string")
-        manifest = state_export.manifest(regions, staged)
-        if not test_run:
-            marked = readers.empty_or(spark, ledger_path, LEDGER_SCHEMA)
-            known = matching.append(event_logs.select("report_id", "event_type", "created_at"), marked.select("report_id", "event_type", "created_at"))
-            new = ledger.rows_for_exported(staged, known, as_of=utc_end, user_id=user_id)
-            # The marks are fixed before the ledger changes: counting them afterwards would find none.
-            new.write.mode("overwrite").parquet(f"{out}/marks")
-            marks = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")
-            writers.publish(ledger.mark_manifest(regions, staged, marks), f"{out}/marked")
-            writers.append_new(spark, marks, ledger_path, "report_id")
-            writers.log_deliveries(spark, writers.delivery_manifest(manifest, names, end.date()), deliveries_path)
-            writers.write_watermark(spark, watermark_path, end)
+        # What was held and is neither sound nor marked stays held, also when the export does not show it now.
+        again = held.select(F.col("report_id").alias("old_id"), F.col("file_state").alias("old_state"), "since_run", F.col("reasons").alias("old_reasons"))
+        both = new.join(again, F.col("report_id") == F.col("old_id"), "full").select(
+            F.coalesce("report_id", "old_id").alias("report_id"),
+            F.coalesce("file_state", "old_state").alias("file_state"),
+            F.coalesce("since_run", F.lit(run.number)).cast("bigint").alias("since_run"),
+            F.coalesce("reasons", "old_reasons").alias("reasons"),
+        )
+        rest = matching.absent(both, staged.select(F.col("report_id").alias("sound_id")), {"report_id": "sound_id"})
+        writers.publish(ledger.unreported(rest, known, key="report_id"), f"{held_path}/run={run.number}")
+
+    if not test_run:
+        step("hold", hold)
+
+    def files() -> None:
+        writers.region_files(_all_lines(staged, how, run.end), f"{out}/files")
+
+    step("files", files)
+    regions = spark.createDataFrame([(s,) for s in how.states], "file_state string")
+    manifest = state_export.manifest(regions, staged)
+    if test_run:
         return manifest
 
+    def mark() -> None:
+        # The marks are fixed before the ledger changes: counting them afterwards would find none.
+        new = ledger.rows_for_exported(staged, known, as_of=utc_end, user_id=how.user_id)
+        new.write.mode("overwrite").parquet(f"{out}/marks")
+        writers.publish(ledger.mark_manifest(regions, staged, spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")), f"{out}/marked")
+
+    step("marks", mark)
+    fixed = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")
+    step("ledger", lambda: writers.append_new(spark, fixed, how.ledger_path, "report_id"))
+    delivered = writers.delivery_manifest(manifest, how.names, run.end.date())
+    step("deliveries", lambda: writers.log_deliveries(spark, delivered, how.deliveries_path))
+    step("watermark", lambda: writers.write_watermark(spark, how.watermark_path, run.end))
+    run.finish()
+    return manifest
+
+
+def _all_lines(staged: DataFrame, how: Reporting, end: dt.datetime) -> DataFrame:
+    """Lines of every region: forms first, then cleansing, then the dialect. Each form reads its own region's rows only."""
+    here = F.col("file_state")
+    parts = [staged.where(~here.isin(*how.templates))] if how.templates else [staged]
+    for region, form in how.templates.items():
+        own = staged.where(here == region)
+        for name in cleanse.dialect_of(region).required:
+            own = own.where(F.col(f"`{name}`").isNotNull())
+        parts.append(
+            template.transform(own, form, how.catalogue, default_phone=how.lab.phone, as_of=end, keep=("report_id", "file_state"))
+        )
+    lined = [writers.lines(cleanse.repaired(part, "file_state").drop(cleanse.BAD_PHONE)) for part in parts]
+    return functools.reduce(DataFrame.unionAll, lined)
+
 
 LEDGER_SCHEMA = """
 patient_user_id bigint, report_id bigint, event_type string, agent_type string, user_id bigint, domain string,

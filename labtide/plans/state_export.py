@@ -51,6 +51,16 @@ def eligible_reports(
     return matching.present(t.reports.where(keep), family, {"cached_distributor_id": "__root"})
 
 
+def due(reports: DataFrame, waiting: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Reports sent from ``start`` on and before ``end``, and those of ``waiting`` (report_id) that were sent before.
+
+    The window reaches the scan as it is; waiting reports are found by their ids, and are few.
+    """
+    sent = F.col("sent_date")
+    older = matching.present(reports.where(sent < start), waiting.select(F.col("report_id").alias("waiting_id")), {"id": "waiting_id"})
+    return reports.where((sent >= start) & (sent < end)).unionAll(older)
+
+
 def usable_samples(t: ExportTables) -> DataFrame:
     """Samples of an exported collection type with at least one usable data source."""
     sources = t.sample_data_sources.where(F.col("status").isin(*codes.SPECIMEN_STATUSES)).select("sample_id")

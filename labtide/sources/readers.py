@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labtide.config.settings import Dialect
 from labtide.functions import time
 from labtide.operators import quality
 
@@ -91,10 +92,10 @@ def watermark(spark: SparkSession, path: str, default) -> Column:
     return seen.agg(F.coalesce(F.max("last_export"), time.ntz(default)).alias("last_export")).scalar()
 
 
-def empty_or_files(spark: SparkSession, path: str, schema: str, *, sep: str = ",", header: bool = True) -> DataFrame:
-    """Delimited files below ``path``, or no rows when nothing was written there."""
+def region_file(spark: SparkSession, path: str, region: str, schema: str, dialect: Dialect, key: str = "file_state") -> DataFrame:
+    """One region's files as plain delimited text, or no rows when nothing was written for it."""
     try:
-        return spark.read.schema(schema).csv(path, sep=sep, header=header, recursiveFileLookup=True)
+        return spark.read.schema(schema).csv(f"{path.rstrip('/')}/{key}={region}", sep=dialect.sep, header=dialect.header, recursiveFileLookup=True)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,34 +57,88 @@ def replace_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int
     df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
 
 
-def by_region(df: DataFrame, path: str, *, region: str = "file_state", dialect: Dialect = Dialect()) -> None:
-    """One folder per region, in one job. The rebalance hint splits a region that holds a large share of the rows."""
-    rows = df.dropna(subset=[f"`{c}`" for c in dialect.required]) if dialect.required else df
-    writer = rows.hint("rebalance", region).write.mode("overwrite").partitionBy(region)
-    writer.option("sep", dialect.sep).option("header", dialect.header).option("timestampNTZFormat", "MM/dd/yyyy HH:mm").csv(path)
-
-
 def stage(df: DataFrame, path: str, *, region: str = "file_state") -> DataFrame:
     """Write rows once, one partition per region, and read them back: later steps prune to the regions they need."""
     df.hint("rebalance", region).write.mode("overwrite").partitionBy(region).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_dialects(staged: DataFrame, path: str, *, region: str = "file_state") -> dict[Dialect, str]:
-    """Region files grouped by output form: one write per form, not one per region.
+ROWS_PER_FILE = 1_000_000
+FILE = "file"
+LINE_KEY, LINE, HEADER = "__key", "value", "__header"
+
+
+def header_line(names: Sequence[str], dialect: Dialect) -> str:
+    """The first line of a file, quoted as its rows are."""
+    line = io.StringIO()
+    csv.writer(line, delimiter=dialect.sep, lineterminator="").writerow(names)
+    return line.getvalue()
+
+
+def _line_columns(df: DataFrame, dialect: Dialect, region: str, key: str) -> tuple[Column, Column]:
+    """(a row as a line, the header of its file or null). ``region`` and ``key`` are not part of it; values keep their blanks."""
+    shown = [c for c in df.columns if c not in (region, key)]
+    options = {
+        "sep": dialect.sep,
+        "timestampNTZFormat": "MM/dd/yyyy HH:mm",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    header = F.lit(header_line(shown, dialect)) if dialect.header else F.lit(None).cast("string")
+    return F.to_csv(F.struct(*[F.col(f"`{c}`") for c in shown]), options), header
+
 
-    ``staged`` should come from ``stage``, since every form reads it again for its own regions.
+def lines(df: DataFrame, *, region: str = "file_state", key: str = "report_id") -> DataFrame:
+    """Each row as one line of its region's file, in that region's dialect: region, key, line, header of the file.
+
+    All regions come from one scan: a row takes the separator of its region. Rows that lack a value their region asks for
+    are left out.
     """
+    here, rows = F.col(region), df
     groups: dict[Dialect, list[str]] = {}
     for code, dialect in DIALECTS.items():
         groups.setdefault(dialect, []).append(code)
-    written = {}
-    for i, (dialect, regions) in enumerate(groups.items()):
-        written[dialect] = f"{path}/form{i}"
-        by_region(staged.where(F.col(region).isin(*regions)), written[dialect], region=region, dialect=dialect)
-    written[Dialect()] = f"{path}/standard"
-    by_region(staged.where(~F.col(region).isin(*DIALECTS)), written[Dialect()], region=region)
-    return written
+    value, header = F, F
+    for dialect, codes in groups.items():
+        for name in dialect.required:
+            if name in df.columns:
+                rows = rows.where(~here.isin(*codes) | F.col(f"`{name}`").isNotNull())
+        text, first = _line_columns(df, dialect, region, key)
+        value, header = value.when(here.isin(*codes), text), header.when(here.isin(*codes), first)
+    text, first = _line_columns(df, Dialect(), region, key)
+    return rows.select(
+        region, F.col(key).cast("string").alias(LINE_KEY), value.otherwise(text).alias(LINE), header.otherwise(first).alias(HEADER)
+    )
+
+
+def region_files(rows: DataFrame, path: str, *, region: str = "file_state", rows_per_file: int = ROWS_PER_FILE) -> dict[str, int]:
+    """Write ``lines`` of all regions in one job; gives the number of files of each region.
+
+    A region's folder holds one file, or several for a region of many rows, dealt by row: each is a whole file with a header of
+    its own. So a region that holds most of the rows is written by many tasks. Rows of a file are ordered, so that
+    a repeated run writes the same files. What comes back to the driver is a count for each region. No rows, no files.
+    """
+    spark = rows.sparkSession
+    counted = rows.groupBy(region).agg(F.count(F.lit(1)).alias("n"), F.max(HEADER).alias(HEADER)).collect()
+    files = {r[region]: -(-r["n"] // rows_per_file) for r in counted}
+    if not files:
+        spark.createDataFrame([], f"{LINE} string, {region} string, {FILE} int").write.mode("overwrite").partitionBy(region, FILE).text(path)
+        return files
+    many = F
+    for code, n in files.items():
+        if n > 1:
+            many = many.when(F.col(region) == code, F.lit(n))
+    number = F.lit(0) if many is F else F.pmod(F.xxhash64(LINE_KEY, LINE), many.otherwise(F.lit(1)).cast("bigint")).cast("int")
+    dealt = rows.select(region, number.alias(FILE), F.lit(1).alias("place"), LINE_KEY, LINE)
+    heads = [(r[region], files[r[region]], r[HEADER]) for r in counted if r[HEADER] is not None]
+    if heads:
+        firsts = spark.createDataFrame(heads, f"{region} string, files int, {LINE} string")
+        numbers = F.explode(F.sequence(F.lit(0), F.col("files") - 1)).alias(FILE)
+        firsts = firsts.select(region, numbers, LINE).select(region, FILE, F.lit(0).alias("place"), F.lit(None).cast("string").alias(LINE_KEY), LINE)
+        dealt = dealt.unionByName(firsts)
+    ordered = dealt.repartition(region, FILE).sortWithinPartitions(region, FILE, "place", LINE_KEY, LINE)
+    ordered.select(LINE, region, FILE).write.mode("overwrite").partitionBy(region, FILE).text(path)
+    return files
 
 
 def out_name(region: Column, names: FileNames, day: dt.date) -> Column:

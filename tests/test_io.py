@@ -23,8 +23,8 @@ def text_file(path, content):
     return path
 
 
-def files_below(path):
-    return [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".csv")]
+def files_below(path, ending=".csv"):
+    return [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(ending)]
 
 
 def test_scratch_is_the_checkpoint_folder(spark):
@@ -120,22 +120,39 @@ def test_k1_k2_publish(spark, tmp_path):
 
 def test_k3_k4_dialects(spark, tmp_path):
     states = ["NY", "IL", "PA", "AR", "TX", "NJ"]
-    data = [(s, "1", None if s == "AR" and i else "Ann") for s in states for i in range(2)]
-    df = spark.createDataFrame(data, "file_state string, `Patient ID` string, `Patient First Name` string")
+    data = [(s, i, "1", None if s == "AR" and i else "Ann") for s in states for i in range(2)]
+    data += [("NY", 7, "a|b", ' "q" '), ("TX", 7, "a,b", "x\ny"), ("TX", 8, None, "")]
+    df = spark.createDataFrame(data, "file_state string, report_id long, `Patient ID` string, `Patient First Name` string")
     staged = writers.stage(df, f"{tmp_path}/staged")
     assert staged.where("file_state = 'NY'")._jdf.queryExecution().toString().count("PartitionFilters: [isnotnull") == 1
-    written = writers.in_dialects(staged, f"{tmp_path}/out")
-    assert len(written) == len(set(DIALECTS.values())) + 1
+    lined = writers.lines(staged)
+    assert lined._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert writers.region_files(lined, f"{tmp_path}/out") == {s: 1 for s in states}
 
     def content(state):
-        found = [p for p in files_below(f"{tmp_path}/out") if f"file_state={state}/" in p]
+        found = [p for p in files_below(f"{tmp_path}/out", ".txt") if f"file_state={state}/" in p]
         return "".join(open(p, encoding="utf-8").read() for p in found)
 
-    assert content("NY").splitlines() == ["1|Ann"] * 2
+    assert content("NY").splitlines() == ["1|Ann"] * 2 + ['"a|b"|" \\"q\\" "']
     assert content("IL").splitlines()[0] == "Patient ID~Patient First Name"
     assert content("PA").splitlines() == ["1,Ann"] * 2
     assert content("AR").splitlines() == ["Patient ID,Patient First Name", "1,Ann"]
     assert content("TX").splitlines()[0] == content("NJ").splitlines()[0] == "Patient ID,Patient First Name"
+    schema = "`Patient ID` string, `Patient First Name` string"
+    ny = readers.region_file(spark, f"{tmp_path}/out", "NY", schema, DIALECTS["NY"]).collect()
+    assert sorted(map(tuple, ny)) == [("1", "Ann"), ("1", "Ann"), ("a|b", ' "q" ')]
+    assert readers.region_file(spark, f"{tmp_path}/out", "WY", schema, DIALECTS["NY"]).count() == 0
+
+
+def test_k3_large_region_has_several_whole_files(spark, tmp_path):
+    df = spark.range(100).select(F.lit("TX").alias("file_state"), F.col("id").alias("report_id"), F.col("id").alias("a"))
+    df = df.unionByName(spark.createDataFrame([("NY", 1, 1)], df.schema))
+    assert writers.region_files(writers.lines(df), f"{tmp_path}/out", rows_per_file=30) == {"TX": 4, "NY": 1}
+    found = [open(p).read().splitlines() for p in files_below(f"{tmp_path}/out", ".txt") if "TX" in p]
+    assert len(found) == 4 and all(lines[0] == "a" for lines in found)
+    assert sorted(int(x) for lines in found for x in lines[1:]) == [*range(100)]
+    assert readers.region_file(spark, f"{tmp_path}/out", "TX", "a int", DIALECTS["AR"]).count() == 100
+    assert writers.region_files(writers.lines(df.limit(0)), f"{tmp_path}/none") == {}
 
 
 def test_k5_append_twice_adds_nothing(spark, tmp_path):
@@ -204,6 +221,107 @@ def test_i1_i5_whole_state_run_is_repeatable(spark, tmp_path, export_tables):  #
     assert spark.read.schema("report_id long").parquet(f"{tmp_path}/two/staged").count() == 0
 
 
+class Died(Exception):
+    pass
+
+
+def reporting(tmp_path, **more):
+    return dict(
+        root=15, first_start=D(2021, 1, 1), states=["NJ", "NY", "DE", "WY"], ledger_path=f"{tmp_path}/ledger",
+        watermark_path=f"{tmp_path}/mark", deliveries_path=f"{tmp_path}/sent", report_type_ids=[283], **more,
+    )
+
+
+def outcome(spark, tmp_path, out):
+    """What a run leaves: files with their lines, marks, deliveries, watermark, held reports."""
+    held = spark.read.schema(runs.HELD_SCHEMA).parquet(f"{tmp_path}/mark_journal/held")
+    files = {
+        os.path.dirname(p).split("/files/")[1]: open(p, encoding="utf-8").read() for p in files_below(f"{tmp_path}/{out}/files", ".txt")
+    }
+    return (
+        files,
+        sorted(map(str, spark.read.parquet(f"{tmp_path}/ledger").collect())),
+        sorted(map(str, spark.read.parquet(f"{tmp_path}/sent").collect())),
+        spark.read.parquet(f"{tmp_path}/mark").agg(F.max("last_export")).first()[0],
+        sorted(map(str, held.collect())),
+    )
+
+
+def test_i1_c15_a_run_that_died_goes_on(spark, tmp_path, export_tables, monkeypatch):  # noqa: F811
+    from labtide.plans.journal import BEGIN, FINISHED, Journal
+
+    log = spark.createDataFrame([], "report_id long, event_type string, created_at timestamp_ntz")
+    steps, note = [], Journal.note
+
+    def run(base, end=D(2021, 1, 22)):
+        return runs.state_reporting(spark, export_tables, log, LAB, f"{base}/out", end=end, **reporting(base))
+
+    def noted(self, a_run, step):
+        steps.append(step)
+        note(self, a_run, step)
+
+    monkeypatch.setattr(Journal, "note", noted)
+    whole = run(f"{tmp_path}/whole")
+    want = outcome(spark, f"{tmp_path}/whole", "out")
+    assert steps[0] == BEGIN and steps[-1] == FINISHED and len(steps) == 10 and len(want[0]) == 3 and len(want[1]) == 2
+
+    # One run that dies after steps in turn, before they are noted, and is called again each time.
+    base = f"{tmp_path}/killed"
+
+    def dying(self, a_run, step):
+        if step == wanted:
+            raise Died(step)
+        note(self, a_run, step)
+
+    for wanted in ("export", "hold", "marks", "ledger", FINISHED):
+        monkeypatch.setattr(Journal, "note", dying)
+        with pytest.raises(Died):
+            run(base)
+        monkeypatch.setattr(Journal, "note", note)
+    manifest = run(base)
+    assert outcome(spark, base, "out") == want
+    assert sorted(map(tuple, manifest.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_i1_held_reports_come_back_until_marked(spark, tmp_path, export_tables):  # noqa: F811
+    from dataclasses import replace
+
+    log = spark.createDataFrame([], "report_id long, event_type string, created_at timestamp_ntz")
+    phones = export_tables.patient_users
+    broken = replace(export_tables, patient_users=phones.withColumn("phone", F.lit("12")))
+
+    def run(tables, end, events=log):
+        runs.state_reporting(spark, tables, events, LAB, f"{tmp_path}/out", end=end, **reporting(tmp_path))
+
+    def held(number):
+        rows = spark.read.schema(runs.HELD_SCHEMA).parquet(f"{tmp_path}/mark_journal/held/run={number}").collect()
+        return {r.report_id: (r.since_run, r.reasons) for r in rows}
+
+    def marked():
+        return sorted(r.report_id for r in readers.empty_or(spark, f"{tmp_path}/ledger", runs.LEDGER_SCHEMA).collect())
+
+    run(broken, D(2021, 1, 22))
+    assert held(1) == {1: (1, ["bad_phone"]), 2: (1, ["bad_phone"])} and marked() == []
+    quarantined = spark.read.parquet(f"{tmp_path}/out/quarantine")
+    assert quarantined.count() == 5 and quarantined.where("reasons = array('bad_phone')").count() == 5
+    totals = {r.rule: r.n for r in spark.read.parquet(f"{tmp_path}/out/row_rules").collect()}
+    assert totals == {"rows": 5, "held": 5, "no_accession": 0, "bad_phone": 5, "few_values": 0}
+    # still broken, and not in the window any more
+    run(broken, D(2021, 1, 23))
+    assert held(2) == held(1) and marked() == []
+    # a report that the export does not show for a while stays held
+    hidden = replace(broken, reports=broken.reports.where("id <> 2"))
+    run(hidden, D(2021, 1, 24))
+    assert held(3) == held(1)
+    # someone marked report 2 by hand
+    by_hand = spark.createDataFrame([(2, "report_marked_state_reported", D(2021, 1, 24))], log.schema)
+    run(broken, D(2021, 1, 25), by_hand)
+    assert held(4) == {1: (1, ["bad_phone"])}
+    run(export_tables, D(2021, 1, 26), by_hand)
+    assert held(5) == {} and marked() == [1]
+    assert spark.read.parquet(f"{tmp_path}/out/staged").select("report_id").distinct().count() == 1
+
+
 def test_dashboards_and_shift_runs(spark, tmp_path):
     from labtide.standins import Standins
 

@@ -540,3 +540,17 @@ def test_w1_next_event_may_lie_beyond_the_week(spark):
     week = {"start": "2021-01-04 00:00:00", "end": "2021-01-11 00:00:00"}
     assert activity.accession_metric(reports, log, staff, **week).count() == 1
     assert activity.accession_metric(reports, log.where("id = 1"), staff, **week).count() == 0
+
+
+def test_f12_f13_o3_rules_give_every_reason(spark):
+    from labtide.operators import rules
+
+    df = spark.createDataFrame([("NY", "1", None), ("NY", None, None), ("TX", None, "x"), ("TX", "2", "y")], "r string, a string, b string")
+    tests = [rules.Rule("no_a", F.col("a").isNull()), rules.Rule("few", rules.filled_values(df, ["r"]) < 1), rules.Rule("odd", F.col("b") == "x")]
+    rows, seen = rules.observed(rules.with_reasons(df, tests), tests)
+    got = [r.reasons for r in rows.collect()]
+    assert got == [[], ["no_a", "few"], ["no_a", "odd"], []]
+    assert seen.get == {"rows": 4, "held": 2, "no_a": 2, "few": 1, "odd": 1}
+    counted = {(r.r, r.reason): r.n for r in rules.counts(rules.with_reasons(df, tests), "r").collect()}
+    assert counted == {("NY", "no_a"): 1, ("NY", "few"): 1, ("TX", "no_a"): 1, ("TX", "odd"): 1}
+    assert rules.with_reasons(df, []).where("size(reasons) > 0").count() == 0
