@@ -1,9 +1,9 @@
 """Neighbouring rows within a key: next user, time in stage, next and previous event.
 
-A plain ``lead`` sorts each key in one task, which fails when one report holds a third of the log. Keys above
-``hot_rows`` are therefore cut into slices that follow the order of the rows. Every slice is a window of its own, and the
-row at a slice edge takes its neighbour from the first (or last) row of the adjoining slice. Those edge rows form a small
-frame: one row per slice of a hot key. Keys that are not hot stay in one slice.
+A plain ``lead`` sorts each key in one task, which fails when one report holds a third of the log. The rows of the longest
+key are therefore counted first. Where it is longer than a window may be, the log is dealt into ranges that follow key,
+time and tie, whatever their types, by Spark's sampled bounds; each range is one window, and the rows at the edges of
+ranges take their neighbours from the next range that the same key reaches. The edges are two rows for each range.
 """
 
 from __future__ import annotations
@@ -12,53 +12,32 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from labtide.functions import time
+from labtide.session import SHUFFLE_CONF, scratch_dir
+from labtide.sources import writers
 
-_KEY, _CUTS, _SPREAD = "__key", ("__cut0", "__cut1", "__cut2"), "__spread"
-_NEAR, _EDGE, _HEAD, _FAR = "__near_", "__edge_", "__head_", "__far_"
+_RANGE, _SPREAD, _SIDE, _ROW = "__range", "__spread", "__side", "__row"
+_NEAR, _EDGE, _FAR = "__near_", "__edge_", "__far_"
 SPREAD = 1 << 16
 HOT_ROWS = 1_000_000
-OVERSAMPLE = 4
 
 
-def _hot_cells(df: DataFrame, cells: Sequence[str], ts: str, limit: int) -> DataFrame:
-    """Cells with more than ``limit`` rows, with their size and time span. There are at most ``rows / limit``."""
-    micros = time.micros(ts)
-    stats = (
-        df.where(F.col(cells[-1]).isNotNull())
-        .groupBy(*[F.col(c).alias(f"__of_{i}") for i, c in enumerate(cells)])
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(micros).alias("__lo"), F.max(micros).alias("__hi"))
-    )
-    return stats.where(F.col("__n") > limit)
+def longest(df: DataFrame, key: str) -> tuple[int, int]:
+    """(rows of the longest key, all rows); rows without a key count as rows only. One scan, combined before its shuffle."""
+    sizes = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+    row = sizes.agg(
+        F.max(F.when(F.col("__key").isNotNull(), F.col("__n"))).alias("longest"), F.sum("__n").alias("rows")
+    ).first()
+    return row.longest or 0, row.rows or 0
 
 
-def cut_hot_keys(df: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFrame:
-    """Add three cut numbers that split hot keys in the order ``(ts, tie)``; they are null for all other keys.
+def in_ranges(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    """The rows with the number of their range, written out; ranges follow ``order`` and hold about as many rows each.
 
-    The first cut divides a hot key's time span evenly, into parts in proportion to its rows. Where rows crowd in one
-    part, the next cut divides that part's own span again, or, if they all share one time, goes by blocks of the tie
-    number. Rows without a time come first. What three cuts cannot part is a crowd at a few single times that lie
-    extremely close together in a long history.
+    Rows that are equal in all of ``order`` stay together.
     """
-    limit = max(limit, 1)
-    numeric = isinstance(df.schema[tie].dataType, T.IntegralType)
-    block = F.call_function("div", F.col(tie).cast("bigint"), F.lit(limit)) if numeric else F.lit(0).cast("bigint")
-    out, cells = df, [key]
-    for level, name in enumerate(_CUTS):
-        # A proven bound for the broadcast: rows / limit cells, 10^6 of them for 10^12 rows.
-        hot = F.broadcast(_hot_cells(out, cells, ts, limit))
-        parts = F.ceil(F.col("__n") / F.lit(limit)) * OVERSAMPLE
-        along = F.floor((time.micros(ts) - F.col("__lo")).cast("double") * parts / (F.col("__hi") - F.col("__lo") + 1))
-        one_time = F.col("__lo").eqNullSafe(F.col("__hi"))
-        cut = F.when(F.col("__n").isNotNull(), F.when(one_time, block).otherwise(F.coalesce(along, F.lit(-1))))
-        if level:
-            cut = F.when(F.col(cells[-1]).isNotNull(), F.coalesce(cut, F.lit(0)))
-        same = [F.col(c) == F.col(f"__of_{i}") for i, c in enumerate(cells)]
-        out = out.join(hot, same, "left").select(*[F.col(f"`{c}`") for c in out.columns], cut.alias(name))
-        cells.append(name)
-    return out
+    dealt = df.repartitionByRange(ranges, *[F.col(c) for c in order]).withColumn(_RANGE, F.spark_partition_id())
+    return writers.kept(dealt, scratch_dir(df.sparkSession, "ranges"))
 
 
 def neighbour(
@@ -72,10 +51,11 @@ def neighbour(
     previous: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``columns`` of the next (or previous) row of the same key, ordered by ``(ts, tie)``.
+    """Add ``columns`` of the next (or previous) row of the same key, ordered by ``(ts, tie)``, nulls first.
 
-    Rows at the end of a key get nulls, as do rows without a key: they have no neighbours. ``hot_rows=None`` skips the
-    skew check for keys known to be short.
+    Rows at the end of a key get nulls, as do rows without a key: they have no neighbours. No window holds many more than
+    ``hot_rows`` rows of a key; to know that, the rows are counted when this is called. ``hot_rows=None`` skips the count
+    for keys known to be short.
     """
     return _with_neighbours(df, key, ts, tie, columns, {prefix: F.lag if previous else F.lead}, hot_rows)
 
@@ -95,37 +75,60 @@ def neighbours(
     return _with_neighbours(df, key, ts, tie, columns, {after: F.lead, before: F.lag}, hot_rows)
 
 
+Steps = Mapping[str, Callable]
+
+
 def _with_neighbours(
-    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], steps: Mapping[str, Callable], hot_rows: int | None
+    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], steps: Steps, hot_rows: int | None
 ) -> DataFrame:
-    cuts = [] if hot_rows is None else [*_CUTS]
+    if hot_rows is not None:
+        most, rows = longest(df, key)
+        if most > hot_rows:
+            wanted = int(df.sparkSession.conf.get(SHUFFLE_CONF))
+            return _across_ranges(df, key, ts, tie, columns, steps, max(wanted, -(-rows // max(hot_rows, 1))))
+    return _within_keys(df, key, ts, tie, columns, steps)
+
+
+def _within_keys(df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], steps: Steps) -> DataFrame:
     # Rows without a key need no neighbour; they are dealt over many windows, so that no task gets them all.
     spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(ts, tie), F.lit(SPREAD)))
-    rows = (df if hot_rows is None else cut_hot_keys(df, key, ts, tie, hot_rows)).withColumn(_SPREAD, spread)
-    w = Window.partitionBy(key, _SPREAD, *cuts).orderBy(ts, tie)
-    payload = F.struct(*columns)
-    has_key = F.col(key).isNotNull()
-    near = rows.withColumns({_NEAR + p: F.when(has_key, step(payload).over(w)) for p, step in steps.items()})
-    if hot_rows is None:
-        picked = [F.col(_NEAR + p)[c].alias(f"{p}{c}") for p in steps for c in columns]
-        return near.select(*[F.col(f"`{c}`") for c in df.columns], *picked)
-
-    is_hot = F.col(_CUTS[0]).isNotNull()
-    near = near.withColumns({_EDGE + p: is_hot & step(F.lit(1)).over(w).isNull() for p, step in steps.items()})
-    whole = F.struct(F.col(ts), F.col(tie), payload.alias("row"))
-    # The row after a slice is the first of the next one, the row before it the last of the previous one.
-    heads = [(F.min if step is F.lead else F.max)(whole).alias(_HEAD + p) for p, step in steps.items()]
-    edges = rows.where(is_hot).groupBy(F.col(key).alias(_KEY), *_CUTS).agg(*heads)
-    slices = Window.partitionBy(_KEY).orderBy(*_CUTS)
-    far = edges.select(
-        _KEY,
-        *[F.col(c).alias(f"{c}_far") for c in _CUTS],
-        *[step(F.col(_HEAD + p)["row"]).over(slices).alias(_FAR + p) for p, step in steps.items()],
-    )
-    met = [F.col(key) == F.col(_KEY), *[F.col(c) == F.col(f"{c}_far") for c in _CUTS]]
+    w = Window.partitionBy(key, _SPREAD).orderBy(ts, tie)
+    near = {_NEAR + p: F.when(F.col(key).isNotNull(), step(F.struct(*columns)).over(w)) for p, step in steps.items()}
+    found = df.withColumn(_SPREAD, spread).withColumns(near)
+    return found.select(*_own(df), *[F.col(_NEAR + p)[c].alias(f"{p}{c}") for p in steps for c in columns])
+
+
+def _across_ranges(
+    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], steps: Steps, ranges: int
+) -> DataFrame:
+    order = list(dict.fromkeys([key, ts, tie, *columns]))
+    rows = in_ranges(df, order, ranges)
+    whole = F.struct(F.col(key).alias("key"), F.struct(*columns).alias("row"))
+    w = Window.partitionBy(_RANGE).orderBy(*order)
+    near = rows.withColumns({_NEAR + p: step(whole).over(w) for p, step in steps.items()})
+    near = near.withColumns({_EDGE + p: F.col(_NEAR + p).isNull() for p in steps})
+
+    # The first and the last row of every range, side by side with those of the ranges that the same key reaches.
+    place = F.struct(*order)
+    ends = rows.groupBy(_RANGE).agg(F.min_by(whole, place).alias("first"), F.max_by(whole, place).alias("last"))
+    sides = F.array(*[F.struct(F.lit(i).alias(_SIDE), F.col(c).alias(_ROW)) for i, c in enumerate(("first", "last"))])
+    edges = ends.select(_RANGE, F.inline(sides)).where(F.col(_ROW)["key"].isNotNull())
+    along = Window.partitionBy(F.col(_ROW)["key"]).orderBy(_RANGE, _SIDE)
+    met = edges.withColumns({_FAR + p: step(F.col(_ROW)["row"]).over(along) for p, step in steps.items()})
+    # A last row looks ahead, a first row looks back; the other ways lead into the same range.
     picked = [
-        F.when(F.col(_EDGE + p), F.col(_FAR + p)[c]).otherwise(F.col(_NEAR + p)[c]).alias(f"{p}{c}")
-        for p in steps
-        for c in columns
+        F.first(F.when(F.col(_SIDE) == (1 if step is F.lead else 0), F.col(_FAR + p)), ignorenulls=True).alias(_FAR + p)
+        for p, step in steps.items()
     ]
-    return near.join(far, met, "left").select(*[F.col(f"`{c}`") for c in df.columns], *picked)
+    far = met.groupBy(F.col(_RANGE).alias("__of")).agg(*picked)
+
+    def value(p: str, c: str):
+        same = F.when(F.col(_NEAR + p)["key"] == F.col(key), F.col(_NEAR + p)["row"][c])
+        return F.when(F.col(_EDGE + p) & F.col(key).isNotNull(), F.col(_FAR + p)[c]).otherwise(same).alias(f"{p}{c}")
+
+    joined = near.join(far, F.col(_RANGE) == F.col("__of"), "left")
+    return joined.select(*_own(df), *[value(p, c) for p in steps for c in columns])
+
+
+def _own(df: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in df.columns]

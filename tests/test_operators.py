@@ -78,7 +78,7 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("previous", [False, True])
-@pytest.mark.parametrize("hot_rows", [None, 0, 5, 1_000])
+@pytest.mark.parametrize("hot_rows", [None, 40, 1_000])
 @pytest.mark.parametrize("shape", ["spread", "crowded", "one time"])
 def test_w1_w2_w3_neighbours_equal_brute_force(spark, previous, hot_rows, shape):
     rnd = random.Random(7)
@@ -103,22 +103,40 @@ def test_w1_w2_w3_neighbours_equal_brute_force(spark, previous, hot_rows, shape)
 
 
 @pytest.mark.parametrize("shape", SHAPES)
-def test_slices_of_a_hot_key_are_small(spark, shape):
+def test_ranges_of_a_hot_key_are_small(spark, shape):
     rnd = random.Random(8)
     data = [(i, 1, dt.datetime(2021, 1, 1) + SHAPES[shape](rnd)) for i in range(3000)]
     df = spark.createDataFrame(data + [(9_999, 2, dt.datetime(2021, 1, 1))], "id long, k long, t timestamp_ntz")
-    cut = sequence.cut_hot_keys(df, "k", "t", "id", 100)
-    assert cut.count() == 3001 and cut.where("k = 2 AND __cut0 IS NULL AND __cut2 IS NULL").count() == 1
-    largest = cut.where("k = 1").groupBy("__cut0", "__cut1", "__cut2").count().agg(F.max("count")).first()[0]
-    most = {"spread": 500, "crowded": 100, "one time": 100}[shape]
-    assert largest <= most
+    assert sequence.longest(df, "k") == (3000, 3001)
+    dealt = sequence.in_ranges(df, ["k", "t", "id"], 30)
+    assert dealt.count() == 3001 and dealt.groupBy("__range").count().agg(F.max("count")).first()[0] <= 200
+
+
+def test_neighbours_across_ranges_with_text_ties_and_keys(spark):
+    rnd = random.Random(9)
+    data = [{"id": f"x{i:03d}", "k": rnd.choice("aaaaab"), "t": dt.datetime(2021, 1, rnd.choice([1, 1, 1, 2])), "v": i} for i in range(500)]
+    df = spark.createDataFrame(data, "id string, k string, t timestamp_ntz, v long")
+    got = sequence.neighbours(df, "k", "t", "id", ["v"], hot_rows=20)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEval" not in text and "SinglePartition" not in text
+    rows = got.collect()
+    for previous, name in ((False, "next_v"), (True, "last_v")):
+        want = brute(data, "k", lambda r: (r["t"], r["id"]), ["v"], previous)
+        assert {r.id: (r[name],) for r in rows} == want
+
+
+def test_short_keys_are_read_once(spark, tmp_path):
+    spark.range(200).selectExpr("id", "id % 20 AS k", "timestamp_ntz'2021-01-01' AS t").write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    text = sequence.neighbours(log, "k", "t", "id", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "Broadcast" not in text
 
 
 def test_neighbours_with_missing_times_and_keys(spark):
     data = [(1, 1, None), (2, 1, dt.datetime(2021, 1, 1)), (3, 1, dt.datetime(2021, 1, 2))]
     data += [(i, None, dt.datetime(2021, 1, 2)) for i in range(4, 40)]
     df = spark.createDataFrame(data, "id long, k long, t timestamp_ntz")
-    for hot in (None, 0):
+    for hot in (None, 2):
         got = sequence.neighbour(df, "k", "t", "id", ["id"], hot_rows=hot)
         assert {r.id: r.next_id for r in got.collect()} == {1: 2, 2: 3, **dict.fromkeys(range(3, 40))}
 
