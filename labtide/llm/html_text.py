@@ -61,10 +61,13 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 class Node:
     """An element: what it holds in characters, tags and links, and the density of its text."""
 
-    __slots__ = ("tag", "parent", "children", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = (
+        "tag", "parent", "children", "dropped", "named", "in_article", "chars", "tags", "link_chars", "link_tags", "density", "total",
+    )
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool, named: bool = False):
         self.tag, self.parent, self.children, self.dropped, self.named = tag, parent, [], dropped, named
+        self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         if parent is not None:
@@ -147,18 +150,25 @@ def drop_named(order: list[Node], texts: list[tuple[Node, int, str]]) -> None:
 def parse(page: str) -> tuple[Node, list[tuple[Node, int, str]]]:
     """The page's elements, and its texts in order with their element and block number.
 
-    Open elements are kept in one list; end tags that fit nothing are ignored, and missing ones are implied.
+    Open elements are kept in one list; end tags that fit nothing are ignored, and missing ones are implied. The places of
+    each name in that list are kept as well, so that no tag makes the parser search it, however deep the nesting.
     """
     root = Node("html", None, False)
     stack, texts, block = [root], [], 0
-
-    def pop_to(names: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> None:
-        for at in range(len(stack) - 1, 0, -1):
-            if stack[at].tag in names:
-                del stack[at:]
-                return
-            if stack[at].tag in stops:
-                return
+    places: dict[str, list[int]] = {}
+
+    def last(names: set[str] | frozenset[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def pop_to(names: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> bool:
+        """Close the last open element of these names and all in it, unless one of ``stops`` stands in between."""
+        at = last(names)
+        if not at or at < last(stops):
+            return False
+        for node in stack[at:]:
+            places[node.tag].pop()
+        del stack[at:]
+        return True
 
     for found in TOKEN.finditer(page):
         text = found["text"]
@@ -179,21 +189,16 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, int, str]]]:
         if tag in CLOSES_P:
             pop_to({"p"}, P_STOPS)
         if tag in CLOSES:
-            while True:
-                depth = len(stack)
-                pop_to(CLOSES[tag], STOPS.get(tag, set()))
-                if len(stack) == depth:
-                    break
+            while pop_to(CLOSES[tag], STOPS.get(tag, set())):
+                pass
         if tag in ("html", "body"):
             stack[-1].tag = tag if stack[-1] is root else stack[-1].tag
             continue
         top = stack[-1]
-        above, in_article = top, False
-        while above is not None and not in_article:
-            in_article, above = above.tag in ("article", "main"), above.parent
-        dropped, named = is_boilerplate(tag, found["attrs"] or "", in_article)
+        dropped, named = is_boilerplate(tag, found["attrs"] or "", top.in_article)
         node = Node(tag, top, top.dropped or dropped, named)
         if tag not in VOID and not (found["attrs"] or "").endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
     return root, texts
 
