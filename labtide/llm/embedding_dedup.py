@@ -40,7 +40,9 @@ def bucket_keys(unit: np.ndarray, tables: int, count: int, width: float) -> np.n
 
 
 def unit_rows(values: np.ndarray) -> np.ndarray:
-    return values / np.linalg.norm(values, axis=1, keepdims=True)
+    """Rows of length one. The greatest component is taken out first, so that no square overflows or vanishes."""
+    scaled = values / np.abs(values).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _seats(reps: DataFrame, tables: int, count: int, width: float) -> DataFrame:
