@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import string
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,8 @@ from labtide.llm.staging import body, literal_rows, staged
 K = 2
 SLACK = 3
 COVER = 0.6
+DRIFT = 4
+MASK = 62
 LONG_WORD = 5
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -50,26 +55,43 @@ NOTICES = [
 
 
 def words_of(text: Column) -> Column:
-    """Lower-cased words of a text: runs of ASCII letters and digits and of all characters beyond ASCII."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS)
+    """Words of a text with A-Z lower-cased: runs of ASCII letters and digits and of all characters beyond ASCII."""
+    whole = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(whole) == F.length(whole)
+    low = F.when(ascii_only, F.lower(whole)).otherwise(F.translate(whole, string.ascii_uppercase, string.ascii_lowercase))
+    parts = F.split(low, SEPARATORS)
     first = (F.get(parts, F.lit(0)) == "").cast("int")
     last = ((F.element_at(parts, -1) == "") & (F.size(parts) > 1)).cast("int")
     return F.slice(parts, first + 1, F.greatest(F.size(parts) - first - last, F.lit(0)))
 
 
-def _grams(rows: DataFrame, keep: Sequence[str], place: str) -> DataFrame:
-    """A row for each word k-gram of ``words``: its hash, its words and where it begins."""
-    spread = rows.select(*keep, "words", F.posexplode("words").alias(place, "w1")).where(F.col(place) < F.size("words") - (K - 1))
-    spread = spread.withColumn("w2", F.get("words", F.col(place) + 1))
-    return spread.select(*keep, place, "w1", "w2", F.xxhash64("w1", "w2").alias("gram"))
+def _grams(rows: DataFrame, keep: Sequence[str], place: str, singles: bool) -> DataFrame:
+    """A row for each word k-gram of ``words``: its hash, its words and where it begins.
+
+    With ``singles`` there are rows for single words as well, whose second word is empty.
+    """
+    spread = rows.select(*keep, "words", F.posexplode("words").alias(place, "w1"))
+    second = F.get("words", F.col(place) + 1)
+    if singles:
+        spread = spread.withColumn("w2", F.explode(F.array(second, F.lit(""))))
+    else:
+        spread = spread.withColumn("w2", second)
+    return spread.where("w2 is not null").select(*keep, place, "w1", "w2", F.xxhash64("w1", "w2").alias("gram"))
 
 
 def template_grams(spark: SparkSession, phrases: Sequence[tuple[str, str]], notices: Sequence[tuple[str, str]]) -> DataFrame:
-    """Positions of the templates' k-grams. Every gram of a phrase votes; of a notice, those with a word that is not short."""
+    """Positions of the templates' k-grams. Every gram of a phrase votes; of a notice, those with a word that is not short.
+
+    A template of one word has that word as its only gram. Templates without words are refused.
+    """
     rows = [(i, label, text, i < len(phrases)) for i, (label, text) in enumerate([*phrases, *notices])]
+    bare = [label for _, label, text, _ in rows if not re.sub(SEPARATORS, "", text)]
+    if bare:
+        raise ValueError(f"templates without words: {bare}")
     templates = literal_rows(spark, rows, ["template", "label", "text", "exact"]).withColumn("words", words_of(F.col("text")))
     templates = templates.withColumn("n", F.size("words"))
-    grams = _grams(templates, ["template", "label", "exact", "n"], "place")
+    grams = _grams(templates, ["template", "label", "exact", "n"], "place", True)
+    grams = grams.where((F.col("w2") != "") == (F.col("n") >= K))
     long = F.greatest(F.length("w1"), F.length("w2")) >= LONG_WORD
     grams = grams.where(F.col("exact") | long)
     votes = Window.partitionBy("template")
@@ -77,25 +99,34 @@ def template_grams(spark: SparkSession, phrases: Sequence[tuple[str, str]], noti
 
 
 def _spans(docs: DataFrame, grams: DataFrame, slack: int, cover: float) -> DataFrame:
-    """Accepted spans: label, exact, start, end (word numbers, end not included) and the share of grams found."""
+    """Accepted spans: label, exact, start, end (word numbers, end not included) and the share of grams found.
+
+    The template places that a diagonal meets are kept as bits, so that merged diagonals count every place once.
+    """
+    shape = grams.agg(F.max("place").alias("last"), F.coalesce(F.min("n") < K, F.lit(False)).alias("singles")).first()
+    masks = [f"mask{i}" for i in range((shape["last"] or 0) // MASK + 1)]
     rows = docs.select("doc_id", body().alias("body"), words_of(F.col("text")).alias("words"))
-    met = _grams(rows, ["doc_id", "body"], "at").join(
+    met = _grams(rows, ["doc_id", "body"], "at", bool(shape["singles"])).join(
         grams.withColumnsRenamed({"w1": "t1", "w2": "t2"}), "gram"
     )
     met = met.where("w1 = t1 and w2 = t2").withColumn("diagonal", F.col("at") - F.col("place"))
     key = ["doc_id", "body", "template", "label", "exact", "n", "grams"]
-    lines = met.groupBy(*key, "diagonal").agg(
-        F.count_distinct("place").alias("votes"), F.min("at").alias("first"), F.max("at").alias("last")
-    )
+    bit = F.expr(f"shiftleft(1L, place % {MASK})")
+    places = [F.bit_or(F.when(F.floor(F.col("place") / MASK) == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(m) for i, m in enumerate(masks)]
+    votes = reduce(lambda a, b: a + b, [F.bit_count(m) for m in masks]).alias("votes")
+    lines = met.groupBy(*key, "diagonal").agg(*places, F.min("at").alias("first"), F.max("at").alias("last")).select("*", votes)
     lines = lines.where("votes = grams or (not exact and votes > 1)")
     order = Window.partitionBy("doc_id", "body", "template").orderBy("diagonal")
     breaks = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > slack) | F.col("exact"), F.lit(True))
     lines = lines.withColumn("run", F.sum(breaks.cast("int")).over(order))
+    # Of a run of neighbouring diagonals, those close to its strongest one are one span.
+    strongest = Window.partitionBy("doc_id", "body", "template", "run").orderBy(F.desc("votes"), "diagonal")
+    lines = lines.withColumn("peak", F.first("diagonal").over(strongest))
+    lines = lines.where(F.abs(F.col("diagonal") - F.col("peak")) <= F.greatest(F.lit(slack), F.expr(f"n div {DRIFT}")))
     spans = lines.groupBy(*key, "run").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("start"), (F.max("last") + K).alias("end")
+        *[F.bit_or(m).alias(m) for m in masks], F.min("first").alias("start"), (F.max("last") + F.least(F.lit(K), F.first("n"))).alias("end")
     )
-    share = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
-    spans = spans.withColumn("share", share)
+    spans = spans.withColumn("share", reduce(lambda a, b: a + b, [F.bit_count(m) for m in masks]) / F.col("grams"))
     return spans.where(F.col("exact") | ((F.col("share") >= cover) & (F.col("end") - F.col("start") <= 2 * F.col("n"))))
 
 
@@ -110,8 +141,10 @@ def license_spans(
 
     All word 2-grams of the documents are joined with the templates' positions by hash and words. Votes are counted per
     document, template and diagonal (place in the text less place in the template). A phrase is found where one diagonal
-    has all its grams. A notice may have gained or lost words: diagonals within ``slack`` are merged, and the merged span
-    is accepted with ``cover`` of the grams and at most twice the notice's length. The templates are a small parameter.
+    has all its grams; a phrase of one word is found by that word. A notice may have gained or lost words: neighbouring
+    diagonals within ``slack`` are merged around the strongest, and the merged span is verified: its words are
+    those of the template at ``cover`` of the template's grams, each counted once however often the text repeats it, and it
+    is at most twice as long as the notice. The templates are a small parameter.
     """
     grams = staged(template_grams(docs.sparkSession, phrases, notices).coalesce(1), "grams")
     return _spans(docs, grams, slack, cover).select("doc_id", "body", "label", "exact", "start", "end", "share")
