@@ -21,6 +21,7 @@ MIN_SHARED = 100
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 1 << 30
 READ_BYTES = 8 << 20
+TASK_BYTES = 16 << 20
 GAP_BYTES = 64 << 10
 LEVEL = 4
 
@@ -28,6 +29,26 @@ INDEX = "file string, offset bigint, length bigint, page_id bigint, url string,
 RECORDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
 
 
+# Spark's names of stores that the file systems used here call otherwise.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def address(folder: str) -> str:
+    """A folder under the name that the file systems used here know; ``dbfs:`` is reached by its mount below ``/dbfs``."""
+    scheme, found, rest = folder.partition(":")
+    if found and scheme == "dbfs":
+        return "/dbfs/" + rest.lstrip("/")
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}" if found else folder
+
+
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a folder: local paths, ``file:``, ``s3:`` (and Spark's ``s3a:``), ``gs:``, ``abfs:``, ``hdfs:``, ``viewfs:``.
+
+    Other schemes are refused with an error that names them.
+    """
+    return fs.FileSystem.from_uri(address(folder))
+
+
 def _record_id(page: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page}-{digest}')}>"
 
@@ -87,7 +108,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = MIN_SHARED, file_
     """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = store_of(folder)
         out, name, at, number = None, "", 0, 0
         for part in parts:
             rows = []
@@ -132,11 +153,12 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True, gap:
     """The records that ``index`` (any selection of index rows) points to.
 
     Rows are grouped by file and stretch of about ``most`` bytes; a group is sorted by offset and read in coalesced byte
-    ranges. The digest of every response is checked against its payload.
+    ranges. Groups are dealt over tasks by the bytes they stand for, not by the few bytes of their index rows. The digest and
+    the size of every response are checked against its payload; those of a revisit are what its header says.
     """
 
     def records(rows: pa.Table) -> pa.Table:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = store_of(folder)
         out = []
         spans = list(zip(rows.column("offset").to_pylist(), rows.column("length").to_pylist()))
         with store.open_input_file(f"{base}/{rows.column('file')[0].as_py()}") as file:
@@ -146,14 +168,15 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True, gap:
                 for offset, length in read:
                     head, payload = parse_record(data[offset - start : offset - start + length])
                     digest, kind = head["WARC-Payload-Digest"].removeprefix("sha256:"), head["WARC-Type"]
-                    if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
+                    size = int(head["X-Payload-Length"])
+                    if kind == "response" and (hashlib.sha256(payload).hexdigest(), len(payload)) != (digest, size):
                         raise ValueError(f"{rows.column('file')[0]}: damaged record at {offset}")
                     page, first = head.get("X-Page-Id"), head.get("X-Refers-To-Page")
                     out.append(
                         (
                             None if page is None else int(page),
                             head["WARC-Target-URI"],
-                            int(head["X-Payload-Length"]),
+                            size,
                             digest,
                             kind,
                             None if first is None else int(first),
@@ -164,8 +187,9 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True, gap:
         names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, zip(*out), kinds)})
 
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
     places = index.select("file", "offset", "length", F.floor(F.col("offset") / most).alias("stretch"))
-    return places.groupBy("file", "stretch").applyInArrow(records, RECORDS)
+    return places.repartition(tasks, "file", "stretch").groupBy("file", "stretch").applyInArrow(records, RECORDS)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
