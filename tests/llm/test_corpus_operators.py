@@ -4,6 +4,7 @@ import gc
 import hashlib
 import os
 import re
+import time
 import weakref
 import zlib
 from itertools import combinations
@@ -207,6 +208,70 @@ def test_op4_base_and_notice(spark):
     assert license_scan.scan(docs_of(spark, [])).count() == 0
 
 
+def brute_phrases(text, phrases):
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    places = {}
+    for label, phrase in phrases:
+        own = phrase.split()
+        hits = [i for i in range(len(found)) if found[i : i + len(own)] == own]
+        if hits:
+            places.setdefault(label, []).extend(hits)
+    every = [i for hits in places.values() for i in hits]
+    return len(found), len(every), min(every, default=None), max(every, default=None), ",".join(sorted(places))
+
+
+def test_op4_base_columns_equal_brute_force(spark):
+    draw = np.random.default_rng(12)
+    stock = ["MIT", "mit", "License", "LICENSE", "apache", "general", "public", "a", "\u0130", "K", "É", "copyleft", "x-y", "\n"]
+    pairs = [(i, " ".join(draw.choice(stock, draw.integers(0, 60)))) for i in range(150)] + [(200, None), (201, ""), (202, "mit license " * 3000)]
+    phrases = [*license_scan.PHRASES, ("solo", "copyleft"), ("long", "mit license general")]
+    got = license_scan.scan(docs_of(spark, pairs), phrases=phrases).collect()
+    assert len(got) == len(pairs)
+    for row in got:
+        assert (row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels) == brute_phrases(dict(pairs)[row.doc_id], phrases)
+
+
+def test_op4_notices_are_verified(spark):
+    notices = dict(license_scan.NOTICES)
+    gpl, mit = notices["gpl-notice"], notices["mit-notice"]
+    words = mit.split()
+    pairs = [
+        (1, "general public license " * 8),
+        (2, "general public license " * 20 + gpl),
+        (3, f"{mit} {mit}"),
+        (4, " ".join(words[: len(words) // 2] + ["some", "more", "words"] + words[len(words) // 2 :])),
+        (5, " ".join(w for i, w in enumerate(words) if i % 12)),
+        (6, " ".join(sorted(words))),
+        (7, " ".join(words[: len(words) // 3])),
+        (8, "of this software without restriction " * 30),
+        (9, "x " * 5000 + gpl.upper()),
+    ]
+    got = {r.doc_id: r for r in license_scan.scan(docs_of(spark, pairs)).collect()}
+    assert got[1].labels == "gpl" and got[1].score == 1.0 and got[1].n_base == 8
+    spans = license_scan.license_spans(docs_of(spark, pairs[:1])).where("not exact")
+    assert spans.count() == 0
+    assert got[2].labels == got[9].labels == "gpl,gpl-notice"
+    assert got[3].labels == got[4].labels == got[5].labels == "mit-notice" and got[3].score == 1.0 and got[5].score < 1
+    assert [got[i].labels for i in (6, 7, 8)] == [""] * 3
+    with pytest.raises(ValueError, match="without words"):
+        license_scan.scan(docs_of(spark, pairs), phrases=[("none", " - ")])
+
+
+def test_op5_reads_in_proportion_to_bytes_and_names_stores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_BYTES", 4000)
+    draw = np.random.default_rng(3)
+    pages = spark.createDataFrame([(i, "u", draw.bytes(2000).hex()) for i in range(60)], "page_id bigint, url string, html string")
+    folder = f"{tmp_path}/warc"
+    index = warc.write_archives(pages, folder)
+    size = index.agg(F.sum("length")).first()[0]
+    read = warc.read_records(index, folder, most=5000)
+    assert read.rdd.getNumPartitions() == -(-size // 4000) and read.count() == 60
+    assert warc.store_of("/a/b")[1] == "/a/b" and warc.store_of("file:///a/b")[1] == "/a/b" and warc.store_of("dbfs:/a")[1] == "/dbfs/a"
+    assert warc.address("s3a://bucket/a") == "s3://bucket/a" and warc.address("hdfs://host/a") == "hdfs://host/a"
+    with pytest.raises(Exception, match="oss"):
+        warc.store_of("oss://box/a")
+
+
 def test_op5_archive_round_trip(spark, tmp_path):
     long = "<p>é</p>" * 40
     pages = [(3, "http://a/ b", long), (1, "http://a\r\nX: y", long), (2, None, long), (4, "u", None), (5, "u", ""), (6, "u", "tiny"), (7, "u", "tiny"), (None, "n", long), (1, "r", long), (9, "u", "x\r\n\r\ny" * 30)]
@@ -265,6 +330,17 @@ def test_op7_equals_brute_force(spark):
     assert got[None].component_id is None and embedding_dedup.near_duplicate_vectors(frame.limit(0)).count() == 0
 
 
+def test_op7_extreme_lengths(spark):
+    data = [
+        (1, [1e200, 2e200, 1e199]), (2, [1e200, 2e200, 1.01e199]), (3, [1e-200, 2e-200, 0.0]), (4, [1e-200, 2.0001e-200, 0.0]),
+        (5, [5e-324, 0.0, 0.0]), (6, [1.7e308, 1e-300, 0.0]), (7, [0.0, 0.0, -1.0]),
+    ]
+    vectors = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicate_vectors(vectors).collect()}
+    # (1, 2, 0.1) and (1, 2, 0) point the same way, as do (1, 0, 0) and (1, 0, 0)
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5), 7: (0, 7)}
+
+
 def test_groups_of_meetings_follow_rows_and_weight(spark):
     pairs = spark.range(300_000).selectExpr("id div 2 as meeting", "id as rep")
     sizes = [r["count"] for r in blocks.met(pairs, pairs).groupBy("task").count().collect()]
@@ -395,6 +471,18 @@ def test_op10_weaker_sections_are_whole(wrap, sizes, link):
         assert html_text.main_text(page).split() == words_of(inner)
 
 
+@pytest.mark.parametrize("page", ["<div>x", "<b>x", "<ul><li>x", "<section><table><td>x"])
+def test_op10_time_follows_the_length_of_deep_pages(page):
+    def seconds(n):
+        start = time.process_time()
+        text = html_text.main_text(page * n)
+        assert text.count("x") == n
+        return time.process_time() - start
+
+    seconds(2000)
+    assert seconds(60_000) < 12 * seconds(15_000) + 0.5
+
+
 def test_op10_split_articles():
     parts = "".join(f"<article>{part}</article>" for part in sections((300, 100)))
     assert html_text.main_text(f"<body><nav>menu</nav>{parts}</body>").split() == words_of(parts)
