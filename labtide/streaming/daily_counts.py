@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from labtide.session import scratch_dir
+from labtide.sources import readers, writers
+
 
 def read_events(spark: SparkSession, path: str, schema, *, files_per_batch: int = 1000) -> DataFrame:
     """``path`` may be a folder, or a glob such as ``.../events.parquet*`` for a single file."""
@@ -27,14 +30,36 @@ def daily_counts(events: DataFrame, ts: str = "ts", kind: str = "event_type") ->
     )
 
 
+TABLE = "day_start timestamp, day_end timestamp, kind string, n bigint, day date"
+
+
+def replace_days(updated: DataFrame, out: str) -> None:
+    """Put new totals (day_start, day_end, kind, n) into the table of days, which is partitioned by ``day``.
+
+    Only the days of ``updated`` are read and rewritten, each with all its kinds, by Spark's dynamic partition overwrite: other
+    days' files stay as they are, and readers find every day at any time. Totals replace totals, so the same ones written again
+    change nothing. The list of days comes to the driver.
+    """
+    spark = updated.sparkSession
+    new = writers.kept(updated.withColumn("day", F.col("day_start").cast("date")), scratch_dir(spark, "days"))
+    days = [r.day for r in new.select("day").distinct().collect()]
+    if not days:
+        return
+    old = readers.empty_or(spark, out, TABLE).where(F.col("day").isin(days))
+    rest = old.join(new.select("day", "kind"), ["day", "kind"], "left_anti")
+    merged = writers.kept(rest.unionByName(new), scratch_dir(spark, "merged"))
+    writer = merged.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day").parquet(out)
+
+
 def run(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Process what is there and stop; a later run continues from the checkpoint.
 
-    Every batch replaces the table at ``out`` by the counts of all days, so a batch that runs again changes nothing.
+    A batch hands over the totals that it has changed, and rewrites the days they belong to.
     """
     return (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(lambda table, _: table.write.mode("overwrite").parquet(out))
+        counts.writeStream.outputMode("update")
+        .foreachBatch(lambda table, _: replace_days(table, out))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
