@@ -53,10 +53,9 @@ PUBLISHED = """
     *TAT,
 )
 def turnaround_dash(t):
-    rows = turnaround.turnaround(report_facts(t), term=TERM)
     every = turnaround.turnaround(report_facts(t), term=TERM, clean=False)
-    shown = _shown(turnaround.with_average(rows, of=every))
-    return shown.select(*turnaround.published(rows).columns, "Average Turnaround")
+    rows = turnaround.clean_tracking(turnaround.with_average(every))
+    return _shown(rows).select(*turnaround.published(rows).columns, turnaround.AVERAGE)
 
 
 @query(

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from labtide.config.settings import EVENT_CATEGORIES, POSITIVE_COLUMNS, REDRAW_EVENT, TURNAROUND_COLUMNS
 from labtide.functions import text, time
 from labtide.operators import columns, matching
 from labtide.plans import funnel
+from labtide.session import scratch_dir
+from labtide.sources import writers
 
 
 def report_facts(
@@ -122,16 +124,23 @@ def clean_tracking(rows: DataFrame) -> DataFrame:
     return kept.withColumn("tracking_number", text.tracking_number("tracking_number"))
 
 
-def mean_tat(rows: DataFrame) -> Column:
-    """Mean turnaround as a one-value subquery. TAT has two decimals, so whole hundredths are summed exactly."""
-    hundredths = F.round(F.col("TAT") * 100).cast("bigint")
-    mean = F.sum(hundredths).cast("double") / F.count("TAT").cast("double") / F.lit(100.0)
-    return rows.agg(mean.alias("mean")).scalar()
+AVERAGE = "Average Turnaround"
+
 
+def with_average(rows: DataFrame, path: str | None = None) -> DataFrame:
+    """The overall mean on every row, as the chart's horizontal line.
 
-def with_average(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
-    """The overall mean on every row, as the chart's horizontal line."""
-    return rows.withColumn("Average Turnaround", mean_tat(rows if of is None else of))
+    The rows are written once, below ``path`` or the scratch folder, and their sum and count are observed by that write, so
+    what they are made from is worked out once. TAT has two decimals, so whole hundredths are summed exactly.
+    """
+    seen = Observation("turnaround")
+    hundredths = F.round(F.col("TAT") * 100).cast("bigint")
+    counted = rows.observe(seen, F.sum(hundredths).alias("hundredths"), F.count("TAT").alias("n"))
+    held = writers.kept(counted, path or scratch_dir(rows.sparkSession, "turnaround"))
+    # Where there are no rows, Spark plans the counters away as well.
+    found = {} if held.isEmpty() else seen.get
+    mean = found["hundredths"] / found["n"] / 100.0 if found.get("n") else None
+    return held.withColumn(AVERAGE, F.lit(mean).cast("double"))
 
 
 def published(rows: DataFrame) -> DataFrame:
