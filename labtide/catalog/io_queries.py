@@ -20,7 +20,7 @@ def stream_daily_counts(t):
     events = daily.read_events(t.spark, f"{t.root}/events.parquet*", t.raw("events").schema)
     out, checkpoint = scratch_dir(t.spark, "daily"), scratch_dir(t.spark, "daily-checkpoint")
     daily.run(daily.daily_counts(events), out, checkpoint).awaitTermination()
-    rows = t.spark.read.schema("day_start timestamp, day_end timestamp, kind string, n bigint").parquet(out)
+    rows = t.spark.read.schema(daily.TABLE).parquet(out)
     return rows.select(F.date_format("day_start", "MM/dd/yyyy").alias("day"), "kind", "n")
 
 
@@ -37,7 +37,7 @@ def stream_ledger(t):
     reports = events.select(F.col("user_id").alias("id"), F.col("user_id").alias("patient_user_id"))
     path, checkpoint = scratch_dir(t.spark, "ledger"), scratch_dir(t.spark, "ledger-checkpoint")
     ledger_stream.run(reports, path, checkpoint, as_of=standins.AS_OF, user_id=7).awaitTermination()
-    rows = t.spark.read.schema(ledger_stream.LEDGER_SCHEMA).parquet(path)
+    rows = ledger_stream.store_at(t.spark, path).rows()
     return rows.select(
         "report_id", "patient_user_id", "event_type", "user_id", F.date_format("created_at", "MM/dd/yyyy").alias("marked_on")
     )

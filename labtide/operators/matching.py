@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labtide.operators import dedup
+
 
 def family(tree: DataFrame, root: int, *, id: str = "id", parent: str = "parent_distributor_id") -> DataFrame:
     """Ids of one node and its direct children."""
@@ -47,8 +49,9 @@ def append(*frames: DataFrame) -> DataFrame:
 
 
 def with_new(old: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
-    """``old`` plus one row for each unseen key of ``candidates``."""
-    return append(old, absent(candidates.dropDuplicates([key]), old, {key: key}))
+    """``old`` plus one row for each unseen key of ``candidates``: the least one by its other columns, in their order."""
+    firsts = dedup.first_per_key(candidates, [key], [c for c in candidates.columns if c != key] or [key])
+    return append(old, absent(firsts, old, {key: key}))
 
 
 def segments(df: DataFrame, rules: Mapping[str, Column], name: str = "segment") -> DataFrame:

@@ -13,23 +13,49 @@ from pyspark.sql import functions as F
 from labtide.config.settings import ACCESSIONING_GROUPS, DATA_ENTRY_GROUPS, FileNames, LabIdentity
 from labtide.functions import time
 from labtide.operators import matching, reshape, rules
-from labtide.plans import activity, cleanse, funnel, ledger, shift, state_export, template, turnaround
+from labtide.plans import activity, cleanse, funnel, ledger, shift, state_export, template, trackers, turnaround
 from labtide.plans.journal import Journal, Run
 from labtide.session import require_utc, sized
 from labtide.sources import readers, writers
+from labtide.sources.ledger_store import LedgerStore
+from labtide.sources.versions import VersionedTable
 
 
 def dashboards(facts: DataFrame, out: str, segments: Mapping[str, Column], *, term: str = "COVID") -> None:
-    """Funnel by start and event day, turnaround per segment, positives. The source tables are read once."""
+    """Funnel by start and event day, turnaround per segment with the overall mean, positives, and the turnaround of all other
+    tests in days. The source tables are read once."""
     spark = require_utc(facts.sparkSession)
     with sized(spark, facts):
         facts.write.mode("overwrite").parquet(f"{out}/facts")
         facts = spark.read.parquet(f"{out}/facts")
         for day in ("start_day", "event_day"):
             writers.publish(funnel.funnel(facts, day=day, term=term), f"{out}/events_by_{day}")
-        rows = turnaround.turnaround(facts, term=term)
-        writers.publish(matching.segments(turnaround.published(rows), segments), f"{out}/turnaround", by="segment", sort=["sent_day"])
+        rows = turnaround.clean_tracking(turnaround.with_average(turnaround.turnaround(facts, term=term, clean=False)))
+        shown = rows.select(*turnaround.published(rows).columns, turnaround.AVERAGE)
+        writers.publish(matching.segments(shown, segments), f"{out}/turnaround", by="segment", sort=["sent_day"])
         writers.publish(turnaround.positives(rows), f"{out}/positives", sort=["sent_day"])
+        genomics = turnaround.published(turnaround.turnaround(facts, term=term, genomics=True))
+        writers.publish(matching.segments(genomics, segments), f"{out}/genomics", by="segment", sort=["sent_day"])
+
+
+def refresh_trackers(
+    rows: DataFrame, landed: DataFrame, table_path: str, out: str, *, full_load: bool = False
+) -> VersionedTable:
+    """Take landed tracker records into the tracker table, and restart the turnaround of tracked kits at delivery.
+
+    ``rows`` are turnaround rows with a tracking number, ``landed`` raw tracker records. Of several records of a number the one
+    updated last counts, however they arrive; readers of the table keep their version meanwhile. Published are
+    the table by number, the tracked turnaround and the numbers that no tracker is known for yet.
+    """
+    spark = require_utc(rows.sparkSession)
+    with sized(spark, rows, landed):
+        table = VersionedTable(spark, table_path, "tracking_number", ["updated_at", "easypost_id"])
+        table.upsert(trackers.normalise(landed, full_load=full_load))
+        known = table.read()
+        writers.publish(known, f"{out}/trackers", sort=["tracking_number"])
+        writers.publish(turnaround.with_trackers(rows, known), f"{out}/tracked", sort=["sent_date"])
+        writers.publish(turnaround.unseen_tracking(rows, known), f"{out}/unseen", sort=["tracking_number"])
+    return table
 
 
 def shift_reports(
@@ -164,16 +190,14 @@ def _export_window(
     step = (lambda _, action: action()) if test_run else run.step
     # The window is local; what is printed and stored is made from the same instants in UTC.
     utc_end = spark.range(1).select(time.local_bound(run.end, how.tz)).first()[0]
-    ledger_rows = readers.empty_or(spark, how.ledger_path, LEDGER_SCHEMA)
-    marks = ["report_id", "event_type", "created_at"]
-    known = matching.append(event_logs.select(*marks), ledger_rows.select(*marks))
+    store = LedgerStore(spark, how.ledger_path, LEDGER_SCHEMA)
     last = run.journal.last_finished()
     held_path = f"{how.journal}/held"
     held = spark.createDataFrame([], HELD_SCHEMA)
     if last is not None:
         held = readers.empty_or(spark, f"{held_path}/run={last.number}", HELD_SCHEMA)
 
-    waiting = ledger.unreported(held, known, key="report_id").select("report_id")
+    waiting = store.fresh(ledger.unreported(held, event_logs, key="report_id").select("report_id"), run.number)
     due = state_export.due(t.reports, waiting, time.local_bound(run.start, how.tz), time.ntz(utc_end))
     rows = state_export.export_rows(
         replace(t, reports=due), how.lab, root=how.root, as_of=utc_end, report_type_ids=how.report_type_ids, tz=how.tz
@@ -217,7 +241,8 @@ def _export_window(
             F.coalesce("reasons", "old_reasons").alias("reasons"),
         )
         rest = matching.absent(both, staged.select(F.col("report_id").alias("sound_id")), {"report_id": "sound_id"})
-        writers.publish(ledger.unreported(rest, known, key="report_id"), f"{held_path}/run={run.number}")
+        rest = store.fresh(ledger.unreported(rest, event_logs, key="report_id"), run.number)
+        writers.publish(rest, f"{held_path}/run={run.number}")
 
     if not test_run:
         step("hold", hold)
@@ -233,13 +258,13 @@ def _export_window(
 
     def mark() -> None:
         # The marks are fixed before the ledger changes: counting them afterwards would find none.
-        new = ledger.rows_for_exported(staged, known, as_of=utc_end, user_id=how.user_id)
-        new.write.mode("overwrite").parquet(f"{out}/marks")
+        new = ledger.rows_for_exported(staged, event_logs, as_of=utc_end, user_id=how.user_id)
+        store.fresh(new, run.number).write.mode("overwrite").parquet(f"{out}/marks")
         writers.publish(ledger.mark_manifest(regions, staged, spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")), f"{out}/marked")
 
     step("marks", mark)
     fixed = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/marks")
-    step("ledger", lambda: writers.append_new(spark, fixed, how.ledger_path, "report_id"))
+    step("ledger", lambda: store.add(fixed, run.number))
     delivered = writers.delivery_manifest(manifest, how.names, run.end.date())
     step("deliveries", lambda: writers.log_deliveries(spark, delivered, how.deliveries_path))
     step("watermark", lambda: writers.write_watermark(spark, how.watermark_path, run.end))

@@ -3,38 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from labtide.operators import matching
 from labtide.plans.ledger import ledger_rows
-from labtide.sources import readers
+from labtide.sources.ledger_store import BUCKETS, LedgerStore
 
-BATCH = "batch"
 LEDGER_SCHEMA = """
 patient_user_id bigint, report_id bigint, event_type string, agent_type string, user_id bigint, domain string,
-created_at timestamp_ntz, batch bigint
+created_at timestamp_ntz
 """
+COMPACT_EVERY = 50
 
 
-def mark_batch(reports: DataFrame, batch: int, path: str, *, as_of, user_id: int) -> None:
-    """Add the batch's unmarked reports to the ledger.
+def store_at(reports_or_session, path: str, buckets: int = BUCKETS) -> LedgerStore:
+    spark = getattr(reports_or_session, "sparkSession", reports_or_session)
+    return LedgerStore(spark, path, LEDGER_SCHEMA, buckets)
 
-    A batch owns its own folder and compares against the others only, so a replay after a lost executor or driver
-    rewrites the same rows in place and never doubles them.
+
+def mark_batch(reports: DataFrame, batch: int, path: str, *, as_of, user_id: int, buckets: int = BUCKETS) -> LedgerStore:
+    """Add the batch's unmarked reports to the ledger; a batch that comes again changes nothing.
+
+    Every ``COMPACT_EVERY`` batches, those before the last are put together: a batch that begins ends all earlier ones.
     """
-    spark = reports.sparkSession
-    known = readers.empty_or(spark, path, LEDGER_SCHEMA).where(F.col(BATCH) != batch)
-    fresh = matching.absent(reports.dropDuplicates(["id"]), known, {"id": "report_id"})
-    rows = ledger_rows(fresh, as_of=as_of, user_id=user_id)
-    rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
+    store = store_at(reports, path, buckets)
+    store.add(ledger_rows(reports, as_of=as_of, user_id=user_id), batch)
+    if batch and batch % COMPACT_EVERY == 0:
+        store.compact(batch - 1)
+    return store
 
 
-def run(reports: DataFrame, path: str, checkpoint: str, *, as_of, user_id: int) -> StreamingQuery:
+def run(reports: DataFrame, path: str, checkpoint: str, *, as_of, user_id: int, buckets: int = BUCKETS) -> StreamingQuery:
     """``reports`` is a stream of (id, patient_user_id)."""
 
     def mark(batch_rows: DataFrame, batch: int) -> None:
-        mark_batch(batch_rows, batch, path, as_of=as_of, user_id=user_id)
+        mark_batch(batch_rows, batch, path, as_of=as_of, user_id=user_id, buckets=buckets)
 
     return (
         reports.writeStream.foreachBatch(mark)

@@ -11,6 +11,8 @@ from labtide.config.settings import DIALECTS, FileNames
 from labtide.plans import runs, state_export, template, turnaround
 from labtide.session import scratch_dir, scratch_root
 from labtide.sources import readers, writers
+from labtide.sources.ledger_store import LedgerStore, bucket_of
+from labtide.sources.versions import VersionedTable
 from labtide.streaming import daily_counts, ledger_stream
 
 D = dt.datetime
@@ -198,7 +200,7 @@ def test_i1_i5_whole_state_run_is_repeatable(spark, tmp_path, export_tables):  #
 
     for out in ("one", "two"):
         runs.state_reporting(spark, export_tables, log, LAB, f"{tmp_path}/{out}", **settings)
-    assert sorted(r.report_id for r in spark.read.parquet(f"{tmp_path}/ledger").collect()) == [1, 2]
+    assert sorted(r.report_id for r in ledger_stream.store_at(spark, f"{tmp_path}/ledger").rows().collect()) == [1, 2]
     assert spark.read.parquet(f"{tmp_path}/sent").count() == 3
     marked = spark.read.parquet(f"{tmp_path}/one/marked")
     assert {r.file_state: r.n for r in marked.collect()} == {"NJ": 1, "NY": 1, "DE": 1, "WY": 0}
@@ -240,7 +242,7 @@ def outcome(spark, tmp_path, out):
     }
     return (
         files,
-        sorted(map(str, spark.read.parquet(f"{tmp_path}/ledger").collect())),
+        sorted(map(str, ledger_stream.store_at(spark, f"{tmp_path}/ledger").rows().collect())),
         sorted(map(str, spark.read.parquet(f"{tmp_path}/sent").collect())),
         spark.read.parquet(f"{tmp_path}/mark").agg(F.max("last_export")).first()[0],
         sorted(map(str, held.collect())),
@@ -298,7 +300,7 @@ def test_i1_held_reports_come_back_until_marked(spark, tmp_path, export_tables):
         return {r.report_id: (r.since_run, r.reasons) for r in rows}
 
     def marked():
-        return sorted(r.report_id for r in readers.empty_or(spark, f"{tmp_path}/ledger", runs.LEDGER_SCHEMA).collect())
+        return sorted(r.report_id for r in ledger_stream.store_at(spark, f"{tmp_path}/ledger").rows().collect())
 
     run(broken, D(2021, 1, 22))
     assert held(1) == {1: (1, ["bad_phone"]), 2: (1, ["bad_phone"])} and marked() == []
@@ -355,12 +357,33 @@ def test_t1_stream_equals_batch_for_any_batch_size_and_late_files(spark, tmp_pat
     schema = spark.read.parquet(folder).schema
     counts = daily_counts.daily_counts(daily_counts.read_events(spark, folder, schema, files_per_batch=files))
     daily_counts.run(counts, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out")
+    got = spark.read.schema(daily_counts.TABLE).parquet(f"{tmp_path}/out")
     assert sorted((r.day_start.day, r.kind, r.n) for r in got.collect()) == [
         (d, k, n * days.count(d)) for d in sorted(set(days)) for k, n in (("a", 2), ("b", 3))
     ]
 
 
+def test_t1_only_touched_days_are_rewritten(spark, tmp_path):
+    folder, out = f"{tmp_path}/log", f"{tmp_path}/out"
+    event_files(spark, folder, [[(1, D(2021, 1, 1), 1, "a"), (2, D(2021, 1, 2), 1, "a")], [(3, D(2021, 1, 2), 2, "b")]])
+    schema = spark.read.parquet(folder).schema
+
+    def run():
+        counts = daily_counts.daily_counts(daily_counts.read_events(spark, folder, schema))
+        daily_counts.run(counts, out, f"{tmp_path}/cp").awaitTermination()
+        files = {p: os.path.getmtime(p) for p in files_below(out, ".parquet")}
+        rows = spark.read.schema(daily_counts.TABLE).parquet(out).collect()
+        return {d: {p: t for p, t in files.items() if f"day={d}" in p} for d in ("2021-01-01", "2021-01-02")}, sorted((r.day.day, r.kind, r.n) for r in rows)
+
+    before, rows = run()
+    assert rows == [(1, "a", 1), (2, "a", 1), (2, "b", 1)]
+    # a late row of the second day
+    event_files(spark, folder, [[(9, D(2021, 1, 2, 5), 2, "b")]])
+    after, rows = run()
+    assert rows == [(1, "a", 1), (2, "a", 1), (2, "b", 2)]
+    assert before["2021-01-01"] == after["2021-01-01"] and before["2021-01-02"] != after["2021-01-02"]
+
+
 def test_t2_stream_marks_each_report_once(spark, tmp_path):
     folder, ledger, cp = f"{tmp_path}/log", f"{tmp_path}/ledger", f"{tmp_path}/cp"
     event_files(spark, folder, [[(1, D(2021, 1, 1), 1, "a"), (2, D(2021, 1, 1), 1, "a")], [(3, D(2021, 1, 2), 2, "a")]])
@@ -370,7 +393,7 @@ def test_t2_stream_marks_each_report_once(spark, tmp_path):
         stream = daily_counts.read_events(spark, folder, schema, files_per_batch=1)
         reports = stream.select(F.col("user_id").alias("id"), F.col("user_id").alias("patient_user_id"))
         ledger_stream.run(reports, ledger, cp, as_of="2021-02-01", user_id=7).awaitTermination()
-        return sorted(r.report_id for r in spark.read.parquet(ledger).collect())
+        return sorted(r.report_id for r in ledger_stream.store_at(spark, ledger).rows().collect())
 
     assert run() == [1, 2]
     event_files(spark, folder, [[(4, D(2021, 1, 3), 2, "a"), (5, D(2021, 1, 3), 3, "a")]])
@@ -383,7 +406,79 @@ def test_t2_replayed_batch_changes_nothing(spark, tmp_path):
     second = spark.createDataFrame([(2, 2), (3, 3)], "id long, patient_user_id long")
     for batch, rows in ((0, first), (1, second), (0, first), (1, second)):
         ledger_stream.mark_batch(rows, batch, path, as_of="2021-02-01", user_id=7)
-    assert sorted(r.report_id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    assert sorted(r.report_id for r in ledger_stream.store_at(spark, path).rows().collect()) == [1, 2, 3]
+
+
+def marks(spark, ids):
+    return spark.createDataFrame([(i, f"m{i}") for i in ids], "report_id long, note string")
+
+
+def held_ids(store):
+    return sorted(r.report_id for r in store.rows().collect())
+
+
+def test_k5_ledger_reads_the_buckets_of_a_batch_only(spark, tmp_path):
+    store = LedgerStore(spark, f"{tmp_path}/ledger", "report_id long, note string", buckets=16)
+    history = [*range(0, 4000, 2)]
+    assert store.add(marks(spark, [*history, *history[:50], None]), 0).count() == len(history)
+    own = {r.b for r in marks(spark, [1, 3, 5]).select(bucket_of(F.col("report_id"), 16).alias("b")).collect()}
+    # new ids: filters of their buckets are read, but hardly any marks
+    store.add(marks(spark, [1, 3, 5]), 1)
+    assert set(store.own_buckets) == own and set(store.read_buckets) <= own
+    misses = store.fresh(marks(spark, range(100_001, 100_401, 2)))
+    assert misses.count() == 200 and len(store.read_buckets) < 16
+    # a known id makes its own bucket readable, and no other
+    assert store.fresh(marks(spark, [8])).count() == 0
+    assert store.read_buckets == store.own_buckets and len(store.read_buckets) == 1
+    plan = store._marks().where(F.col("bucket").isin(store.read_buckets))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "bucket#" in plan
+    assert held_ids(store) == sorted([*history, 1, 3, 5])
+
+
+def test_k5_ledger_replays_and_compaction(spark, tmp_path):
+    store = LedgerStore(spark, f"{tmp_path}/ledger", "report_id long, note string", buckets=4)
+    batches = [[1, 2, 3], [3, 4, 5], [5, 6, None, 6], []]
+    for number, ids in enumerate(batches):
+        store.add(marks(spark, ids), number)
+    for number in (1, 2, 0, 1):
+        store.add(marks(spark, batches[number]), number)
+    assert held_ids(store) == [1, 2, 3, 4, 5, 6]
+    assert (store.compact(1), store.compact(1)) == (1, 1)
+    assert held_ids(store) == [1, 2, 3, 4, 5, 6]
+    store.add(marks(spark, batches[2]), 2)
+    assert sorted(r.report_id for r in store.add(marks(spark, [2, 4, 6, 7]), 4).collect()) == [7]
+    assert store.compact(4) == 2 and held_ids(store) == [1, 2, 3, 4, 5, 6, 7]
+    assert store.add(marks(spark, [1, 7]), 5).count() == 0
+    again = LedgerStore(spark, f"{tmp_path}/ledger", "report_id long, note string", buckets=4)
+    assert held_ids(again) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_t2_compaction_while_the_stream_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger_stream, "COMPACT_EVERY", 2)
+    for batch in range(5):
+        rows = spark.createDataFrame([(i, i) for i in range(batch, batch + 3)], "id long, patient_user_id long")
+        store = ledger_stream.mark_batch(rows, batch, f"{tmp_path}/ledger", as_of="2021-02-01", user_id=7, buckets=4)
+    assert held_ids(store) == [*range(7)] and store.pointer.current() == (2, 3)
+
+
+def test_k2_i4_versions_and_the_newest_row(spark, tmp_path):
+    schema = "k long, at string, v string"
+    table = VersionedTable(spark, f"{tmp_path}/t", "k", ["at"])
+    with pytest.raises(ValueError, match="no version"):
+        table.read()
+    first = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "a", "z"), (None, "c", "w")], schema)
+    second = spark.createDataFrame([(2, "b", "new"), (1, "a", "stale"), (3, None, "only"), (1, "b", "tie")], schema)
+    assert (table.upsert(first), table.upsert(second)) == (1, 2)
+    other = VersionedTable(spark, f"{tmp_path}/o", "k", ["at"])
+    other.upsert(second)
+    other.upsert(first)
+    rows = lambda t, v=None: sorted(map(tuple, t.read(v).collect()))
+    # the order in which rows came makes no difference, also for ties
+    assert rows(table) == rows(other) and rows(table)[1:] == [(2, "b", "new"), (3, None, "only")]
+    assert rows(table, 1) == [(1, "b", "y"), (2, "a", "z")]
+    # a version that was written but never pointed at does not count
+    first.write.parquet(f"{tmp_path}/t/v=3")
+    assert table.version() == 2 and table.replace(first.limit(1)) == 3 and table.read().count() == 1
 
 
 def test_s1_jdbc_options():
