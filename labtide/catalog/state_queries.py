@@ -103,13 +103,13 @@ def _export(t):
     return export_plan.export_rows(t.export_tables, LAB, root=ROOT, as_of=standins.AS_OF)
 
 
-def _finished(t, **kwargs):
+def finished_rows(t, **kwargs):
     return export_plan.finish(_export(t), **kwargs)
 
 
 @query(f"WITH {EXPORT_SQL} {FINISHED_SQL} FROM export", *EXPORT_TABLES)
 def state_export(t):
-    return _finished(t)
+    return finished_rows(t)
 
 
 @query(
@@ -124,7 +124,7 @@ def state_export(t):
     *EXPORT_TABLES,
 )
 def per_state_sample_n(t):
-    return _finished(t, mode="N", limit_per_state=6)
+    return finished_rows(t, mode="N", limit_per_state=6)
 
 
 def _regions(t):
@@ -281,7 +281,7 @@ def template_select(t):
 def _in_form(t, region):
     catalogue, form = template.packaged_catalogue(), template.packaged_template(region)
     return template.transform(
-        _finished(t), form, catalogue, default_phone=LAB.phone, as_of=standins.AS_OF, keep=("report_id",)
+        finished_rows(t), form, catalogue, default_phone=LAB.phone, as_of=standins.AS_OF, keep=("report_id",)
     )
 
 
@@ -418,25 +418,6 @@ def undelivered_files(t):
     return writers.undelivered(manifest, sent).select("state", "file", "n")
 
 
-@query(
-    f"WITH {EXPORT_SQL} SELECT file_state AS state, count(*) AS n, count(\"Result\") AS with_result FROM export GROUP BY 1",
-    *EXPORT_TABLES,
-)
-def sink_roundtrip_dialects(t):
-    """Write the export as region files in their dialects, then read them back and count."""
-    from labtide.session import scratch_dir
-
-    base = scratch_dir(t.spark, "regions")
-    rows = writers.stage(_finished(t).withColumn("state", F.col("file_state")), f"{base}/staged")
-    written = writers.in_dialects(rows, f"{base}/files")
-    back = None
-    for dialect, path in written.items():
-        schema = ", ".join(f"`{c}` string" for c in rows.columns if c != "file_state")
-        part = readers.empty_or_files(t.spark, path, schema, sep=dialect.sep, header=dialect.header)
-        back = part if back is None else back.unionByName(part)
-    return back.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.count("Result").alias("with_result"))
-
-
 @query("SELECT count(*) AS n, count(DISTINCT report_id) AS reports FROM (SELECT id AS report_id FROM reports)", "reports")
 def sql_query_scan(t):
     """A report written in SQL over named DataFrames."""

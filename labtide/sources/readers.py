@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,11 +92,16 @@ def watermark(spark: SparkSession, path: str, default) -> Column:
     return seen.agg(F.coalesce(F.max("last_export"), time.ntz(default)).alias("last_export")).scalar()
 
 
-def region_file(spark: SparkSession, path: str, region: str, schema: str, dialect: Dialect, key: str = "file_state") -> DataFrame:
-    """One region's files as plain delimited text, or no rows when nothing was written for it."""
-    try:
-        return spark.read.schema(schema).csv(f"{path.rstrip('/')}/{key}={region}", sep=dialect.sep, header=dialect.header, recursiveFileLookup=True)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+def region_file(spark: SparkSession, path: str, regions: Sequence[str], schema: str, dialect: Dialect, key: str = "file_state") -> DataFrame:
+    """Files of regions that share a dialect, as plain delimited text with the region as a column. Regions without files give no rows."""
+    base, found = path.rstrip("/"), None
+    whole = f"{schema}, {key} string, file int"
+    for region in regions:
+        try:
+            part = spark.read.schema(whole).option("basePath", base).csv(f"{base}/{key}={region}", sep=dialect.sep, header=dialect.header)
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            continue
+        found = part if found is None else found.unionAll(part)
+    return (spark.createDataFrame([], whole) if found is None else found).drop("file")

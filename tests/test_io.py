@@ -141,9 +141,9 @@ def test_k3_k4_dialects(spark, tmp_path):
     assert content("AR").splitlines() == ["Patient ID,Patient First Name", "1,Ann"]
     assert content("TX").splitlines()[0] == content("NJ").splitlines()[0] == "Patient ID,Patient First Name"
     schema = "`Patient ID` string, `Patient First Name` string"
-    ny = readers.region_file(spark, f"{tmp_path}/out", "NY", schema, DIALECTS["NY"]).collect()
-    assert sorted(map(tuple, ny)) == [("1", "Ann"), ("1", "Ann"), ("a|b", ' "q" ')]
-    assert readers.region_file(spark, f"{tmp_path}/out", "WY", schema, DIALECTS["NY"]).count() == 0
+    ny = readers.region_file(spark, f"{tmp_path}/out", ["NY", "WY"], schema, DIALECTS["NY"]).collect()
+    assert sorted(map(tuple, ny)) == [("1", "Ann", "NY"), ("1", "Ann", "NY"), ("a|b", ' "q" ', "NY")]
+    assert readers.region_file(spark, f"{tmp_path}/out", ["WY"], schema, DIALECTS["NY"]).count() == 0
 
 
 def test_k3_large_region_has_several_whole_files(spark, tmp_path):
@@ -153,7 +153,7 @@ def test_k3_large_region_has_several_whole_files(spark, tmp_path):
     found = [open(p).read().splitlines() for p in files_below(f"{tmp_path}/out", ".txt") if "TX" in p]
     assert len(found) == 4 and all(lines[0] == "a" for lines in found)
     assert sorted(int(x) for lines in found for x in lines[1:]) == [*range(100)]
-    assert readers.region_file(spark, f"{tmp_path}/out", "TX", "a int", DIALECTS["AR"]).count() == 100
+    assert readers.region_file(spark, f"{tmp_path}/out", ["TX"], "a int", DIALECTS["AR"]).count() == 100
     assert writers.region_files(writers.lines(df.limit(0)), f"{tmp_path}/none") == {}
 
 
