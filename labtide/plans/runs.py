@@ -124,6 +124,7 @@ class Reporting:
     mode: str = ""
     user_id: int = 0
     tz: str = time.EST
+    ledger_buckets: int = 64
 
     @property
     def journal(self) -> str:
@@ -190,14 +191,16 @@ def _export_window(
     step = (lambda _, action: action()) if test_run else run.step
     # The window is local; what is printed and stored is made from the same instants in UTC.
     utc_end = spark.range(1).select(time.local_bound(run.end, how.tz)).first()[0]
-    store = LedgerStore(spark, how.ledger_path, LEDGER_SCHEMA)
+    store = LedgerStore(spark, how.ledger_path, LEDGER_SCHEMA, how.ledger_buckets)
     last = run.journal.last_finished()
     held_path = f"{how.journal}/held"
     held = spark.createDataFrame([], HELD_SCHEMA)
     if last is not None:
         held = readers.empty_or(spark, f"{held_path}/run={last.number}", HELD_SCHEMA)
 
-    waiting = store.fresh(ledger.unreported(held, event_logs, key="report_id").select("report_id"), run.number)
+    waiting = held.select("report_id")
+    if not held.isEmpty():
+        waiting = store.fresh(ledger.unreported(waiting, event_logs, key="report_id"), run.number)
     due = state_export.due(t.reports, waiting, time.local_bound(run.start, how.tz), time.ntz(utc_end))
     rows = state_export.export_rows(
         replace(t, reports=due), how.lab, root=how.root, as_of=utc_end, report_type_ids=how.report_type_ids, tz=how.tz

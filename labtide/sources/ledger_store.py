@@ -99,7 +99,9 @@ class LedgerStore:
     def _fresh(self, rows: DataFrame, batch: int) -> DataFrame:
         own = rows.where(F.col(KEY).isNotNull()).dropDuplicates([KEY]).withColumn(BUCKET, bucket_of(F.col(KEY), self.buckets))
         own = writers.kept(own, scratch_dir(self.spark, "ledger-batch"))
-        self.own_buckets = self._distinct(own)
+        self.own_buckets, self.read_buckets = self._distinct(own), []
+        if not self.own_buckets:
+            return own
         here = F.col(BUCKET).isin(self.own_buckets)
         filters = self._filters().where(here & (F.col(BATCH) != batch)).select(F.col(BUCKET).alias("of_bucket"), "bits")
         passing = (F.col(BUCKET) == F.col("of_bucket")) & might_hold(F.col("bits"), F.col(KEY))

@@ -1,6 +1,7 @@
 """Every registered query equals its SQL twin on the smallest tables."""
 
 import os
+import sys
 
 import pytest
 from oracle import compare, connect
@@ -31,5 +32,15 @@ def test_entry_points_hold_the_catalog():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("missing", ["labtide.llm", "tokenizers", "corpus_pipeline", "tiktoken"])
+def test_entry_points_without_the_training_data_part(monkeypatch, missing):
+    """A package that cannot be imported takes those queries away that need it, and no others."""
+    for name in [m for m in sys.modules if m.startswith(("labtide.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
+    assert set(QUERIES) <= set(entry.queries()) and "pipeline" not in entry.queries()
+    assert set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
