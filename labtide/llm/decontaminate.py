@@ -34,6 +34,21 @@ def hits_needed(sketch: int, percent: int = PERCENT, miss: float = MISS) -> int:
     return 1
 
 
+def size_class(n: int) -> int:
+    """The class of a set of ``n`` shingles: the greatest power of two that is not above it."""
+    return 1 << (n.bit_length() - 1)
+
+
+def signature_length(of_class: int, sketch: int) -> int:
+    """Hashes that stand for a set of this class: all of a small one; a quarter of ``sketch`` more for each doubling beyond it.
+
+    Larger items meet longer texts and more shared passages, and so need more evidence before whole sets are compared.
+    """
+    if of_class <= sketch:
+        return 2 * of_class - 1
+    return sketch + round(sketch / 4 * math.log2(of_class / sketch))
+
+
 def item_sets(items: DataFrame, width: int = WIDTH) -> DataFrame:
     """Distinct shingle hashes of each item; one with fewer words has one shingle of all its words."""
 
@@ -55,18 +70,19 @@ def item_sets(items: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 class Sketches:
-    """The items of one shingle width in a block, with the sketches that search for them.
+    """The items of one shingle width and one size class in a block: an index of their signatures.
 
-    Items fall into size classes by powers of two. A class has one sketch size, the ``sketch`` smallest hashes of a set
-    or all of a small one, and one number of hits from which an item becomes a candidate.
+    A signature has the smallest hashes of a set, ``signature_length`` of them at most. Since these are an even sample of the
+    set, a document that contains ``percent`` of the item contains as large a share of the signature, give or take; the hits
+    needed are set so low that one in a million such documents is missed. All hashes of a set together decide by
+    themselves.
     """
 
     def __init__(self, items: list[tuple[int, np.ndarray]], percent: int, sketch: int):
         self.ids, self.sets, self.percent = [i for i, _ in items], [s for _, s in items], percent
         owners, values, needed = [], [], []
         for place, own in enumerate(self.sets):
-            size_class = 1 << (len(own).bit_length() - 1)
-            size = min(len(own), sketch) if size_class < sketch else sketch
+            size = min(len(own), signature_length(size_class(len(own)), sketch))
             values.append(np.sort(words.mix(own))[:size])
             owners.append(np.full(size, place))
             needed.append(hits_needed(size, percent))
@@ -98,22 +114,24 @@ class Sketches:
         return found
 
 
-def _sketched(items: DataFrame, percent: int, sketch: int) -> dict[int, Sketches]:
-    """The sketches of a block of items for each shingle width."""
-    by_width: dict[int, list] = {}
+def _sketched(items: DataFrame, percent: int, sketch: int) -> dict[tuple[int, int], Sketches]:
+    """An index of signatures for each shingle width and size class of a block of items."""
+    parts: dict[tuple[int, int], list] = {}
     for row in items.collect():
-        by_width.setdefault(row["width"], []).append((row["item_id"], np.array(row["shingles"], np.int64).view(np.uint64)))
-    return {w: Sketches(own, percent, sketch) for w, own in sorted(by_width.items())}
+        key = (row["width"], size_class(len(row["shingles"])))
+        parts.setdefault(key, []).append((row["item_id"], np.array(row["shingles"], np.int64).view(np.uint64)))
+    return {key: Sketches(own, percent, sketch) for key, own in sorted(parts.items())}
 
 
-def _search(docs: DataFrame, groups: dict[int, Sketches]) -> DataFrame:
+def _search(docs: DataFrame, groups: dict[tuple[int, int], Sketches]) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (s for p in parts for s in words.slices(p)):
             hashes, first = words.word_hashes(part.column(1), words.NOT_ALPHANUMERIC)
             ids, bodies = part.column(0).to_pylist(), part.column(2).to_pylist()
-            rows = []
-            for width, sketches in groups.items():
-                runs = words.fold(hashes, width)
+            rows, runs, folded = [], None, 0
+            for (width, _), sketches in groups.items():
+                if width != folded:
+                    runs, folded = words.fold(hashes, width), width
                 hit = sketches.among(runs)
                 places = np.flatnonzero(hit >= 0)
                 owner = np.searchsorted(first, places, "right") - 1
@@ -141,6 +159,9 @@ def contaminated(
 ) -> DataFrame:
     """doc_id, body, item_id, n_shared and n_item of every document of ``docs`` that holds an item of ``benchmark``.
 
+    Items are searched by size class, each with an index, a signature length and a number of hits of its own. Documents are
+    not sketched but looked through whole: in a signature of a long document a short item would have no part.
+
     A document holds an item if it has ``percent`` of the item's distinct ``width``-word shingles or more. Words are runs
     of letters and digits with A-Z lower-cased, so punctuation and line ends do not matter. The documents are read once
     for each block of items and never shuffled; a block of about ``block_shingles`` shingles goes through the driver to
