@@ -230,6 +230,48 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
 FROM leaves l JOIN trees t ON t.lang IS NOT DISTINCT FROM l.lang CROSS JOIN root JOIN top USING (rid) LEFT JOIN proofs USING (rid)
 """
 
+# Documents whose sets of word pairs overlap by 80 %, and the smallest id reachable; words are cut at white space.
+NEAR_SQL = """
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ \\x09-\\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)),
+                                           lambda i: w[i] || ' ' || w[i + 1]) END)) AS g FROM cut),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)),
+ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN ways l ON l.a = r.seen),
+least AS (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+# Documents that hold 80 % of an item's runs of five words, or all words of a shorter item in a row.
+LEAKS_SQL = """
+WITH texts AS (
+  SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'item', item_id, text FROM benchmark),
+cut AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+items AS (
+  SELECT DISTINCT id, least(5, len(w)) AS width,
+         unnest(list_transform(range(1, len(w) - least(5, len(w)) + 2), lambda i: array_to_string(w[i : i + least(5, len(w)) - 1], ' '))) AS g
+  FROM cut WHERE kind = 'item' AND len(w) > 0),
+grams AS (
+  SELECT DISTINCT id, width, unnest(list_transform(range(1, len(w) - width + 2), lambda i: array_to_string(w[i : i + width - 1], ' '))) AS g
+  FROM cut, (SELECT DISTINCT width FROM items) WHERE kind = 'doc' AND len(w) >= width),
+sizes AS (SELECT id, count(*) AS n_item FROM items GROUP BY id),
+shared AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM items i JOIN grams d USING (width, g) GROUP BY 1, 2)
+SELECT doc_id, item_id, n_shared, n_item FROM shared JOIN sizes ON sizes.id = item_id WHERE 100 * n_shared >= 80 * n_item
+"""
+
 SPACES_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 # Costs from each place in the grammar to the end (c0 start, c1 after s, c2 after u, c3 after a), turn by turn from the
@@ -295,8 +337,10 @@ SELECT k.conv_id, gaps, blank, duplicate, truncated, illegal, c.c[1]::BIGINT AS
 FROM known k JOIN ends e ON e.conv_id IS NOT DISTINCT FROM k.conv_id JOIN costs c ON c.conv_id IS NOT DISTINCT FROM k.conv_id AND c.i = 1
 """
 
-# The other operators rest on hashing, trained models, tokenizers or parsing, which SQL cannot state on whole tables.
+# The other operators rest on trained models, tokenizers, packing orders or parsing, which SQL cannot state.
 ORACLES: dict[str, str] = {
+    "op2_near_duplicates": NEAR_SQL,
+    "op8_decontamination": LEAKS_SQL,
     "op3_line_dedup": LINES_SQL,
     "op5_warc": WARC_SQL,
     "op7_embedding_dedup": VECTORS_SQL,
