@@ -220,11 +220,12 @@ def brute_phrases(text, phrases):
     return len(found), len(every), min(every, default=None), max(every, default=None), ",".join(sorted(places))
 
 
-def test_op4_base_columns_equal_brute_force(spark):
+@pytest.mark.parametrize("more", [[], [("accent", "É mit")]])
+def test_op4_base_columns_equal_brute_force(spark, more):
     draw = np.random.default_rng(12)
-    stock = ["MIT", "mit", "License", "LICENSE", "apache", "general", "public", "a", "\u0130", "K", "É", "copyleft", "x-y", "\n"]
+    stock = ["MIT", "mit", "License", "LICENSE", "apache", "general", "public", "a", "\u0130", "\u212a", "É", "é", "copyleft", "x-y", "\n"]
     pairs = [(i, " ".join(draw.choice(stock, draw.integers(0, 60)))) for i in range(150)] + [(200, None), (201, ""), (202, "mit license " * 3000)]
-    phrases = [*license_scan.PHRASES, ("solo", "copyleft"), ("long", "mit license general")]
+    phrases = [*license_scan.PHRASES, ("solo", "copyleft"), ("long", "mit license general"), *more]
     got = license_scan.scan(docs_of(spark, pairs), phrases=phrases).collect()
     assert len(got) == len(pairs)
     for row in got:
@@ -374,6 +375,40 @@ def test_op8_equals_brute_force(spark):
     assert decontaminate.contaminated(docs_of(spark, pairs), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sketch", [4, 24])
+def test_op8_equals_all_sets_in_every_size_class(spark, sketch):
+    draw = np.random.default_rng(21)
+    stock = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(draw.choice(stock, n))) for i, n in enumerate([1, 2, 4, 5, 6, 9, 16, 33, 40, 70, 130, 260, 300])]
+    pairs = []
+    for i in range(160):
+        own = list(draw.choice(stock, draw.integers(0, 200)))
+        item = items[draw.integers(0, len(items))][1].split()
+        for place in draw.integers(0, len(item), draw.integers(0, 1 + len(item) // 20)):
+            item[place] = "changed"
+        at = draw.integers(0, len(own) + 1)
+        pairs.append((i, " ".join([*own[:at], *item, *own[at:]])))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = set()
+    for item, text in items:
+        width = min(5, len(text.split()))
+        own = shingles(text, width)
+        for doc, whole in pairs:
+            shared = len(own & shingles(whole, width)) if len(whole.split()) >= width else 0
+            if 100 * shared >= 80 * len(own):
+                want.add((doc, item, shared, len(own)))
+    got = decontaminate.contaminated(docs_of(spark, pairs), bench, sketch=sketch, block_shingles=300).collect()
+    assert {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got} == want and len(got) == len(want) > 100
+
+
+def test_op8_classes_have_their_own_signatures():
+    lengths = [decontaminate.signature_length(1 << c, 24) for c in range(12)]
+    assert lengths[:6] == [1, 3, 7, 15, 31, 26] and lengths[5:] == sorted(lengths[5:])
+    sets = {n: np.arange(n, dtype=np.uint64) for n in (3, 20, 40, 900)}
+    sizes = {n: len(decontaminate.Sketches([(1, s)], 80, 24).owners) for n, s in sets.items()}
+    assert sizes[3] == 3 and sizes[20] == 20 and 24 < sizes[40] < 40 and sizes[40] < sizes[900] < 100
+
+
 def test_op8_driver_holds_one_block_at_a_time(spark, monkeypatch):
     alive, most, build = weakref.WeakSet(), [], decontaminate.Sketches.__init__
 
