@@ -54,23 +54,30 @@ NOTICES = [
 ]
 
 
-def words_of(text: Column) -> Column:
-    """Words of a text with A-Z lower-cased: runs of ASCII letters and digits and of all characters beyond ASCII."""
+def words_of(text: Column, plain: bool = False) -> Column:
+    """Words of a text with A-Z lower-cased: runs of ASCII letters and digits and of all characters beyond ASCII.
+
+    With ``plain`` only words of ASCII need be right. All letters may then be lower-cased, which is faster: of those beyond
+    ASCII the Kelvin sign alone becomes an ASCII letter.
+    """
     whole = F.coalesce(text, F.lit(""))
-    ascii_only = F.octet_length(whole) == F.length(whole)
-    low = F.when(ascii_only, F.lower(whole)).otherwise(F.translate(whole, string.ascii_uppercase, string.ascii_lowercase))
+    same = ~F.contains(whole, F.lit("\u212a")) if plain else F.octet_length(whole) == F.length(whole)
+    low = F.when(same, F.lower(whole)).otherwise(F.translate(whole, string.ascii_uppercase, string.ascii_lowercase))
     parts = F.split(low, SEPARATORS)
     first = (F.get(parts, F.lit(0)) == "").cast("int")
     last = ((F.element_at(parts, -1) == "") & (F.size(parts) > 1)).cast("int")
     return F.slice(parts, first + 1, F.greatest(F.size(parts) - first - last, F.lit(0)))
 
 
-def _grams(rows: DataFrame, keep: Sequence[str], place: str, singles: bool) -> DataFrame:
+def _grams(rows: DataFrame, keep: Sequence[str], place: str, singles: bool, firsts: Sequence[str] | None = None) -> DataFrame:
     """A row for each word k-gram of ``words``: its hash, its words and where it begins.
 
-    With ``singles`` there are rows for single words as well, whose second word is empty.
+    With ``singles`` there are rows for single words as well, whose second word is empty. With ``firsts`` only grams that
+    begin with one of these words are made.
     """
     spread = rows.select(*keep, "words", F.posexplode("words").alias(place, "w1"))
+    if firsts is not None:
+        spread = spread.where(F.col("w1").isin([*firsts]))
     second = F.get("words", F.col(place) + 1)
     if singles:
         spread = spread.withColumn("w2", F.explode(F.array(second, F.lit(""))))
@@ -105,8 +112,11 @@ def _spans(docs: DataFrame, grams: DataFrame, slack: int, cover: float) -> DataF
     """
     shape = grams.agg(F.max("place").alias("last"), F.coalesce(F.min("n") < K, F.lit(False)).alias("singles")).first()
     masks = [f"mask{i}" for i in range((shape["last"] or 0) // MASK + 1)]
-    rows = docs.select("doc_id", body().alias("body"), words_of(F.col("text")).alias("words"))
-    met = _grams(rows, ["doc_id", "body"], "at", bool(shape["singles"])).join(
+    firsts = sorted(r["w1"] for r in grams.select("w1").distinct().collect())
+    plain = all(r["w2"].isascii() for r in grams.select("w2").distinct().collect()) and "".join(firsts).isascii()
+    rows = docs.select("doc_id", body().alias("body"), words_of(F.col("text"), plain).alias("words"))
+    # Words that begin no gram of a template are passed over before anything is hashed.
+    met = _grams(rows, ["doc_id", "body"], "at", bool(shape["singles"]), firsts).join(
         grams.withColumnsRenamed({"w1": "t1", "w2": "t2"}), "gram"
     )
     met = met.where("w1 = t1 and w2 = t2").withColumn("diagonal", F.col("at") - F.col("place"))
@@ -172,7 +182,7 @@ def scan(docs: DataFrame, **options) -> DataFrame:
         F.max("share").alias("score"),
     )
     found = found.withColumnsRenamed({"doc_id": "__id", "body": "__body"})
-    rows = docs.select("doc_id", body().alias("body"), F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
+    rows = docs.select("doc_id", body().alias("body"), F.size(words_of(F.col("text"), plain=True)).cast("bigint").alias("n_words"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("body").eqNullSafe(F.col("__body"))
     return rows.join(found, same, "left").select(
         "doc_id",
