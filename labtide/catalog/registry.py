@@ -11,6 +11,8 @@ from labtide.standins import Standins
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The module each query is registered in.
+MODULES: dict[str, str] = {}
 
 
 def _with_tables(sql: str, tables: tuple[str, ...]) -> str:
@@ -34,6 +36,7 @@ def query(sql: str | None = None, *tables: str):
 
     def register(build: Callable[[Standins], DataFrame]) -> Callable[[Standins], DataFrame]:
         name = build.__name__
+        MODULES[name] = build.__module__.rpartition(".")[2]
         QUERIES[name] = lambda spark, sf_dir: build(Standins(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = _with_tables(sql, tables)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from labtide.config.settings import ACCESSIONING_GROUPS, DATA_ENTRY_GROUPS, FileNames, LabIdentity
 from labtide.functions import time
 from labtide.operators import matching, reshape, rules
-from labtide.plans import activity, cleanse, funnel, ledger, shift, state_export, template, trackers, turnaround
+from labtide.plans import activity, cleanse, funnel, ledger, shift, state_export, template, trackers, turnaround, weekly_store
 from labtide.plans.journal import Journal, Run
 from labtide.session import require_utc, sized
 from labtide.sources import readers, writers
@@ -87,7 +87,7 @@ def shift_reports(
             ("accessioning", accession, ACCESSIONING_GROUPS),
         ):
             metrics = {
-                "data_entry": ["entries", "reviews", "scans_assigned_to_kits", "tickets_created"],
+                "data_entry": DATA_ENTRY_METRICS,
                 "accessioning": ["pages_scanned", "samples_accessioned", "tickets_created"],
             }[name]
             rows = writers.kept(rows, f"{out}/shared/{name}")
@@ -98,6 +98,19 @@ def shift_reports(
             writers.publish(by_category, f"{out}/{name}/tickets")
 
 
+def weekly_activity(tables: Mapping[str, DataFrame], store: str, start: dt.date, end: dt.date, *, tz: str = time.EST) -> DataFrame:
+    """Take the weeks from ``start`` on and before ``end``, both Mondays, into the store of data-entry sums, and give the user grid
+    of every week the store knows. Only the log of these weeks is read."""
+    spark = require_utc(tables["staff"].sparkSession)
+    with sized(spark, *tables.values()):
+        span = {"start": start, "end": end, "tz": tz}
+        tickets = activity.ticket_metric(tables["tickets"], tables["staff"], **span)
+        entry = activity.event_metrics(tables["event_logs"], tables["kits"], tables["staff"], **span)
+        weekly_store.update(entry.unionByName(reshape.long_metrics({"tickets_created": tickets})), store, start, end)
+        return shift.user_grid(weekly_store.sums(spark, store), DATA_ENTRY_METRICS)
+
+
+DATA_ENTRY_METRICS = ["entries", "reviews", "scans_assigned_to_kits", "tickets_created"]
 ACCESSION = "Specimen ID / Accession Number"
 HELD_SCHEMA = "report_id bigint, file_state string, since_run bigint, reasons array<string>"
 

@@ -13,7 +13,7 @@ from labtide.session import scratch_dir, scratch_root
 from labtide.sources import readers, writers
 from labtide.sources.ledger_store import LedgerStore, bucket_of
 from labtide.sources.versions import VersionedTable
-from labtide.streaming import daily_counts, ledger_stream
+from labtide.streaming import daily_counts, file_intake, ledger_stream
 
 D = dt.datetime
 
@@ -481,6 +481,100 @@ def test_k2_i4_versions_and_the_newest_row(spark, tmp_path):
     assert table.version() == 2 and table.replace(first.limit(1)) == 3 and table.read().count() == 1
 
 
+def test_s8_i3_a_file_is_taken_once_whatever_the_batches(spark, tmp_path):
+    for region, n in (("NJ", 1), ("PA", 2), ("NY", 3)):
+        text_file(f"{tmp_path}/in/{region}_2021_01_21.csv", "".join(f"{region}{i}\n" for i in range(n)))
+    text_file(f"{tmp_path}/in/deep/file_state=TX/file=0/part-0.csv", "t\n")
+    text_file(f"{tmp_path}/in/deep/file_state=TX/file=1/part-0.csv", "u\nv\n")
+
+    def taken(out):
+        rows = spark.read.schema(file_intake.FILES).parquet(f"{out}/files").collect()
+        lines = spark.read.schema(file_intake.LINES).parquet(f"{out}/lines").collect()
+        return sorted((r.state, r.file, r.n) for r in rows), sorted(r.value for r in lines)
+
+    def run(out, files, checkpoint="cp", **how):
+        stream = file_intake.read_files(spark, f"{tmp_path}/in", files_per_batch=files)
+        file_intake.run(stream, out, f"{out}/{checkpoint}", **how).awaitTermination()
+        return taken(out)
+
+    one, all_at_once = run(f"{tmp_path}/one", 1), run(f"{tmp_path}/all", 100)
+    assert one == all_at_once and [r[0] for r in one[0]] == ["NJ", "NY", "PA", "TX", "TX"] and len(one[1]) == 9
+    assert ("TX", "file=1/part-0.csv", 2) in one[0]
+    # the same name under another path is the same delivery; a new one is taken; a lost checkpoint changes nothing
+    text_file(f"{tmp_path}/in/again/NJ_2021_01_21.csv", "changed\n")
+    text_file(f"{tmp_path}/in/NJ_2021_01_22.csv", "next\n")
+    files, lines = run(f"{tmp_path}/one", 1)
+    assert len(files) == 6 and "next" in lines and "changed" not in lines
+    assert run(f"{tmp_path}/one", 2, "lost", first_batch=100) == (files, lines)
+    # a batch that comes again writes the same
+    batch = spark.createDataFrame([("NJ", "new.csv", "x", 1, D(2021, 1, 1))], "state string, file string, value string, bytes long, arrived timestamp")
+    file_intake.take(batch, 7_000, f"{tmp_path}/one")
+    before = taken(f"{tmp_path}/one")
+    file_intake.take(batch, 7_000, f"{tmp_path}/one")
+    assert taken(f"{tmp_path}/one") == before and len(before[0]) == 7
+
+
+PAGE = "asked string, paging struct<next: struct<after: string>>, results array<struct<id: string, properties: struct<name: string>>>"
+
+
+def landed(spark, links, **names):
+    rows = [(asked, None if after is None else ((after,),), [(f"{asked}-1", (names.get("name", "n"),)), (f"{asked}-2", ("n",))]) for asked, after in links]
+    return spark.createDataFrame(rows, PAGE)
+
+
+@pytest.mark.parametrize(
+    "links, faults",
+    [
+        ([(None, "a"), ("a", "b"), ("b", None)], []),
+        ([(None, "a"), ("a", "b"), ("b", None), ("a", "b")], []),
+        ([(None, None)], []),
+        ([], []),
+        ([(None, "a"), ("a", "b")], [("b", "missing")]),
+        ([(None, "a"), ("b", None), ("a", "x")], [("b", "unasked"), ("x", "missing")]),
+        ([("a", None)], [(None, "no first page"), ("a", "unasked")]),
+        ([(None, "a"), ("a", None), ("a", "c"), ("c", None)], [("a", "repeated")]),
+        ([(None, "a"), ("a", "c"), ("b", "c"), ("c", None)], [("b", "unasked"), ("c", "joined")]),
+        ([(None, "a"), ("a", None), ("x", "y"), ("y", "z"), ("z", "x")], [("x", "loop"), ("y", "loop"), ("z", "loop")]),
+    ],
+)
+def test_c20_page_chains(spark, links, faults):
+    from labtide.plans import crm
+
+    assert sorted((tuple(r) for r in crm.page_faults(landed(spark, links)).collect()), key=str) == sorted(faults, key=str)
+
+
+def test_c20_a_missing_page_refuses_the_swap(spark, tmp_path):
+    from labtide.plans import crm
+
+    whole, broken = [(None, "a"), ("a", None)], [(None, "a")]
+    kinds = ["companies", "products"]
+    tables = crm.refresh_objects({k: landed(spark, whole) for k in kinds}, f"{tmp_path}/t")
+    assert sorted(map(tuple, tables["products"].read().collect()))[0] == ("None-1", "n") and tables["products"].read().count() == 4
+    with pytest.raises(crm.IncompletePages, match="products: missing a"):
+        crm.refresh_objects({"companies": landed(spark, whole, name="new"), "products": landed(spark, broken)}, f"{tmp_path}/t")
+    assert tables["companies"].version() == 1 and tables["companies"].read().where("name = 'new'").count() == 0
+
+
+def test_c8_store_replaces_whole_weeks_only(spark, tmp_path):
+    from labtide.plans import weekly_store
+
+    day = dt.date
+    rows = lambda *d: spark.createDataFrame([("m", x, "Ann", n, 5, 0) for x, n in d], "metric string, day date, fullname string, n long, sec long, frac long")
+    path = f"{tmp_path}/store"
+    weekly_store.update(rows((day(2021, 1, 4), 1), (day(2021, 1, 12), 2)), path, day(2021, 1, 4), day(2021, 1, 18))
+    first = {p: os.path.getmtime(p) for p in files_below(path, ".parquet")}
+    weekly_store.update(rows((day(2021, 1, 13), 7)), path, day(2021, 1, 11), day(2021, 1, 18))
+    kept = sorted((r.day, r.n) for r in weekly_store.sums(spark, path).collect())
+    assert kept == [(day(2021, 1, 4), 1), (day(2021, 1, 13), 7)]
+    later = {p: os.path.getmtime(p) for p in files_below(path, ".parquet")}
+    assert [first[p] == later.get(p) for p in sorted(first)] == [True, False]
+    assert [r.n for r in weekly_store.sums(spark, path, day(2021, 1, 11)).collect()] == [7]
+    plan = weekly_store.sums(spark, path, day(2021, 1, 11), day(2021, 1, 18))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(week_start" in plan
+    with pytest.raises(ValueError, match="Mondays"):
+        weekly_store.update(rows(), path, day(2021, 1, 5), day(2021, 1, 11))
+
+
 def test_s1_jdbc_options():
     class Reader:
         def __init__(self):
