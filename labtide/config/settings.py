@@ -59,14 +59,16 @@ ACTIVITY_EVENTS = {
 }
 
 # Columns published by the turnaround and the positives dashboards.
-TURNAROUND_COLUMNS = """
-id delivery_datetime collection_date sample_received_at receive_day sent_day start_time sent_time weekday TAT goal
-goal_missed expedited result clinic distributor redraw timedelta test tracking_number start_date_type positive month
-public_url picked_up_city picked_up_state
-""".split()
-POSITIVE_COLUMNS = """
-id receive_day sent_day expedited result redraw test weekday distributor positive clinic
-""".split()
+TURNAROUND_COLUMNS = [
+    "id", "delivery_datetime", "collection_date", "sample_received_at", "receive_day", "sent_day", "start_time",
+    "sent_time", "weekday", "TAT", "goal", "goal_missed", "expedited", "result", "clinic", "distributor", "redraw",
+    "timedelta", "test", "tracking_number", "start_date_type", "positive", "month", "public_url", "picked_up_city",
+    "picked_up_state",
+]
+POSITIVE_COLUMNS = [
+    "id", "receive_day", "sent_day", "expedited", "result", "redraw", "test", "weekday", "distributor", "positive",
+    "clinic",
+]
 
 
 @dataclass(frozen=True)

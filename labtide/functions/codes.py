@@ -21,10 +21,11 @@ REPORT_STATUSES = ["approved", "sent", "sent_to_patient", "consultation_pending"
 SPECIMEN_STATUSES = ["qc_pending", "qc_hold", "qc_approved", "vc_complete", "further_review"]
 
 # Regions of the nationwide export.
-REGIONS = """
-AL AK AZ AR CA CO CT DC DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ
-NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY
-""".split()
+REGIONS = [
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DC", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA",
+    "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR",
+    "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+]
 
 
 def lookup(c: Column | str, table: dict[str, str]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtide.config.settings import ACCESSIONING_GROUPS, DATA_ENTRY_GROUPS, FileNames, LabIdentity
-from labtide.functions import time
+from labtide.functions import codes, time
 from labtide.operators import matching, reshape, rules
 from labtide.plans import activity, cleanse, funnel, ledger, shift, state_export, template, trackers, turnaround, weekly_store
 from labtide.plans.journal import Journal, Run
@@ -119,16 +119,16 @@ HELD_SCHEMA = "report_id bigint, file_state string, since_run bigint, reasons ar
 class Reporting:
     """Where and how the public-health export runs; places are folders.
 
-    ``root`` is the distributor, ``states`` the regions to report to. ``templates`` has the forms of regions that want columns
+    ``root`` is the distributor, ``states`` the regions to report to (all unless given). ``templates`` has the forms of regions that want columns
     of their own, all others get the export's columns.
     """
 
     lab: LabIdentity
     root: int
-    states: Sequence[str]
     ledger_path: str
     watermark_path: str
     deliveries_path: str
+    states: Sequence[str] = tuple(codes.REGIONS)
     journal_path: str | None = None
     report_type_ids: Sequence[int] | None = None
     templates: Mapping[str, template.Template] = field(default_factory=dict)

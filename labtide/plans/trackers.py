@@ -16,10 +16,11 @@ tracking_details array<struct<datetime: string, tracking_location: struct<city:
 """
 
 # Raw tracker columns, in output order, and the names four of them take.
-COLUMNS = """
-id carrier status status_detail created_at est_delivery_date destination origin delivery_datetime delivery_date
-initial_delivery_attempt public_url signed_by tracking_code updated_at picked_up_city picked_up_state weight
-""".split()
+COLUMNS = [
+    "id", "carrier", "status", "status_detail", "created_at", "est_delivery_date", "destination", "origin",
+    "delivery_datetime", "delivery_date", "initial_delivery_attempt", "public_url", "signed_by", "tracking_code",
+    "updated_at", "picked_up_city", "picked_up_state", "weight",
+]
 RENAMED = {
     "id": "easypost_id",
     "status": "tracking_status",
