@@ -130,15 +130,41 @@ def score(host: Column, path: Column, weights: Sequence[float], intercept: float
     return 1 / (1 + F.exp(-margin))
 
 
+def domains_of(host: Column) -> Column:
+    """The host and its parent domains."""
+    labels = F.split(host, r"\.")
+    count = F.size(labels)
+    return F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(labels, i, count), "."))
+
+
+def joined_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
+    """host, path and best (size, rule, verdict) of every distinct place (host, path) that a rule (host, path, verdict) fits.
+
+    Any number of rules: a place meets them by its domains and by the starts of its path that are as long as some rule's, so
+    a domain of many rules or places does not multiply them. Repeated rules count once.
+    """
+    rules = rules.select("host", "path", "verdict").where("host is not null and path is not null").distinct()
+    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
+    if not lengths:
+        return places.select("host", "path", F.lit(None).cast("struct<size:int,rule:string,verdict:string>").alias("best")).limit(0)
+    keys = rules.select(F.col("host").alias("domain"), F.col("path").alias("start"), "verdict")
+    starts = F.transform(
+        F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("path")), lambda n: F.substr(F.col("path"), F.lit(1), n)
+    )
+    ways = places.select("host", "path").distinct().select("host", "path", F.explode(domains_of(F.col("host"))).alias("domain"), starts.alias("starts"))
+    ways = ways.select("host", "path", "domain", F.explode("starts").alias("start"))
+    rule = F.concat("domain", "start")
+    met = ways.join(keys, ["domain", "start"]).select("host", "path", F.struct(F.length(rule).alias("size"), rule.alias("rule"), "verdict").alias("fit"))
+    return met.groupBy("host", "path").agg(F.max("fit").alias("best"))
+
+
 def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     """The longest rule (host, path, verdict) that fits, as struct(size, rule, verdict); null without one.
 
     A rule fits its host and all subdomains if the path starts with the rule's path. Of equally long rules the
     alphabetically last counts. Rules are looked up by the URL's host and its parent domains, so their number hardly
-    matters; at most ``MAX_RULES`` are taken into the plan.
+    matters; they are part of the plan, so more than ``MAX_RULES`` are joined instead (``joined_rules``).
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     if not rules:
         return F.lit(None).cast("struct<size:int,rule:string,verdict:string>")
     by_host: dict[str, list] = {}
@@ -154,9 +180,7 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
         ]
         entries += [F.lit(rule_host), F.array(*choices)]
     table = F.create_map(*entries)
-    labels = F.split(host, r"\.")
-    count = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(labels, i, count), "."))
+    domains = domains_of(host)
     fitting = F.filter(
         F.flatten(F.filter(F.transform(domains, lambda d: F.try_element_at(table, d)), lambda found: found.isNotNull())),
         lambda rule: F.startswith(path, rule["start"]),
@@ -170,22 +194,29 @@ def training_table(spark: SparkSession) -> DataFrame:
 
 
 def judge(
-    urls: DataFrame, rules: Sequence[tuple[str, str, str]], examples: DataFrame | None = None, cut: float = CUT
+    urls: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame, examples: DataFrame | None = None, cut: float = CUT
 ) -> DataFrame:
     """``urls`` (url and any columns) with a struct ``judged``: host, path, rule, verdict and score.
 
     The verdict is the longest fitting rule's, else ``block`` for a score of ``cut`` or more. No shuffle and no Python:
-    the weights are a constant of the plan. A null URL, or one without ``://``, has an empty host and path, which only a
+    the weights are a constant of the plan, and so are rules given as a list. Lists of more than ``MAX_RULES`` and tables of rules
+    (host, path, verdict) are joined, with the same results. A null URL, or one without ``://``, has an empty host and path, which only a
     rule for an empty host could fit. Every row is judged on its own, so repeated rows give repeated results.
     """
     weights, intercept = fit(examples if examples is not None else training_table(urls.sparkSession))
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     cut_up = urls.withColumn("judged", F.struct(host.alias("host"), path.alias("path")))
     host, path = F.col("judged.host"), F.col("judged.path")
+    if isinstance(rules, DataFrame) or len(rules) > MAX_RULES:
+        table = rules if isinstance(rules, DataFrame) else urls.sparkSession.createDataFrame(rules, "host string, path string, verdict string")
+        known = joined_rules(cut_up.select("judged.host", "judged.path"), table).withColumnsRenamed({"host": "__host", "path": "__path", "best": "__best"})
+        cut_up = cut_up.join(known, (host == F.col("__host")) & (path == F.col("__path")), "left")
+        best = F.col("__best")
+    else:
+        best = rule_for(host, path, rules)
     ruled = cut_up.withColumn(
-        "judged",
-        F.struct(host.alias("host"), path.alias("path"), rule_for(host, path, rules).alias("best"), score(host, path, weights, intercept).alias("score")),
-    )
+        "judged", F.struct(host.alias("host"), path.alias("path"), best.alias("best"), score(host, path, weights, intercept).alias("score"))
+    ).select(*[F.col(f"`{c}`") for c in urls.columns if c != "judged"], "judged")
     verdict = F.coalesce(F.col("judged.best.verdict"), F.when(F.col("judged.score") >= cut, F.lit("block")).otherwise(F.lit("allow")))
     return ruled.withColumn(
         "judged",

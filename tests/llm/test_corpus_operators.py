@@ -174,6 +174,25 @@ def test_op1_rules_hosts_and_scores(spark):
     assert url_filter.judge(frame.limit(0), RULES).count() == 0
 
 
+def test_op1_any_number_of_rules(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    hosts = ["net", "b.net", "a.b.net", "org", "x.org", "com", ""]
+    paths = ["", "/", "/e", "/en/", "/en/a", "/de"]
+    rules = sorted({(str(draw.choice(hosts)), str(draw.choice(paths)), str(draw.choice(["block", "allow"]))) for _ in range(30)})
+    urls = [f"http://{draw.choice(['q.', '', 'b.'])}{draw.choice(hosts)}{draw.choice(['', '/', '/en/abc', '/ex', '/dex?q'])}" for _ in range(200)]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, None, "none", urls[0]])], "page_id bigint, url string")
+
+    def result(how):
+        return sorted((r.page_id, *map(str, r.judged)) for r in url_filter.judge(frame, how).collect())
+
+    listed = result(rules)
+    table = spark.createDataFrame(rules + rules[:3], "host string, path string, verdict string")
+    assert result(table) == listed and sum(r[3] != "None" for r in listed) > 50
+    monkeypatch.setattr(url_filter, "MAX_RULES", 5)
+    assert result(rules) == listed and url_filter.judge(frame, rules).columns == ["page_id", "url", "judged"]
+    assert all(r[3] == "None" for r in result(table.limit(0)))
+
+
 def test_op1_held_out_accuracy(spark):
     rows = [(f"http://{n}{s}.example/en/{i}", label) for i, (n, label) in enumerate(
         [("free-casino", 1), ("cheap-bets", 1), ("win-pills", 1), ("city-news", 0), ("garden", 0), ("school", 0)]) for s in ("", "s")]
