@@ -197,18 +197,19 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     """``pieces`` with sequence_id and offset.
 
     The histogram of lengths has at most ``size`` rows; it is planned on the driver. Ranks within a length are counted in
-    slices, whose number follows the number of pieces, so that one very common length does not meet in a task. Slices
-    start after the rows of the slices before them. The plan goes to the tasks: it has at most about ``4 * size`` runs of
+    slices, whose number follows the length's own count, so that one very common length does not meet in a task; most
+    lengths are one slice. Slices start after the rows of the slices before them. The plan goes to the tasks: it has at most about ``4 * size`` runs of
     sequences, whatever the number of pieces. Ties are broken by all columns, so a task that runs again gives the same
     ranks. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
-    slices = max(1, -(-pieces.count() // RANKED))
     columns = pieces.columns
     keys = [c for c in columns if c != "ids"]
-    rows = pieces.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(slices)))
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    slices = F.array(*[F.lit(max(1, -(-counts.get(length, 0) // RANKED))) for length in range(size + 1)])
+    slices = F.get(slices, F.col("length").cast("int"))
+    rows = pieces.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), slices))
     sizes = staged(rows.groupBy("length", "slice").agg(F.count("*").alias("n")), "lengths")
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(best_fit(counts, size))
     before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
