@@ -13,12 +13,13 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
     The large star moves a node's greater neighbours, the small star its smaller ones and the node itself. The smallest
     neighbour is a flat aggregate, combined before the shuffle, and comes back by a join: no neighbourhood is gathered.
-    The join shares the aggregate's exchange, so the links of one node stream through one task.
+    The aggregate is written out, so that the join has exchanges of its own and adaptive execution can split the links of
+    a node that many links lead to.
     """
     ends = links
     if large:
         ends = links.unionAll(links.select(F.col("low").alias("node"), F.col("node").alias("low")))
-    least = ends.groupBy("node").agg(F.least(F.min("low"), F.col("node")).alias("least"))
+    least = staged(ends.groupBy("node").agg(F.least(F.min("low"), F.col("node")).alias("least")), "least")
     moved = ends.join(least, "node")
     if large:
         moved = moved.where("low > node").select(F.col("low").alias("node"), F.col("least").alias("low"))
@@ -47,4 +48,5 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         if mark == before or mark[0] == 0:
             return now.select("node", F.col("low").alias("component"))
         before = mark
-        now = staged(_star(_star(now, large=True), large=False), "links")
+        moved = staged(_star(now, large=True), "moved")
+        now = staged(_star(moved, large=False), "links")
