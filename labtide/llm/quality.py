@@ -14,6 +14,7 @@ from labtide.llm.staging import body, staged, without
 MAX_LABELLED = 20_000
 CUT = 0.35
 LARGEST = 8.0
+UNITS = 1 << 30
 MEASURES = ["symbols", "capitals", "digits", "shouts", "rare", "again", "lines", "pipes", "length", "size"]
 
 LETTERS = np.zeros(256, dtype=np.int64)
@@ -113,15 +114,16 @@ def _strength(level: DataFrame, rate: float) -> float:
     With expected binomial variance r(1-r)/n and observed variance v between sites, a beta prior of mean r has
     r(1-r)/v - 1 pseudo-documents. It stays between 1 and 10,000.
     """
+    spread = F.col("n") * (F.col("good") / F.col("n") - rate) ** 2
     row = level.agg(
-        F.sum(F.col("n") * (F.col("good") / F.col("n") - rate) ** 2).alias("spread"),
+        F.sum(F.round(spread * UNITS).cast("decimal(28,0)")).alias("spread"),
         F.sum("n").alias("n"),
         F.count("*").alias("sites"),
     ).first()
     if not row["n"] or row["sites"] < 2:
         return 10.0
     chance = rate * (1 - rate)
-    beyond = (row["spread"] - row["sites"] * chance) / row["n"]
+    beyond = (int(row["spread"]) / UNITS - row["sites"] * chance) / row["n"]
     return float(min(max(chance / beyond - 1, 1.0), 10_000.0)) if beyond > 0 else 10_000.0
 
 
@@ -147,6 +149,7 @@ def judged(
     odds are those of the classifier, times the path's odds over the odds of all; documents below ``cut`` are rejected.
 
     The sums have map-side combination and the rates come back by joins on site, which adaptive execution can split.
+    Probabilities are summed as whole numbers of ``UNITS``, so that no result depends on the order of rows.
     A null host or path is a site of its own. Null and empty texts are measured as empty. Repeated rows are judged alike.
     """
     columns = set(docs.columns)
@@ -163,12 +166,16 @@ def judged(
         evidence = evidence + value * linear[i] + value * value * square[i]
     evidence = F.least(F.greatest(evidence, F.lit(-LARGEST)), F.lit(LARGEST))
     scored = rows.select("doc_id", "body", "host", "path", evidence.alias("evidence"))
-    scored = scored.withColumn("p", 1 / (1 + F.exp(-F.col("evidence"))))
-
-    paths = staged(scored.groupBy("host", "path").agg(F.sum("p").alias("good"), F.count("*").alias("n")), "paths")
-    hosts = paths.groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    whole = hosts.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
-    rate = whole["good"] / whole["n"] if whole["n"] else 0.5
+    scored = scored.withColumn("units", F.round(UNITS / (1 + F.exp(-F.col("evidence")))).cast("bigint"))
+    scored = scored.withColumn("p", F.col("units") / UNITS)
+
+    units = F.sum(F.col("units").cast("decimal(20,0)")).alias("units")
+    counted = staged(scored.groupBy("host", "path").agg(units, F.count("*").alias("n")), "paths")
+    good = (F.col("units").cast("double") / UNITS).alias("good")
+    paths = counted.select("host", "path", good, "n")
+    hosts = counted.groupBy("host").agg(F.sum("units").alias("units"), F.sum("n").alias("n")).select("host", good, "n")
+    whole = counted.agg(F.sum("units").alias("units"), F.sum("n").alias("n")).first()
+    rate = int(whole["units"]) / UNITS / whole["n"] if whole["n"] else 0.5
     host_strength, path_strength = _strength(hosts, rate), _strength(paths, rate)
 
     sites = paths.withColumnsRenamed({"good": "path_good", "n": "path_n"}).alias("p").join(
