@@ -22,7 +22,7 @@ SEQUENCE = 2048
 END_ID = 0
 KNOWN_PARTS = 150_000
 KNOWN_WORDS = 100_000
-RANKED = 5_000
+RANKED = 1_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
