@@ -2,7 +2,8 @@
 
 A plain ``lead`` sorts each key in one task, which fails when one report holds a third of the log. The rows of the longest
 key are therefore counted first. Where it is longer than a window may be, the log is dealt into ranges that follow key,
-time and tie, whatever their types, by Spark's sampled bounds; each range is one window, and the rows at the edges of
+time and tie, whatever their types, by Spark's sampled bounds. A task's share is cut by row into ranges of as many rows as a
+window may hold, so the number of tasks follows the rows alone; each range is one window, and the rows at the edges of
 ranges take their neighbours from the next range that the same key reaches. The edges are two rows for each range.
 """
 
@@ -20,6 +21,8 @@ _RANGE, _SPREAD, _SIDE, _ROW = "__range", "__spread", "__side", "__row"
 _NEAR, _EDGE, _FAR = "__near_", "__edge_", "__far_"
 SPREAD = 1 << 16
 HOT_ROWS = 1_000_000
+# A row's number in its partition, as ``monotonically_increasing_id`` has it in its lower bits.
+PLACE = (1 << 33) - 1
 
 
 def longest(df: DataFrame, key: str) -> tuple[int, int]:
@@ -31,13 +34,15 @@ def longest(df: DataFrame, key: str) -> tuple[int, int]:
     return row.longest or 0, row.rows or 0
 
 
-def in_ranges(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
-    """The rows with the number of their range, written out; ranges follow ``order`` and hold about as many rows each.
+def in_ranges(df: DataFrame, order: Sequence[str], tasks: int, most: int = HOT_ROWS) -> DataFrame:
+    """The rows with the number of their range, written out by ``tasks`` tasks; ranges follow ``order``.
 
-    Rows that are equal in all of ``order`` stay together.
+    A range holds at most ``most`` rows; a task writes as many ranges as its rows need.
     """
-    dealt = df.repartitionByRange(ranges, *[F.col(c) for c in order]).withColumn(_RANGE, F.spark_partition_id())
-    return writers.kept(dealt, scratch_dir(df.sparkSession, "ranges"))
+    dealt = df.repartitionByRange(tasks, *[F.col(c) for c in order]).sortWithinPartitions(*order)
+    place = F.col(_RANGE).bitwiseAND(F.lit(PLACE))
+    cut = dealt.withColumn(_RANGE, F.monotonically_increasing_id()).withColumn(_RANGE, F.col(_RANGE) - place % F.lit(most))
+    return writers.kept(cut, scratch_dir(df.sparkSession, "ranges"))
 
 
 def neighbour(
@@ -53,8 +58,8 @@ def neighbour(
 ) -> DataFrame:
     """Add ``columns`` of the next (or previous) row of the same key, ordered by ``(ts, tie)``, nulls first.
 
-    Rows at the end of a key get nulls, as do rows without a key: they have no neighbours. No window holds many more than
-    ``hot_rows`` rows of a key; to know that, the rows are counted when this is called. ``hot_rows=None`` skips the count
+    Rows at the end of a key get nulls, as do rows without a key: they have no neighbours. No window holds more than
+    ``hot_rows`` rows of a longer key; to know that, the rows are counted when this is called. ``hot_rows=None`` skips the count
     for keys known to be short.
     """
     return _with_neighbours(df, key, ts, tie, columns, {prefix: F.lag if previous else F.lead}, hot_rows)
@@ -85,7 +90,8 @@ def _with_neighbours(
         most, rows = longest(df, key)
         if most > hot_rows:
             wanted = int(df.sparkSession.conf.get(SHUFFLE_CONF))
-            return _across_ranges(df, key, ts, tie, columns, steps, max(wanted, -(-rows // max(hot_rows, 1))))
+            tasks = max(wanted, -(-rows // max(hot_rows, HOT_ROWS)))
+            return _across_ranges(df, key, ts, tie, columns, steps, tasks, max(hot_rows, 1))
     return _within_keys(df, key, ts, tie, columns, steps)
 
 
@@ -99,10 +105,10 @@ def _within_keys(df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[s
 
 
 def _across_ranges(
-    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], steps: Steps, ranges: int
+    df: DataFrame, key: str, ts: str, tie: str, columns: Sequence[str], steps: Steps, tasks: int, most: int
 ) -> DataFrame:
     order = list(dict.fromkeys([key, ts, tie, *columns]))
-    rows = in_ranges(df, order, ranges)
+    rows = in_ranges(df, order, tasks, most)
     whole = F.struct(F.col(key).alias("key"), F.struct(*columns).alias("row"))
     w = Window.partitionBy(_RANGE).orderBy(*order)
     near = rows.withColumns({_NEAR + p: step(whole).over(w) for p, step in steps.items()})

@@ -125,6 +125,19 @@ def test_neighbours_across_ranges_with_text_ties_and_keys(spark):
         assert {r.id: (r[name],) for r in rows} == want
 
 
+def test_small_windows_do_not_make_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sequence, "scratch_dir", lambda _, label: f"{tmp_path}/{label}")
+    start = dt.datetime(2021, 1, 1)
+    data = [{"id": i, "k": i % 3, "t": start + dt.timedelta(seconds=i * 7919 % 1000)} for i in range(900)]
+    df = spark.createDataFrame(data, "id long, k long, t timestamp_ntz")
+    got = sequence.neighbours(df, "k", "t", "id", ["id"], hot_rows=5).collect()
+    assert len(list(tmp_path.glob("ranges/part-*"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = spark.read.parquet(f"{tmp_path}/ranges").groupBy("__range").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 5
+    for previous, name in ((False, "next_id"), (True, "last_id")):
+        assert {r.id: (r[name],) for r in got} == brute(data, "k", lambda r: (r["t"], r["id"]), ["id"], previous)
+
+
 def test_short_keys_are_read_once(spark, tmp_path):
     spark.range(200).selectExpr("id", "id % 20 AS k", "timestamp_ntz'2021-01-01' AS t").write.parquet(f"{tmp_path}/log")
     log = spark.read.parquet(f"{tmp_path}/log")
