@@ -53,8 +53,10 @@ def refresh_trackers(
         table.upsert(trackers.normalise(landed, full_load=full_load))
         known = table.read()
         writers.publish(known, f"{out}/trackers", sort=["tracking_number"])
-        writers.publish(turnaround.with_trackers(rows, known), f"{out}/tracked", sort=["sent_date"])
-        writers.publish(turnaround.unseen_tracking(rows, known), f"{out}/unseen", sort=["tracking_number"])
+        # The tracked rows are written before their range filter and hold every number, so ``rows`` is worked out once.
+        every = turnaround.tracked(rows, known)
+        writers.publish(turnaround.in_range(every), f"{out}/tracked", sort=["sent_date"])
+        writers.publish(turnaround.unseen_tracking(every, known), f"{out}/unseen", sort=["tracking_number"])
     return table
 
 

@@ -177,6 +177,15 @@ def with_trackers(rows: DataFrame, trackers: DataFrame, *, low: float = 6, high:
 
     A missing or negative duration falls back to sent minus start. The mean covers the rows before the range filter.
     """
+    return in_range(tracked(rows, trackers), low=low, high=high)
+
+
+def in_range(rows: DataFrame, *, low: float = 6, high: float = 200) -> DataFrame:
+    return rows.where((F.col("TAT") > low) & (F.col("TAT") < high))
+
+
+def tracked(rows: DataFrame, trackers: DataFrame) -> DataFrame:
+    """All rows of ``with_trackers``, before its range filter, written once: each row of ``rows`` with its tracker, if any."""
     known = trackers.where(F.col("easypost_id").isNotNull()).select(
         F.col("tracking_number").alias("known_number"), "delivery_datetime", "public_url", "picked_up_city", "picked_up_state"
     )
@@ -197,5 +206,4 @@ def with_trackers(rows: DataFrame, trackers: DataFrame, *, low: float = 6, high:
     )
     if "goal" in timed.columns:
         timed = timed.withColumn("goal_missed", (F.col("TAT") >= F.col("goal")).cast("int"))
-    averaged = with_average(timed)
-    return averaged.where((F.col("TAT") > low) & (F.col("TAT") < high))
+    return with_average(timed)

@@ -123,6 +123,23 @@ def test_f14_rules(facts):
     assert rows(got, "segment") == [("all", 4), ("clinics with Harbor", 3), ("distributors with Green Valley", 3)]
 
 
+def test_c3_a_tracker_refresh_works_its_rows_out_once(spark, facts, tmp_path, monkeypatch):
+    from labtide.plans import runs, trackers
+
+    turnaround.turnaround(facts).write.parquet(f"{tmp_path}/rows")
+    rows, read = spark.read.parquet(f"{tmp_path}/rows"), []
+    landed = spark.createDataFrame([("t1", "5")], "id string, tracking_code string")
+    landed = spark.createDataFrame([], trackers.SCHEMA).unionByName(landed, allowMissingColumns=True).withColumn(
+        "carrier_detail", F.struct(F.lit("x").alias("origin_location"), F.lit("y").alias("destination_location"), F.lit(None).cast("string").alias("initial_delivery_attempt"))
+    )
+    unseen = turnaround.unseen_tracking
+    monkeypatch.setattr(turnaround, "unseen_tracking", lambda r, known: read.append(r.inputFiles()) or unseen(r, known))
+    runs.refresh_trackers(rows, landed, f"{tmp_path}/table", f"{tmp_path}/out")
+    assert read and not any(f"{tmp_path}/rows/" in file for file in read[0])
+    got = spark.read.parquet(f"{tmp_path}/out/unseen")
+    assert [r.tracking_number for r in got.collect()] == [r.tracking_number for r in rows.select("tracking_number").distinct().collect()]
+
+
 def test_c3_trackers_restart_the_clock(spark, facts):
     known = spark.createDataFrame(
         [("t1", 8001234, D(2021, 1, 5, 7), "u", "c", "s"), (None, 5, None, None, None, None)],
