@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from labtide.config.settings import DIALECTS, Dialect, FileNames
 from labtide.functions import time
 from labtide.operators import matching
+from labtide.session import scratch_dir
 from labtide.sources import readers
 
 
@@ -117,8 +118,10 @@ def region_files(rows: DataFrame, path: str, *, region: str = "file_state", rows
     A region's folder holds one file, or several for a region of many rows, dealt by row: each is a whole file with a header of
     its own. So a region that holds most of the rows is written by many tasks. Rows of a file are ordered, so that
     a repeated run writes the same files. What comes back to the driver is a count for each region. No rows, no files.
+    The lines are written once first: the number of files follows their counts, and what they are made from is not worked out twice.
     """
     spark = rows.sparkSession
+    rows = kept(rows, scratch_dir(spark, "region-lines"))
     counted = rows.groupBy(region).agg(F.count(F.lit(1)).alias("n"), F.max(HEADER).alias(HEADER)).collect()
     files = {r[region]: -(-r["n"] // rows_per_file) for r in counted}
     if not files:

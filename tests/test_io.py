@@ -157,6 +157,18 @@ def test_k3_large_region_has_several_whole_files(spark, tmp_path):
     assert writers.region_files(writers.lines(df.limit(0)), f"{tmp_path}/none") == {}
 
 
+def test_k3_lines_are_worked_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def region(n):
+        seen.add(1)
+        return f"R{n % 2}"
+
+    df = spark.range(0, 50, 1, 1).select(F.udf(region, "string")("id").alias("file_state"), F.col("id").alias("report_id"), F.col("id").alias("a"))
+    assert writers.region_files(writers.lines(df), f"{tmp_path}/out") == {"R0": 1, "R1": 1}
+    assert seen.value == 50
+
+
 def test_k5_append_twice_adds_nothing(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "report_id long, event_type string")
     for _ in range(2):
