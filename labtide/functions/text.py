@@ -78,22 +78,36 @@ def phone_repair(c: Column | str, separator: Column | str = "-", *, pad: bool =
     with ``pad``; fewer than eight or more than eleven digits, or text that does not group as 3-3-4, cannot be
     repaired and is flagged.
     """
-    text = before(c, "/")
-    n = F.length(digits(text))
-    leading_one = F.substring(digits(text), 1, 1) == "1"
-    fixed = (
-        F.when((n == 11) & leading_one, F.substr(text, F.lit(2)))
-        .when(n == 11, F.substring(text, 1, 10))
-        .when(n == 8, F.concat(text, F.lit("0")) if pad else F.lit(None).cast("string"))
-        .when((n < 8) | (n > 11), F.lit(None).cast("string"))
-        .otherwise(text)
-    )
-    groups = F.regexp_extract_all(fixed, F.lit("(\\d{4}$|\\d{3})"), F.lit(1))
-    whole = F.size(groups) >= 3
+    found = repaired_phone(c, separator, pad=pad)
+    return found["value"], found["broken"]
+
+
+def repaired_phone(c: Column | str, separator: Column | str = "-", *, pad: bool = False) -> Column:
+    """Both results of ``phone_repair`` as one structure (value, broken).
+
+    Each step is worked out once a phone: the next one takes it as the variable of a ``transform``.
+    """
+    split = F.struct(before(c, "/").alias("text"), digits(before(c, "/")).alias("digits"))
     mark = F.lit(separator) if isinstance(separator, str) else separator
-    parts = [F.try_element_at(groups, F.lit(i)) for i in (1, 2, 3)]
-    value = F.when(whole, F.concat(parts[0], mark, parts[1], mark, parts[2]))
-    return value, col(c).isNotNull() & ~F.coalesce(whole, F.lit(False))
+
+    def grouped(phone: Column) -> Column:
+        text, n = phone["text"], F.length(phone["digits"])
+        fixed = (
+            F.when((n == 11) & F.startswith(phone["digits"], F.lit("1")), F.substr(text, F.lit(2)))
+            .when(n == 11, F.substring(text, 1, 10))
+            .when(n == 8, F.concat(text, F.lit("0")) if pad else F.lit(None).cast("string"))
+            .when((n < 8) | (n > 11), F.lit(None).cast("string"))
+            .otherwise(text)
+        )
+        return F.regexp_extract_all(fixed, F.lit("(\\d{4}$|\\d{3})"), F.lit(1))
+
+    def joined(groups: Column) -> Column:
+        whole = F.size(groups) >= 3
+        parts = [F.try_element_at(groups, F.lit(i)) for i in (1, 2, 3)]
+        value = F.when(whole, F.concat(parts[0], mark, parts[1], mark, parts[2]))
+        return F.struct(value.alias("value"), (col(c).isNotNull() & ~F.coalesce(whole, F.lit(False))).alias("broken"))
+
+    return F.transform(F.transform(F.array(split), grouped), joined)[0]
 
 
 def area_code(phone: Column | str) -> Column:

@@ -40,8 +40,7 @@ def _repaired_phones(df: DataFrame, region: str, pad: bool) -> dict[str, Column]
     separator = F.when(here.isin(*PLAIN_PHONE_REGIONS), F.lit("")).otherwise(F.lit("-"))
     out = {}
     for name in columns.search(df.drop(BAD_PHONE), "phone"):
-        value, broken = text.phone_repair(F.col(f"`{name}`"), separator, pad=pad)
-        out[name] = F.when(here != "KS", F.struct(value.alias("value"), broken.alias("broken")))
+        out[name] = F.when(here != "KS", text.repaired_phone(F.col(f"`{name}`"), separator, pad=pad))
     return out
 
 

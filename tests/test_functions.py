@@ -280,3 +280,9 @@ def test_shuffle_partitions_follow_the_scan(spark, tmp_path):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
         raise KeyError
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_each_step_of_a_phone_repair_is_worked_out_once(spark):
+    value, bad = text.phone_repair("p")
+    plan = spark.createDataFrame([("2015550100",)], "p string").select(value.alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("regexp_replace(") == 1
