@@ -17,8 +17,12 @@ def pivot_sum(
     *,
     fill: int | None = 0,
 ) -> DataFrame:
-    """Rows by pivot values, summing ``measure``; missing cells become ``fill``."""
-    wide = df.groupBy(*rows).pivot(pivot, list(values)).agg(F.sum(measure))
+    """Rows by pivot values, summing ``measure``; missing cells become ``fill``.
+
+    One sum for each value, all in one aggregate: ``pivot`` would aggregate and exchange by cell first, and hold both in a task.
+    """
+    sums = [F.sum(F.when(F.col(pivot) == v, F.col(measure))).alias(str(v)) for v in values]
+    wide = df.groupBy(*rows).agg(*sums)
     return wide if fill is None else wide.na.fill(fill, subset=list(values))
 
 

@@ -152,9 +152,12 @@ def accession_metric(
     next event may lie beyond ``end``: only the linking event is held to it.
     """
     started = reports.where(F.col("start_date").isNotNull()).select(F.col("id").alias("report_id"))
-    log = event_logs.where(time.in_window("created_at", start, tz=tz)).select("id", "report_id", "user_id", "event_type", "created_at")
+    # Every event goes through the window, so its name is left behind.
+    log = event_logs.where(time.in_window("created_at", start, tz=tz)).select(
+        "id", "report_id", "user_id", (F.col("event_type") == event).alias("links"), "created_at"
+    )
     ahead = sequence.neighbour(log, "report_id", "created_at", "id", ["user_id"], hot_rows=hot_rows)
-    linked = ahead.where((F.col("event_type") == event) & F.col("next_user_id").isNotNull())
+    linked = ahead.where(F.col("links") & F.col("next_user_id").isNotNull())
     linked = linked.where(time.in_window("created_at", end=end, tz=tz))
     named = staff_names(staff).where(F.trim("fullname") != "").select(F.col("actor").alias("next_user_id"))
     known = linked.join(named, "next_user_id", "left_semi")

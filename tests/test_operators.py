@@ -243,3 +243,12 @@ def test_m5_m6_m8_a13_a14(spark):
     assert df.select((F.col("n") == 2).cast("int")).collect()[1][0] == 1
     assert tuple(df.agg(F.min("n"), F.max("n")).first()) == (2, 2)
     assert df.select(F.first("n", ignorenulls=True)).first()[0] == 2
+
+
+def test_pivoted_sums_take_one_exchange(spark):
+    df = spark.range(40).selectExpr("id % 3 AS k", "concat('c', id % 4) AS cell", "nullif(id, 7) AS n")
+    wide = reshape.pivot_sum(df, ["k"], "cell", ["c0", "c 3", "c3"], "n")
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "pivotfirst" not in text
+    assert [tuple(r) for r in wide.orderBy("k").collect()] == [(0, 72, 0, 84), (1, 48, 0, 50), (2, 60, 0, 69)]
+    assert wide.columns == ["k", "c0", "c 3", "c3"]
