@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -49,53 +50,62 @@ def page_faults(pages: DataFrame) -> DataFrame:
     pages lead to this one. ``loop``: pages that lead to each other and are not reached from the first. The same page landed
     twice is no fault.
     """
-    links = writers.kept(page_links(pages), scratch_dir(pages.sparkSession, "pages"))
+    return chain_faults({"": pages}).select("cursor", "fault")
+
+
+def chain_faults(landed: Mapping[str, DataFrame]) -> DataFrame:
+    """``page_faults`` of every kind: (kind, cursor, fault). The chains of all kinds are checked, and walked, together."""
+    spark = next(iter(landed.values())).sparkSession
+    tagged = [page_links(pages).withColumn("kind", F.lit(kind)) for kind, pages in landed.items()]
+    links = writers.kept(functools.reduce(DataFrame.unionByName, tagged), scratch_dir(spark, "pages"))
     named = links.where(F.col("cursor").isNotNull())
-    leads = links.where(F.col("next").isNotNull()).select(F.col("next").alias("to"))
-    per_cursor = links.groupBy("cursor").count().where("count > 1")
-    per_target = leads.groupBy("to").count().where("count > 1")
+    leads = links.where(F.col("next").isNotNull()).select("kind", F.col("next").alias("to"))
+    per_cursor = links.groupBy("kind", "cursor").count().where("count > 1")
+    per_target = leads.groupBy("kind", "to").count().where("count > 1")
+    targets = leads.withColumnRenamed("to", "cursor")
 
     def found(rows: DataFrame, column: str, fault: str) -> DataFrame:
-        return rows.select(F.col(column).alias("cursor"), F.lit(fault).alias("fault"))
+        return rows.select("kind", F.col(column).alias("cursor"), F.lit(fault).alias("fault"))
 
-    first = links.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("cursor").isNull()).alias("firsts"))
+    first = links.groupBy("kind").agg(F.count_if(F.col("cursor").isNull()).alias("firsts"))
     out = found(per_cursor, "cursor", "repeated")
-    out = out.unionAll(found(leads.join(named, F.col("to") == F.col("cursor"), "left_anti").distinct(), "to", "missing"))
-    out = out.unionAll(found(named.join(leads, F.col("to") == F.col("cursor"), "left_anti").select("cursor").distinct(), "cursor", "unasked"))
+    out = out.unionAll(found(targets.join(named, ["kind", "cursor"], "left_anti").distinct(), "cursor", "missing"))
+    out = out.unionAll(found(named.join(targets, ["kind", "cursor"], "left_anti").select("kind", "cursor").distinct(), "cursor", "unasked"))
     out = out.unionAll(found(per_target, "to", "joined"))
-    none = first.where("all > 0 AND firsts = 0").select(F.lit(None).cast("string").alias("cursor"), F.lit("no first page").alias("fault"))
-    out = writers.kept(out.unionAll(none), scratch_dir(pages.sparkSession, "page-faults"))
+    none = first.where("firsts = 0").select("kind", F.lit(None).cast("string").alias("cursor"), F.lit("no first page").alias("fault"))
+    out = writers.kept(out.unionAll(none), scratch_dir(spark, "page-faults"))
     if not out.isEmpty():
         return out
     return found(_in_loops(named, links), "cursor", "loop")
 
 
 def _in_loops(named: DataFrame, links: DataFrame) -> DataFrame:
-    """Cursors that no way back leads from to the first page, where every page is led to once.
+    """Cursors that no way back leads from to the first page of their kind, where every page is led to once.
 
-    Each page looks back along the chain, twice as far in every round, so a chain of n pages takes about log2(n) joins.
+    Each page looks back along its chain, twice as far in every round, so chains of n pages take about log2(n) joins.
     """
     spark = named.sparkSession
-    back = links.where(F.col("next").isNotNull()).select(F.col("next").alias("cursor"), F.col("cursor").alias("before"))
-    pages, reach = named.count(), 1
+    back = links.where(F.col("next").isNotNull()).select("kind", F.col("next").alias("cursor"), F.col("cursor").alias("before"))
+    pages, reach = named.groupBy("kind").count().agg(F.max("count")).first()[0] or 0, 1
     now = writers.kept(back.where(F.col("before").isNotNull()), scratch_dir(spark, "back"))
     while reach <= pages:
-        further = now.select(F.col("cursor").alias("at"), F.col("before").alias("earlier"))
-        now = now.join(further, F.col("before") == F.col("at")).select("cursor", F.col("earlier").alias("before"))
+        further = now.select("kind", F.col("cursor").alias("before"), F.col("before").alias("earlier"))
+        now = now.join(further, ["kind", "before"]).select("kind", "cursor", F.col("earlier").alias("before"))
         now, reach = writers.kept(now, scratch_dir(spark, "back")), 2 * reach
-    return now.select("cursor").distinct()
+    return now.select("kind", "cursor").distinct()
 
 
 def refresh_objects(landed: Mapping[str, DataFrame], base: str) -> dict[str, VersionedTable]:
     """Replace the object tables by the landed pages of all kinds.
 
-    Every kind's pages are checked first; if one has a fault, no table is replaced and the error names kind and faults. An
+    Every kind's pages are checked first, all in one walk; if one has a fault, no table is replaced and the error names kind and faults. An
     object that two pages show counts once. Readers keep the version they have.
     """
-    for kind, pages in landed.items():
-        faults = page_faults(pages).limit(5).collect()
-        if faults:
-            raise IncompletePages(f"{kind}: " + ", ".join(f"{r.fault} {r.cursor or ''}".strip() for r in faults))
+    faults: dict[str, list[str]] = {}
+    for r in chain_faults(landed).limit(5).collect():
+        faults.setdefault(r.kind, []).append(f"{r.fault} {r.cursor or ''}".strip())
+    if faults:
+        raise IncompletePages("; ".join(f"{kind}: {', '.join(found)}" for kind, found in faults.items()))
     tables = {}
     for kind, pages in landed.items():
         objects = flatten_objects(nested.explode_results(pages), kind)

@@ -567,6 +567,22 @@ def test_c20_a_missing_page_refuses_the_swap(spark, tmp_path):
     assert tables["companies"].version() == 1 and tables["companies"].read().where("name = 'new'").count() == 0
 
 
+def test_c20_chains_of_all_kinds_are_checked_together(spark, tmp_path, monkeypatch):
+    from labtide.plans import crm
+
+    whole, loop = [(None, "a"), ("a", "b"), ("b", None)], [(None, "a"), ("a", None), ("x", "y"), ("y", "x")]
+    found = crm.chain_faults({"companies": landed(spark, whole), "products": landed(spark, loop)}).collect()
+    assert sorted(map(tuple, found)) == [("products", "x", "loop"), ("products", "y", "loop")]
+    found = crm.chain_faults({"companies": landed(spark, [("a", None)]), "products": landed(spark, whole[:2])}).collect()
+    assert sorted(map(tuple, found), key=str) == [
+        ("companies", "a", "unasked"), ("companies", None, "no first page"), ("products", "b", "missing")
+    ]
+    labels = []
+    monkeypatch.setattr(crm, "scratch_dir", lambda s, label: labels.append(label) or scratch_dir(s, label))
+    crm.refresh_objects({k: landed(spark, whole) for k in crm.OBJECTS}, f"{tmp_path}/t")
+    assert labels.count("pages") == 1 and labels.count("back") == 3
+
+
 def test_c8_store_replaces_whole_weeks_only(spark, tmp_path):
     from labtide.plans import weekly_store
 
