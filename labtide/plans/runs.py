@@ -266,7 +266,7 @@ def _export_window(
         step("hold", hold)
 
     def files() -> None:
-        writers.region_files(_all_lines(staged, how, run.end), f"{out}/files")
+        writers.region_files(_all_lines(staged, how, run.end), f"{out}/files", staged=True)
 
     step("files", files)
     regions = spark.createDataFrame([(s,) for s in how.states], "file_state string")

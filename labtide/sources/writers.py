@@ -112,16 +112,19 @@ def lines(df: DataFrame, *, region: str = "file_state", key: str = "report_id")
     )
 
 
-def region_files(rows: DataFrame, path: str, *, region: str = "file_state", rows_per_file: int = ROWS_PER_FILE) -> dict[str, int]:
+def region_files(
+    rows: DataFrame, path: str, *, region: str = "file_state", rows_per_file: int = ROWS_PER_FILE, staged: bool = False
+) -> dict[str, int]:
     """Write ``lines`` of all regions in one job; gives the number of files of each region.
 
     A region's folder holds one file, or several for a region of many rows, dealt by row: each is a whole file with a header of
     its own. So a region that holds most of the rows is written by many tasks. Rows of a file are ordered, so that
     a repeated run writes the same files. What comes back to the driver is a count for each region. No rows, no files.
-    The lines are written once first: the number of files follows their counts, and what they are made from is not worked out twice.
+    The lines are written once first, since the number of files follows their counts, and what they are made from is not to be
+    worked out twice; lines over rows that are ``staged`` in files are not, as only their regions are read to count them.
     """
     spark = rows.sparkSession
-    rows = kept(rows, scratch_dir(spark, "region-lines"))
+    rows = rows if staged else kept(rows, scratch_dir(spark, "region-lines"))
     counted = rows.groupBy(region).agg(F.count(F.lit(1)).alias("n"), F.max(HEADER).alias(HEADER)).collect()
     files = {r[region]: -(-r["n"] // rows_per_file) for r in counted}
     if not files:
